@@ -303,9 +303,13 @@ def headcount_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
+    """Six digits; the small shift keeps exact halves at the seventh from
+    rounding by the last bit of a product."""
     return df.select(
         *[
-            F.round(f.name, 6).alias(f.name) if f.dataType == T.DoubleType() else f.name
+            F.round(F.col(f.name) + 1e-8, 6).alias(f.name)
+            if f.dataType == T.DoubleType()
+            else f.name
             for f in df.schema.fields
         ]
     )
@@ -366,15 +370,9 @@ def token_bucket_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.full_buckets(inputs.calls(spark, sf_dir).select("caller"), RATE, BURST)
 
 
-def _shown_rate(df: DataFrame) -> DataFrame:
-    # The small shift keeps exact halves at the seventh digit from rounding
-    # by the last bit of a product.
-    return df.withColumn("rate", F.round(F.col("rate") + 1e-8, 6))
-
-
 @query
 def adaptive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown_rate(
+    return _rounded(
         shaping.adaptive_rate(
             inputs.calls(spark, sf_dir), ["caller"], "ts", "id", "ok", "limited", **LIMITS
         )
@@ -606,7 +604,7 @@ def stream_adaptive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         calls, ["caller"], "ts", "id", "ok", "limited",
         LIMITS["initial"], LIMITS["floor"], LIMITS["ceiling"], state, checkpoint,
     ).awaitTermination()
-    return _shown_rate(jobs.latest(jobs.read_batches(spark, state), ["caller"]))
+    return _rounded(jobs.latest(jobs.read_batches(spark, state), ["caller"]))
 
 
 @query

@@ -97,11 +97,11 @@ def clean_meta(x: str) -> str:
 
 def unescape(x: str) -> str:
     """The references that the test pages hold; the ampersand comes last."""
-    for entity, char in (
-        ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"),
-        ("&nbsp;", " "), ("&amp;", "&"),
+    for name, char in (
+        ("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"),
+        ("nbsp", " "), ("amp", "&"),
     ):
-        x = f"replace({x}, {text(entity)}, {text(char)})"
+        x = f"regexp_replace({x}, '&{name}\\b;?', {text(char)}, 'g')"
     return x
 
 
@@ -376,10 +376,10 @@ ENRICHED = (
 # Order and rates
 
 PROGRESS = (
-    "round({n} / total * 100.0, 6) AS percent, "
-    "round((now - began) / 1000000.0, 6) AS elapsed, "
-    "round(CASE WHEN now > began THEN {n} / ((now - began) / 1000000.0) ELSE 0 END, 6) AS rate, "
-    "round(CASE WHEN now > began THEN (total - {n}) / ({n} / ((now - began) / 1000000.0)) ELSE 0 END, 6) AS eta"
+    "round({n} / total * 100.0 + 1e-8, 6) AS percent, "
+    "round((now - began) / 1000000.0 + 1e-8, 6) AS elapsed, "
+    "round(CASE WHEN now > began THEN {n} / ((now - began) / 1000000.0) ELSE 0 END + 1e-8, 6) AS rate, "
+    "round(CASE WHEN now > began THEN (total - {n}) / ({n} / ((now - began) / 1000000.0)) ELSE 0 END + 1e-8, 6) AS eta"
 )
 BUCKET = (
     f"{CALLS}, placed AS (SELECT caller, id, epoch_us(ts) AS us, "
