@@ -148,10 +148,10 @@ def tokens_available(
     owed = F.col("events") * interval + F.col("peak")
     free = now - owed + size * interval
     tokens = F.least(F.lit(size), F.greatest(F.lit(0), F.floor(free / interval)))
+    # No event yet means a full bucket; least and greatest skip nulls.
+    known = F.when(F.col("events").isNull(), F.lit(size)).otherwise(tokens)
     keys = events.select(*key).distinct()
-    return keys.join(state, list(key), "left").select(
-        *key, F.coalesce(tokens, F.lit(size)).cast("int").alias("tokens")
-    )
+    return keys.join(state, list(key), "left").select(*key, known.cast("int").alias("tokens"))
 
 
 def full_buckets(keys: DataFrame, rate: float, burst: int | None = None) -> DataFrame:

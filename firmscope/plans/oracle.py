@@ -542,7 +542,7 @@ def statements() -> dict[str, str]:
         "token_bucket_shape": f"WITH {BUCKET} SELECT * FROM shaped",
         "token_bucket_available": (
             f"WITH {BUCKET}, last_owed AS (SELECT caller, max(owed) AS owed FROM owing WHERE us <= epoch_us(TIMESTAMP '{AS_OF}') GROUP BY caller) "
-            f"SELECT c.caller, cast(coalesce(least({BURST}, greatest(0, floor((epoch_us(TIMESTAMP '{AS_OF}') - owed + {BURST * INTERVAL}) / {INTERVAL}.0))), {BURST}) AS integer) AS tokens "
+            f"SELECT c.caller, cast(CASE WHEN owed IS NULL THEN {BURST} ELSE least({BURST}, greatest(0, floor((epoch_us(TIMESTAMP '{AS_OF}') - owed + {BURST * INTERVAL}) / {INTERVAL}.0))) END AS integer) AS tokens "
             "FROM (SELECT DISTINCT caller FROM calls) c LEFT JOIN last_owed l ON l.caller = c.caller"
         ),
         "token_bucket_reset": f"SELECT DISTINCT user_id AS caller, {BURST} AS tokens FROM events",

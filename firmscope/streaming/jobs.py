@@ -78,7 +78,11 @@ def enrich_stream(
 
 
 def first_requests(requests: DataFrame, time: str, lifetime: str) -> DataFrame:
-    """Requests that must be asked for: repeats within the lifetime are dropped."""
+    """Requests that must be asked for: repeats within the lifetime are dropped.
+
+    A key is forgotten once the stream's watermark, which trails the newest
+    request by the lifetime, has passed the end of its answer's life.
+    """
     timed = requests.withColumn(time, F.col(time).cast("timestamp"))
     return timed.withWatermark(time, lifetime).dropDuplicatesWithinWatermark(["prefix", "key"])
 
