@@ -37,7 +37,9 @@ def _bucket(df: DataFrame, column: str, points: list[float], name: str) -> DataF
     number = f"_{column}_number"
     cut = Bucketizer(splits=splits, inputCol=number, outputCol=name, handleInvalid="keep")
     numbered = df.withColumn(number, F.col(column).cast("double"))
-    return cut.transform(numbered).withColumn(name, F.col(name).cast("bigint")).drop(number)
+    # Missing values sort first.
+    found = F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint"))
+    return cut.transform(numbered).withColumn(name, found).drop(number)
 
 
 def with_ranges(df: DataFrame, time: str, tie: str, ranges: int | None = None) -> DataFrame:
@@ -79,6 +81,31 @@ def before_range(key: Sequence[str]):
     )
 
 
+def hold_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Replace key columns by ones without nulls, a flag telling them apart.
+
+    A missing key is then a key like any other: it survives the joins of rows
+    with their sums, and Spark adds no null filters that would make the two
+    sides of such a join read and shuffle the rows separately.
+    """
+    for name in key:
+        kind = df.schema[name].dataType
+        plain = 0 if isinstance(kind, (T.NumericType, T.BooleanType)) else "1970-01-01"
+        df = df.withColumn(f"_no_{name}", F.col(name).isNull()).withColumn(
+            name, F.coalesce(F.col(name), F.lit(plain).cast(kind))
+        )
+    return df
+
+
+def held(key: Sequence[str]) -> list[str]:
+    """All columns that ``hold_keys`` keeps a key in."""
+    return [part for name in key for part in (name, f"_no_{name}")]
+
+
+def release_keys(key: Sequence[str]) -> list[Column]:
+    return [F.when(~F.col(f"_no_{name}"), F.col(name)).alias(name) for name in key]
+
+
 def micros(df: DataFrame, time: str, value: Column | None = None) -> Column:
     """Microseconds since 1970 of a time column, or of a value of its type.
 
@@ -87,8 +114,11 @@ def micros(df: DataFrame, time: str, value: Column | None = None) -> Column:
     kind = df.schema[time].dataType
     instant = (F.col(time) if value is None else value).cast(kind)
     if isinstance(kind, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast(kind)
-        return F.timestamp_diff("MICROSECOND", epoch, instant)
+        minutes = F.unix_date(instant.cast("date")).cast("bigint") * 1_440 + (
+            F.hour(instant) * 60 + F.minute(instant)
+        )
+        seconds = F.extract(F.lit("SECOND"), instant) * 1_000_000
+        return minutes * 60_000_000 + seconds.cast("bigint")
     return F.unix_micros(instant)
 
 
@@ -212,34 +242,33 @@ def run_progress_running(
     log: DataFrame, report_every: int = 50, ranges: int | None = None
 ) -> DataFrame:
     """A report after every ``report_every`` rows of each run."""
-    key = ["run"]
-    rows = with_ranges(
-        log.select("run", "id", "ok", micros(log, "ts").alias("_now")), "_now", "id", ranges
-    )
+    key = held(["run"])
+    narrow = log.select("run", "id", "ok", micros(log, "ts").alias("_now"))
+    rows = with_ranges(hold_keys(narrow, ["run"]), "_now", "id", ranges)
     order = in_range(key, "_now", "id")
     counted = rows.select(
-        "run", "_range", "id", "_now",
+        *key, "_range", "id", "_now",
         F.count(F.lit(1)).over(order).alias("_n"),
         F.count_if(F.col("ok")).over(order).alias("_ok"),
     )
-    sums = rows.groupBy("run", "_range").agg(
+    sums = rows.groupBy(*key, "_range").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("ok")).alias("_good"),
         F.min("_now").alias("_first"),
     )
-    whole = Window.partitionBy("run")
+    whole = Window.partitionBy(*key)
     carried = sums.select(
-        "run", "_range",
+        *key, "_range",
         F.coalesce(F.sum("_rows").over(before_range(key)), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_good").over(before_range(key)), F.lit(0)).alias("_good_before"),
         F.sum("_rows").over(whole).alias("total"),
         F.min("_first").over(whole).alias("_start"),
     )
     reports = (
-        counted.join(carried, ["run", "_range"])
+        counted.join(carried, [*key, "_range"])
         .withColumn("processed", F.col("_n") + F.col("_rows_before"))
         .filter(F.col("processed") % report_every == 0)
         .withColumn("successful", F.col("_ok") + F.col("_good_before"))
         .withColumn("failed", F.col("processed") - F.col("successful"))
     )
-    return reports.select("run", *_progress_columns())
+    return reports.select(*release_keys(["run"]), *_progress_columns())

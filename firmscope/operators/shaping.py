@@ -13,7 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmscope.operators.ordered import before_range, in_range, micros, with_ranges
+from firmscope.operators.ordered import (
+    before_range,
+    held,
+    hold_keys,
+    in_range,
+    micros,
+    release_keys,
+    with_ranges,
+)
 
 # Fixed values of the adaptive limit.
 STREAK = 10
@@ -47,15 +55,15 @@ def _bucket_ranges(
     ranges: int | None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their place and running peak in the range, and the sums per range."""
-    narrow = events.select(*key, order, micros(events, time).alias("_us"))
-    window = in_range(key, "_us", order)
+    narrow = hold_keys(events.select(*key, order, micros(events, time).alias("_us")), key)
+    window = in_range(held(key), "_us", order)
     rows = (
         with_ranges(narrow, "_us", order, ranges)
         .withColumn("_i", F.count(F.lit(1)).over(window) - 1)
         .withColumn("_slack", F.col("_us") - F.col("_i") * interval)
         .withColumn("_peak", F.max("_slack").over(window))
     )
-    sums = rows.groupBy(*key, "_range").agg(
+    sums = rows.groupBy(*held(key), "_range").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_slack").alias("_top")
     )
     return rows, sums
@@ -65,8 +73,8 @@ def _add_state(sums: DataFrame, key: Sequence[str], state: DataFrame | None) ->
     """Put the state left by earlier events in front, as one more range."""
     if state is None:
         return sums
-    earlier = state.select(
-        *key, F.lit(-1).cast("bigint").alias("_range"),
+    earlier = hold_keys(state, key).select(
+        *held(key), F.lit(-1).cast("bigint").alias("_range"),
         F.col("events").alias("_n"), F.col("peak").alias("_top"),
     )
     return sums.unionByName(earlier)
@@ -89,20 +97,20 @@ def token_bucket(
     """
     interval, size = _interval(rate), _burst(rate, burst)
     rows, sums = _bucket_ranges(events, key, time, order, interval, ranges)
-    earlier = before_range(key)
+    earlier = before_range(held(key))
     placed = _add_state(sums, key, state).withColumn(
         "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     )
     carried = placed.withColumn(
         "_carried", F.max(F.col("_top") - F.col("_before") * interval).over(earlier)
-    ).select(*key, "_range", "_before", "_carried")
+    ).select(*held(key), "_range", "_before", "_carried")
     peak = F.greatest("_carried", F.col("_peak") - F.col("_before") * interval)
     owed = (F.col("_before") + F.col("_i") + 1) * interval + peak
     return (
-        rows.join(carried, [*key, "_range"])
+        rows.join(carried, [*held(key), "_range"])
         .withColumn("start_us", F.greatest(F.col("_us"), owed - size * interval))
         .select(
-            *key, order, F.col("_us").alias("time_us"), "start_us",
+            *release_keys(key), order, F.col("_us").alias("time_us"), "start_us",
             (F.col("start_us") - F.col("_us")).alias("wait_us"),
         )
     )
@@ -121,12 +129,13 @@ def token_bucket_state(
     interval = _interval(rate)
     _, sums = _bucket_ranges(events, key, time, order, interval, ranges)
     placed = _add_state(sums, key, state).withColumn(
-        "_before", F.coalesce(F.sum("_n").over(before_range(key)), F.lit(0))
+        "_before", F.coalesce(F.sum("_n").over(before_range(held(key))), F.lit(0))
     )
-    return placed.groupBy(*key).agg(
+    totals = placed.groupBy(*held(key)).agg(
         F.sum("_n").alias("events"),
         F.max(F.col("_top") - F.col("_before") * interval).alias("peak"),
     )
+    return totals.select(*release_keys(key), "events", "peak")
 
 
 def tokens_available(
@@ -150,8 +159,10 @@ def tokens_available(
     tokens = F.least(F.lit(size), F.greatest(F.lit(0), F.floor(free / interval)))
     # No event yet means a full bucket; least and greatest skip nulls.
     known = F.when(F.col("events").isNull(), F.lit(size)).otherwise(tokens)
-    keys = events.select(*key).distinct()
-    return keys.join(state, list(key), "left").select(*key, known.cast("int").alias("tokens"))
+    keys = hold_keys(events.select(*key), key).distinct()
+    return keys.join(hold_keys(state, key), held(key), "left").select(
+        *release_keys(key), known.cast("int").alias("tokens")
+    )
 
 
 def full_buckets(keys: DataFrame, rate: float, burst: int | None = None) -> DataFrame:
@@ -178,7 +189,8 @@ def _adaptive_rows(
         *key, order, micros(outcomes, time).alias("_us"),
         F.col(ok).alias("_ok"), F.col(limited).alias("_limited"),
     )
-    ranged = with_ranges(narrow, "_us", order, ranges)
+    ranged = with_ranges(hold_keys(narrow, key), "_us", order, ranges)
+    key = held(key)
     window = in_range(key, "_us", order)
     step = F.when(F.col("_ok"), -1).otherwise(1)
     rows = (
@@ -280,9 +292,12 @@ def adaptive_rate(
     limit answer, or a failure while three or more are recent, halves it down
     to ``floor``. ``state`` is the result for the outcomes before these.
     """
+    if state is not None:
+        state = hold_keys(state, key)
     rows, carried = _adaptive_rows(
         outcomes, key, time, order, ok, limited, ranges, state
     )
+    names, key = key, held(key)
     raised = F.col("_ok") & (F.col("streak") == 0)
     lowered = ~F.col("_ok") & (F.col("_limited") | (F.col("failures") >= FAILURES))
     step = F.when(
@@ -342,5 +357,5 @@ def adaptive_rate(
         F.col("step.high"), F.greatest(F.col("step.low"), F.col("_from") * F.col("step.factor"))
     )
     return ended.join(per_key, list(key), "left").select(
-        *key, "events", F.coalesce(rate, F.col("_from")).alias("rate"), "streak", "failures"
+        *release_keys(names), "events", F.coalesce(rate, F.col("_from")).alias("rate"), "streak", "failures"
     )

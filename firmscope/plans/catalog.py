@@ -566,12 +566,7 @@ def _folders(spark: SparkSession, name: str) -> tuple[str, str, str]:
 @query
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _, checkpoint = _folders(spark, "enrich")
-    parts = inputs.read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    keys = {name: name for name in ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")}
-    customers = _stream(spark, sf_dir, "customer", keys)
-    companies = customers.join(parts, F.col("p_partkey") == F.col("c_custkey")).selectExpr(
-        *inputs.columns(inputs.COMPANIES)
-    )
+    companies = _stream(spark, sf_dir, "customer", inputs.COMPANIES)
     lookups = enrich.prepare(inputs.landed(spark, sf_dir), YEARS)
     jobs.enrich_stream(companies, lookups, out, checkpoint).awaitTermination()
     return jobs.read_batches(spark, out).drop("batch")

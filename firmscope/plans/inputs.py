@@ -30,16 +30,30 @@ def _padded(key: str) -> str:
     )
 
 
+def _word(key: str) -> str:
+    return (
+        f"CASE {key} % 7 WHEN 0 THEN 'north' WHEN 1 THEN 'silver' WHEN 2 THEN 'granite' "
+        "WHEN 3 THEN 'amber' WHEN 4 THEN 'cedar' WHEN 5 THEN 'falcon' ELSE 'mill' END"
+    )
+
+
+def _trade(key: str) -> str:
+    return (
+        f"CASE {key} % 5 WHEN 0 THEN 'valves' WHEN 1 THEN 'pumps' WHEN 2 THEN 'gears' "
+        "WHEN 3 THEN 'tool' ELSE 'hub' END"
+    )
+
+
 def _name(key: str) -> str:
     return (
-        f"upper(p_name) || ' ' || cast({key} AS string) || "
+        f"upper({_word(key)} || ' ' || {_trade(key)}) || ' ' || cast({key} AS string) || "
         f"CASE {key} % 4 WHEN 0 THEN ' LTD' WHEN 1 THEN ' LIMITED' WHEN 2 THEN ' PLC' ELSE ' GROUP' END"
     )
 
 
 def _site(key: str) -> str:
     return (
-        f"'https://www.' || replace(p_name, ' ', '-') || cast({key} AS string) || "
+        f"'https://www.' || {_word(key)} || '-' || {_trade(key)} || cast({key} AS string) || "
         f"CASE {key} % 3 WHEN 0 THEN '.co.uk' WHEN 1 THEN '.com' ELSE '.io' END || '/'"
     )
 
@@ -100,10 +114,10 @@ SEARCH_RESULTS = {
     "rank": "rank",
     "href": (
         "CASE rank "
-        "WHEN 0 THEN CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'https://www.LinkedIn.com/company/' || replace(p_name, ' ', '') END "
-        "WHEN 1 THEN 'https://' || replace(p_name, ' ', '') || '.xyz/' "
+        f"WHEN 0 THEN CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'https://www.LinkedIn.com/company/' || {_word('c_custkey')} END "
+        f"WHEN 1 THEN 'https://' || {_word('c_custkey')} || '.xyz/' "
         f"WHEN 2 THEN CASE WHEN c_custkey % 10 = 7 THEN 'http://unrelated.com/' ELSE {_site('c_custkey')} END "
-        "ELSE CASE WHEN c_custkey % 20 = 7 THEN 'http://' || replace(p_name, ' ', '') || '.co.uk:8080/' ELSE 'https://' || upper(replace(p_name, ' ', '')) || '.ORG/home' END "
+        f"ELSE CASE WHEN c_custkey % 20 = 7 THEN 'http://' || {_word('c_custkey')} || '.co.uk:8080/' ELSE 'https://' || upper({_trade('c_custkey')}) || '.ORG/home' END "
         "END"
     ),
 }
@@ -166,13 +180,8 @@ def columns(expressions: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in expressions.items()]
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return read(spark, sf_dir, "customer").join(parts, F.col("p_partkey") == F.col("c_custkey"))
-
-
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customers(spark, sf_dir).selectExpr(*columns(COMPANIES))
+    return read(spark, sf_dir, "customer").selectExpr(*columns(COMPANIES))
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +210,7 @@ def filing_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _customers(spark, sf_dir)
+        read(spark, sf_dir, "customer")
         .withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(3))))
         .selectExpr(*columns(SEARCH_RESULTS))
     )
@@ -212,9 +221,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    found = read(spark, sf_dir, "pages").join(parts, F.col("p_partkey") == F.col("page_id"))
-    return found.selectExpr(*columns(SITE_PAGES))
+    return read(spark, sf_dir, "pages").selectExpr(*columns(SITE_PAGES))
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:

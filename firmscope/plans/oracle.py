@@ -24,7 +24,7 @@ def _fields(expressions: dict[str, str]) -> str:
     return ", ".join(inputs.columns(expressions))
 
 
-CUSTOMERS = "customer JOIN part ON p_partkey = c_custkey"
+CUSTOMERS = "customer"
 COMPANIES = f"companies AS (SELECT {_fields(inputs.COMPANIES)} FROM {CUSTOMERS})"
 PROFILES = f"profiles AS (SELECT {_fields(inputs.PROFILES)} FROM customer)"
 FILINGS = f"filings AS (SELECT {_fields(inputs.FILINGS)} FROM orders)"
@@ -35,7 +35,7 @@ HITS = (
 )
 PAGES = f"site AS (SELECT {_fields(inputs.PAGES)} FROM pages)"
 SITE_PAGES = (
-    f"site AS (SELECT {_fields(inputs.SITE_PAGES)} FROM pages JOIN part ON p_partkey = page_id)"
+    f"site AS (SELECT {_fields(inputs.SITE_PAGES)} FROM pages)"
 )
 RUN_LOG = f"log AS (SELECT {_fields(inputs.RUN_LOG)} FROM events)"
 CALLS = f"calls AS (SELECT {_fields(inputs.CALLS)} FROM events)"
