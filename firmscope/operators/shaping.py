@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmscope.operators.ordered import (
@@ -183,25 +183,27 @@ def full_buckets(keys: DataFrame, rate: float, burst: int | None = None) -> Data
 def _adaptive_rows(
     outcomes: DataFrame, key: Sequence[str], time: str, order: str, ok: str, limited: str,
     ranges: int | None, state: DataFrame | None,
-) -> tuple[DataFrame, DataFrame]:
-    """Outcomes with the streak and failures after each, and totals per range."""
+) -> DataFrame:
+    """Outcomes with the streak and the recent failures after each."""
+    # Both flags in one column: rows and sums then need the same columns, and
+    # Spark shuffles the rows once for both.
+    flags = F.when(F.col(ok), 1).when(F.col(limited), 2).otherwise(0)
     narrow = outcomes.select(
-        *key, order, micros(outcomes, time).alias("_us"),
-        F.col(ok).alias("_ok"), F.col(limited).alias("_limited"),
+        *key, order, micros(outcomes, time).alias("_us"), flags.alias("_flags")
     )
     ranged = with_ranges(hold_keys(narrow, key), "_us", order, ranges)
     key = held(key)
     window = in_range(key, "_us", order)
-    step = F.when(F.col("_ok"), -1).otherwise(1)
+    succeeded = F.col("_flags") == 1
+    step = F.when(succeeded, -1).otherwise(1)
     rows = (
-        ranged.withColumn("_good", F.count_if(F.col("_ok")).over(window))
+        ranged.withColumn("_good", F.count_if(succeeded).over(window))
         .withColumn("_walk", F.sum(step).over(window))
-        .withColumn("_base", F.max(F.when(~F.col("_ok"), F.col("_good"))).over(window))
+        .withColumn("_base", F.max(F.when(~succeeded, F.col("_good"))).over(window))
         .withColumn("_low", F.min("_walk").over(window))
     )
     sums = rows.groupBy(*key, "_range").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col("_ok")).alias("_good_sum"),
+        F.count_if(succeeded).alias("_good_sum"),
         F.sum(step).alias("_walk_sum"),
         F.max("_base").alias("_base_top"),
         F.min("_low").alias("_low_end"),
@@ -210,7 +212,7 @@ def _adaptive_rows(
         # The state enters as a range that ends in its streak and failures.
         sums = sums.unionByName(
             state.select(
-                *key, F.lit(-1).cast("bigint").alias("_range"), F.col("events").alias("_n"),
+                *key, F.lit(-1).cast("bigint").alias("_range"),
                 F.col("streak").alias("_good_sum"), F.col("failures").alias("_walk_sum"),
                 F.lit(None).cast("bigint").alias("_base_top"),
                 F.lit(0).cast("bigint").alias("_low_end"),
@@ -230,29 +232,29 @@ def _adaptive_rows(
             F.coalesce(F.min(F.col("_walk_before") + F.col("_low_end")).over(earlier), F.lit(0)),
         ),
     )
-    whole = rows.join(
-        carried.select(
-            *key, "_range", "_good_before", "_walk_before", "_base_before", "_low_before"
-        ),
-        [*key, "_range"],
-    )
+    befores = ["_good_before", "_walk_before", "_base_before", "_low_before"]
+    whole = rows.join(carried.select(*key, "_range", *befores), [*key, "_range"])
     good = F.col("_good_before") + F.col("_good")
     base = F.greatest(F.col("_base_before"), F.col("_good_before") + F.col("_base"))
     walk = F.col("_walk_before") + F.col("_walk")
     low = F.least(F.col("_low_before"), F.col("_walk_before") + F.col("_low"))
-    flagged = whole.withColumn("streak", (good - base) % STREAK).withColumn(
-        "failures", walk - low
+    return whole.select(
+        *key, "_range", "_us", order, "_flags",
+        ((good - base) % STREAK).alias("streak"), (walk - low).alias("failures"),
+    )
+
+
+def _step(factor: float, low: float, high: float) -> Column:
+    return F.struct(
+        F.lit(float(factor)).alias("factor"),
+        F.lit(float(low)).alias("low"),
+        F.lit(float(high)).alias("high"),
     )
-    return flagged, carried
 
 
 def _compose(blocks: Column) -> Column:
     """One step (factor, low, high) that does what the ordered steps do in turn."""
-    start = F.struct(
-        F.lit(1.0).alias("factor"),
-        F.lit(0.0).alias("low"),
-        F.lit(float("inf")).alias("high"),
-    )
+    start = _step(1.0, 0.0, float("inf"))
 
     def then(done: Column, block: Column) -> Column:
         def held(bound: str) -> Column:
@@ -292,70 +294,60 @@ def adaptive_rate(
     limit answer, or a failure while three or more are recent, halves it down
     to ``floor``. ``state`` is the result for the outcomes before these.
     """
+    names, key = key, held(key)
     if state is not None:
-        state = hold_keys(state, key)
-    rows, carried = _adaptive_rows(
-        outcomes, key, time, order, ok, limited, ranges, state
+        state = hold_keys(state, names)
+    rows = _adaptive_rows(outcomes, names, time, order, ok, limited, ranges, state)
+    succeeded = F.col("_flags") == 1
+    raised = succeeded & (F.col("streak") == 0)
+    lowered = ~succeeded & ((F.col("_flags") == 2) | (F.col("failures") >= FAILURES))
+    step = F.when(raised, _step(RAISE, 0.0, ceiling)).when(
+        lowered, _step(CUT, floor, float("inf"))
     )
-    names, key = key, held(key)
-    raised = F.col("_ok") & (F.col("streak") == 0)
-    lowered = ~F.col("_ok") & (F.col("_limited") | (F.col("failures") >= FAILURES))
-    step = F.when(
-        raised,
-        F.struct(
-            F.lit(RAISE).alias("factor"), F.lit(0.0).alias("low"),
-            F.lit(float(ceiling)).alias("high"),
-        ),
-    ).otherwise(
-        F.struct(
-            F.lit(CUT).alias("factor"), F.lit(float(floor)).alias("low"),
-            F.lit(float("inf")).alias("high"),
-        )
+    # Blocks hold at most FOLD_WIDTH changes of the rate each. They become one
+    # step, level by level; what else a block knows is its last row's state.
+    changes = F.count("step").over(in_range(key, "_us", order))
+    blocks = (
+        rows.withColumn("step", step)
+        .withColumn("_at", changes)
+        .withColumn("_last", F.struct("_us", order, "streak", "failures"))
+        .withColumn("events", F.lit(1).cast("bigint"))
+        .select(*key, "_range", "_at", "step", "_last", "events")
     )
-    changes = (
-        rows.filter(raised | lowered)
-        .withColumn("step", step)
-        .withColumn(
-            "_at", F.count(F.lit(1)).over(in_range(key, "_us", order)) - 1
+
+    def merge(groups: list[str | Column]) -> DataFrame:
+        steps = F.collect_list(F.when(F.col("step").isNotNull(), F.struct("_at", "step")))
+        return blocks.groupBy(*groups).agg(
+            _compose(steps).alias("step"),
+            F.max("_last").alias("_last"),
+            F.sum("events").alias("events"),
         )
-        .select(*key, "_range", "_at", "step")
-    )
-    # Blocks of at most FOLD_WIDTH steps become one step, level by level.
+
     for level in range(_FOLD_LEVELS):
         last = level == _FOLD_LEVELS - 1
         block = F.lit(0).cast("bigint") if last else F.expr(f"_at div {FOLD_WIDTH}")
-        changes = (
-            changes.withColumn("_block", block)
-            .groupBy(*key, "_range", "_block")
-            .agg(_compose(F.collect_list(F.struct("_at", "step"))).alias("step"))
-            .withColumnRenamed("_block", "_at")
+        blocks = blocks.withColumn("_block", block)
+        blocks = merge([*key, "_range", "_block"]).withColumnRenamed("_block", "_at")
+    blocks = blocks.drop("_at").withColumnRenamed("_range", "_at")
+    ended = merge(key).select(*key, "step", "_last.streak", "_last.failures", "events")
+
+    start = F.lit(float(initial))
+    if state is not None:
+        earlier = state.select(
+            *key, F.col("rate").alias("_rate"), F.col("streak").alias("_streak"),
+            F.col("failures").alias("_failures"), F.col("events").alias("_events"),
         )
-    per_key = changes.groupBy(*key).agg(
-        _compose(
-            F.collect_list(F.struct(F.col("_range").alias("_at"), "step"))
-        ).alias("step")
-    )
-    whole = Window.partitionBy(*key).orderBy(F.desc("_range"))
-    ends = (
-        carried.withColumn("events", F.sum("_n").over(Window.partitionBy(*key)))
-        .withColumn("_last", F.row_number().over(whole))
-        .filter("_last = 1")
-    )
-    good = F.col("_good_before") + F.col("_good_sum")
-    base = F.greatest(F.col("_base_before"), F.col("_good_before") + F.col("_base_top"))
-    walk = F.col("_walk_before") + F.col("_walk_sum")
-    low = F.least(F.col("_low_before"), F.col("_walk_before") + F.col("_low_end"))
-    ended = ends.select(
-        *key, "events", ((good - base) % STREAK).alias("streak"), (walk - low).alias("failures")
-    )
-    if state is None:
-        ended = ended.withColumn("_from", F.lit(float(initial)))
-    else:
-        ended = ended.join(state.select(*key, F.col("rate").alias("_from")), list(key), "left")
-        ended = ended.withColumn("_from", F.coalesce("_from", F.lit(float(initial))))
-    rate = F.least(
-        F.col("step.high"), F.greatest(F.col("step.low"), F.col("_from") * F.col("step.factor"))
-    )
-    return ended.join(per_key, list(key), "left").select(
-        *release_keys(names), "events", F.coalesce(rate, F.col("_from")).alias("rate"), "streak", "failures"
+        ended = ended.join(earlier, key, "full").withColumns(
+            {
+                "streak": F.coalesce("streak", "_streak"),
+                "failures": F.coalesce("failures", "_failures"),
+                "events": F.coalesce("events", F.lit(0)) + F.coalesce("_events", F.lit(0)),
+            }
+        )
+        start = F.coalesce("_rate", start)
+    changed = F.least(
+        F.col("step.high"), F.greatest(F.col("step.low"), start * F.col("step.factor"))
     )
+    # Steps that never occurred change nothing.
+    rate = F.when(F.col("step").isNull(), start).otherwise(changed)
+    return ended.select(*release_keys(names), "events", rate.alias("rate"), "streak", "failures")
