@@ -123,22 +123,17 @@ def tag_headcount(doc: Column) -> Column:
     """Prefixed elements, then bare lower-case ones, tag by tag."""
 
     def search(text: Column) -> Column:
-        found = []
-        for prefix in TAXONOMIES:
-            for tag in EMPLOYEE_TAGS:
-                name = f"{prefix}:{tag}"
-                found.append(
-                    F.when(
-                        text.contains(f"<{name}"), _first_number(_element_texts(text, name))
-                    )
-                )
-                bare = tag.lower()
-                found.append(
-                    F.when(
-                        text.contains(f"<{bare}"), _first_number(_element_texts(text, bare))
-                    )
-                )
-        return F.coalesce(*found)
+        # Bare names come with the first prefix; once they found nothing, they
+        # need not be tried again with the second.
+        first_prefix, *others = TAXONOMIES
+        names = [n for tag in EMPLOYEE_TAGS for n in (f"{first_prefix}:{tag}", tag.lower())]
+        names += [f"{prefix}:{tag}" for prefix in others for tag in EMPLOYEE_TAGS]
+        return F.coalesce(
+            *[
+                F.when(text.contains(f"<{name}"), _first_number(_element_texts(text, name)))
+                for name in names
+            ]
+        )
 
     return let(doc, search)
 

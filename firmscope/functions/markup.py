@@ -51,39 +51,41 @@ MIN_META, MIN_PARAGRAPH, MIN_HEADING = 20, 50, 10
 MAX_DESCRIPTION, MAX_HEADINGS = 500, 300
 
 _REST = r"""(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*+)?"""
-_TAG = r"""(?s)<[!/?a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>"""
+_ANY_TAG = r"""[!/?a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>"""
+_TAG = f"<{_ANY_TAG}"
+_COMMENT = "!--.*?-->"
 
 
 def _element(name: str, unclosed: bool = False) -> str:
+    """An element from its start tag's name on, with the first end that follows."""
     end = rf"(?:</{name}\s*>|\z)" if unclosed else rf"</{name}\s*>"
-    return rf"<{name}{_REST}>.*?{end}"
+    return rf"{name}{_REST}>.*?{end}"
 
 
-_COMMENT = "<!--.*?-->"
-_HEAD_PIECES = "(?is)" + "|".join(
-    [_COMMENT, *[_element(n) for n in ("script", "style", "title")], f"<meta{_REST}>"]
+def _pieces(*kinds: str) -> str:
+    """Any of the kinds; with the bracket in front, most characters fail at once."""
+    return f"(?is)<(?:{'|'.join(kinds)})"
+
+
+_HEAD_PIECES = _pieces(
+    _COMMENT, *[_element(n) for n in ("script", "style", "title")], f"meta{_REST}>"
 )
-_NOISE = "(?is)" + "|".join([_COMMENT, *[_element(n, unclosed=True) for n in NOISE_ELEMENTS]])
-_UNSEEN = "(?is)" + "|".join(
-    [
-        _COMMENT,
-        *[_element(n, unclosed=True) for n in ("script", "style", "template")],
-        _TAG.removeprefix("(?s)"),
-    ]
+_NOISE = _pieces(_COMMENT, *[_element(n, unclosed=True) for n in NOISE_ELEMENTS])
+_UNSEEN = _pieces(
+    _COMMENT, *[_element(n, unclosed=True) for n in ("script", "style", "template")], _ANY_TAG
 )
 
 
 # Entities and text
 
 # Names come from the standard library, so the table is not written out here.
-_ENTITY_NAMES = {name: chr(code) for name, code in name2codepoint.items()}
+# One text that Spark folds into a map literal; 0x01 and 0x02 separate it.
+_ENTITIES = "\x01".join(f"{name}\x02{chr(code)}" for name, code in name2codepoint.items())
 
 
 def decode_entities(text: Column) -> Column:
     """Replace named and numeric character references; unknown ones stay."""
-    names = F.create_map(
-        *[F.lit(item) for pair in sorted(_ENTITY_NAMES.items()) for item in pair]
-    )
+    names = F.str_to_map(F.lit(_ENTITIES), F.lit("\x01"), F.lit("\x02"))
 
     def character(reference: Column) -> Column:
         code = (
@@ -382,10 +384,8 @@ def _paragraph(body: Column) -> Column:
 
 def _headings(body: Column) -> Column:
     """Title and the first three headings that are long enough, joined."""
-    title = F.slice(find_all(body, "(?is)" + _element("title")), 1, 1)
-    heads = F.slice(
-        find_all(body, "(?is)" + "|".join(_element(h) for h in ("h1", "h2"))), 1, 3
-    )
+    title = F.slice(find_all(body, _pieces(_element("title"))), 1, 1)
+    heads = F.slice(find_all(body, _pieces(_element("h1"), _element("h2"))), 1, 3)
     texts = F.concat(
         F.transform(title, fragment_text),
         F.filter(
