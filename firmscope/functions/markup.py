@@ -68,7 +68,10 @@ def _pieces(*kinds: str) -> str:
 
 
 _HEAD_PIECES = _pieces(
-    _COMMENT, *[_element(n) for n in ("script", "style", "title")], f"meta{_REST}>"
+    _COMMENT,
+    *[_element(n, unclosed=True) for n in ("script", "style")],
+    _element("title"),
+    f"meta{_REST}>",
 )
 _NOISE = _pieces(_COMMENT, *[_element(n, unclosed=True) for n in NOISE_ELEMENTS])
 _UNSEEN = _pieces(

@@ -48,7 +48,7 @@ META_ENTITIES = (
 )
 
 # Contact patterns; phones are tried in this order.
-EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 MACHINE_SENDERS = ("noreply", "no-reply", "donotreply")
 PHONES = (
     r"(?U)\+44\s?\d{3}\s?\d{3}\s?\d{4}",
@@ -57,6 +57,11 @@ PHONES = (
 )
 
 
+# An address can only start in a run of its characters that ends at an at sign.
+# Looking for that first keeps long runs without one (encoded data) linear.
+_EMAIL_RUN = rf"(?U)(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9._%+-]++@)[A-Za-z0-9._%+-]*?({EMAIL})"
+
+
 # Company numbers, names and addresses
 
 def pad_number(number: Column) -> Column:
@@ -157,7 +162,7 @@ def business_email(text: Column) -> Column:
 
     def pick(body: Column) -> Column:
         people = F.filter(
-            find_all(body, EMAIL),
+            find_all(body, _EMAIL_RUN, 1),
             lambda address: ~F.lower(address).rlike(any_of(MACHINE_SENDERS)),
         )
         return F.when(body.contains("@"), first(people))

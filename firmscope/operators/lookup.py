@@ -119,17 +119,24 @@ def geocode(addresses: DataFrame, primary: DataFrame, fallback: DataFrame) -> Da
     Addresses that are too short are not looked up.
     """
 
-    def positions(gazetteer: DataFrame, name: str) -> DataFrame:
+    def positions(gazetteer: DataFrame, place: int) -> DataFrame:
         position = format_position(F.col("lat"), F.col("lng"), F.col("formatted"))
-        return gazetteer.groupBy("address").agg(F.min(position).alias(name))
-
-    wanted = addresses.withColumn("_query", F.when(can_geocode(F.col("address")), F.col("address")))
-    found = wanted
-    for gazetteer, name in ((primary, "_primary"), (fallback, "_fallback")):
-        answers = positions(gazetteer, name).withColumnRenamed("address", "_query")
-        found = found.join(answers, "_query", "left")
-    return found.withColumn("position", F.coalesce("_primary", "_fallback")).select(
-        *addresses.columns, "position"
+        return gazetteer.select(
+            F.col("address").alias("_query"),
+            F.struct(F.lit(place).alias("place"), position.alias("position")).alias("_answer"),
+        ).filter(F.col("_answer.position").isNotNull())
+
+    # One table of best answers, so that one join serves both and an address
+    # that many companies share can be split.
+    answers = (
+        positions(primary, 0).unionByName(positions(fallback, 1))
+        .groupBy("_query").agg(F.min("_answer").alias("_answer"))
+    )
+    query = F.when(can_geocode(F.col("address")), F.col("address"))
+    return (
+        addresses.withColumn("_query", query)
+        .join(answers, "_query", "left")
+        .select(*addresses.columns, F.col("_answer.position").alias("position"))
     )
 
 

@@ -125,16 +125,19 @@ def micros(df: DataFrame, time: str, value: Column | None = None) -> Column:
 # Numbering and chunks
 
 def number_rows(df: DataFrame, *order: str, ranges: int | None = None) -> DataFrame:
-    """Add ``row_no`` (from 0) along a total order of any column types.
+    """Add ``row_no`` (from 0) along columns of any types, ties in input order.
 
-    One range shuffle. Each partition counts its own rows; only the counts,
-    one per partition, are summed in one place. The split is pinned, because
-    counts and rows must come from the same one.
+    One range shuffle; the input place is part of the order, so equal rows can
+    be split as well. Each partition counts its own rows; only the counts, one
+    per partition, are summed in one place. The split is pinned, because counts
+    and rows must come from the same one.
     """
     ranges = ranges or range_count(df)
     split = (
-        df.repartitionByRange(ranges, *order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, *order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
     pinned = pin(split)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def profile_table(df: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def profile_table(df: DataFrame) -> DataFrame:
 def map_rows_safe(
     df: DataFrame, function: Callable[[dict[str, Any]], Any], result: T.DataType
 ) -> DataFrame:
-    """Call ``function`` on every row; what it raises becomes a value.
+    """Call ``function`` on every row (a dict); what it raises becomes a value.
 
     Adds ``result`` and ``error`` (``Type: message``, null when it went well).
     Rows travel in Arrow batches; one bad row does not fail the job.
@@ -47,21 +48,23 @@ def map_rows_safe(
             T.StructField("error", T.StringType()),
         ]
     )
+    kind = to_arrow_type(result)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def attempt(row: dict[str, Any]) -> tuple[Any, str | None]:
+        try:
+            value = function(row)
+            pa.scalar(value, type=kind)  # a value of the wrong type is an error too
+            return value, None
+        except Exception as problem:  # noqa: BLE001 - it is the result
+            return None, f"{type(problem).__name__}: {problem}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results, errors = [], []
-            for row in batch.to_dict("records"):
-                value, error = None, None
-                try:
-                    value = function(row)
-                except Exception as problem:  # noqa: BLE001 - it is the result
-                    error = f"{type(problem).__name__}: {problem}"
-                results.append(value)
-                errors.append(error)
-            yield batch.assign(
-                result=pd.Series(results, index=batch.index, dtype="object"),
-                error=pd.Series(errors, index=batch.index, dtype="object"),
+            done = [attempt(row) for row in batch.to_pylist()]
+            results = pa.array([value for value, _ in done], type=kind)
+            errors = pa.array([error for _, error in done], type=pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, results, errors], names=schema.names
             )
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)

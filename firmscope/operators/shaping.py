@@ -50,11 +50,11 @@ def _burst(rate: float, burst: int | None) -> int:
 # starts at max(time_i, owed - burst * T). State after an event is just the
 # count of events and that maximum.
 
-def _bucket_ranges(
+def _bucket(
     events: DataFrame, key: Sequence[str], time: str, order: str, interval: int,
-    ranges: int | None,
+    ranges: int | None, state: DataFrame | None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows with their place and running peak in the range, and the sums per range."""
+    """Rows with place and peak inside their range, and the ranges placed in order."""
     narrow = hold_keys(events.select(*key, order, micros(events, time).alias("_us")), key)
     window = in_range(held(key), "_us", order)
     rows = (
@@ -66,21 +66,19 @@ def _bucket_ranges(
     sums = rows.groupBy(*held(key), "_range").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_slack").alias("_top")
     )
-    return rows, sums
-
-
-def _add_state(sums: DataFrame, key: Sequence[str], state: DataFrame | None) -> DataFrame:
-    """Put the state left by earlier events in front, as one more range."""
-    if state is None:
-        return sums
-    earlier = hold_keys(state, key).select(
-        *held(key), F.lit(-1).cast("bigint").alias("_range"),
-        F.col("events").alias("_n"), F.col("peak").alias("_top"),
-    )
-    return sums.unionByName(earlier)
+    if state is not None:
+        # Earlier events stand in front, as one more range.
+        sums = sums.unionByName(
+            hold_keys(state, key).select(
+                *held(key), F.lit(-1).cast("bigint").alias("_range"),
+                F.col("events").alias("_n"), F.col("peak").alias("_top"),
+            )
+        )
+    before = F.coalesce(F.sum("_n").over(before_range(held(key))), F.lit(0))
+    return rows, sums.withColumn("_before", before)
 
 
-def token_bucket(
+def token_bucket_step(
     events: DataFrame,
     key: Sequence[str],
     time: str,
@@ -89,24 +87,21 @@ def token_bucket(
     burst: int | None = None,
     ranges: int | None = None,
     state: DataFrame | None = None,
-) -> DataFrame:
-    """When each event may start: (key, order, time_us, start_us, wait_us).
+) -> tuple[DataFrame, DataFrame]:
+    """Shaped events, and the state (key, events, peak) that they leave.
 
     ``rate`` is tokens per second and key; the bucket starts full. ``state``
-    is what ``token_bucket_state`` left behind for events before these.
+    is what earlier events left. (time, order) must tell a key's events apart.
     """
     interval, size = _interval(rate), _burst(rate, burst)
-    rows, sums = _bucket_ranges(events, key, time, order, interval, ranges)
-    earlier = before_range(held(key))
-    placed = _add_state(sums, key, state).withColumn(
-        "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    rows, placed = _bucket(events, key, time, order, interval, ranges, state)
+    top = F.col("_top") - F.col("_before") * interval
+    carried = placed.select(
+        *held(key), "_range", "_before", F.max(top).over(before_range(held(key))).alias("_carried")
     )
-    carried = placed.withColumn(
-        "_carried", F.max(F.col("_top") - F.col("_before") * interval).over(earlier)
-    ).select(*held(key), "_range", "_before", "_carried")
     peak = F.greatest("_carried", F.col("_peak") - F.col("_before") * interval)
     owed = (F.col("_before") + F.col("_i") + 1) * interval + peak
-    return (
+    shaped = (
         rows.join(carried, [*held(key), "_range"])
         .withColumn("start_us", F.greatest(F.col("_us"), owed - size * interval))
         .select(
@@ -114,28 +109,24 @@ def token_bucket(
             (F.col("start_us") - F.col("_us")).alias("wait_us"),
         )
     )
+    totals = placed.groupBy(*held(key)).agg(
+        F.sum("_n").alias("events"), F.max(top).alias("peak")
+    )
+    return shaped, totals.select(*release_keys(key), "events", "peak")
 
 
-def token_bucket_state(
+def token_bucket(
     events: DataFrame,
     key: Sequence[str],
     time: str,
     order: str,
     rate: float,
+    burst: int | None = None,
     ranges: int | None = None,
     state: DataFrame | None = None,
 ) -> DataFrame:
-    """What a bucket remembers after all events: (key, events, peak)."""
-    interval = _interval(rate)
-    _, sums = _bucket_ranges(events, key, time, order, interval, ranges)
-    placed = _add_state(sums, key, state).withColumn(
-        "_before", F.coalesce(F.sum("_n").over(before_range(held(key))), F.lit(0))
-    )
-    totals = placed.groupBy(*held(key)).agg(
-        F.sum("_n").alias("events"),
-        F.max(F.col("_top") - F.col("_before") * interval).alias("peak"),
-    )
-    return totals.select(*release_keys(key), "events", "peak")
+    """When each event may start: (key, order, time_us, start_us, wait_us)."""
+    return token_bucket_step(events, key, time, order, rate, burst, ranges, state)[0]
 
 
 def tokens_available(
@@ -151,9 +142,8 @@ def tokens_available(
     """Whole tokens per key at one time, given the events until then."""
     interval, size = _interval(rate), _burst(rate, burst)
     now = micros(events, time, at)
-    state = token_bucket_state(
-        events.filter(micros(events, time) <= now), key, time, order, rate, ranges
-    )
+    until = events.filter(micros(events, time) <= now)
+    _, state = token_bucket_step(until, key, time, order, rate, burst, ranges)
     owed = F.col("events") * interval + F.col("peak")
     free = now - owed + size * interval
     tokens = F.least(F.lit(size), F.greatest(F.lit(0), F.floor(free / interval)))

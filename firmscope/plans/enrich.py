@@ -97,13 +97,11 @@ def locate(profiles: DataFrame, gazetteers: tuple[DataFrame, DataFrame]) -> Data
 class Lookups:
     """Everything an enrichment adds, one row per key."""
 
-    headcounts: DataFrame
-    sites: DataFrame
-    locations: DataFrame | None = None
+    by_number: DataFrame
+    by_name: DataFrame
 
     def each(self, change: Callable[[DataFrame], DataFrame]) -> Lookups:
-        located = None if self.locations is None else change(self.locations)
-        return Lookups(change(self.headcounts), change(self.sites), located)
+        return Lookups(change(self.by_number), change(self.by_name))
 
 
 def prepare(
@@ -111,11 +109,16 @@ def prepare(
     years: tuple[int, ...] = YEARS,
     gazetteers: tuple[DataFrame, DataFrame] | None = None,
 ) -> Lookups:
-    return Lookups(
-        headcount_by_year(landed.filings, landed.filing_docs, years),
-        company_sites(landed.search_results, landed.pages),
-        gazetteers and locate(landed.profiles, gazetteers),
-    )
+    """Work the lookups out. The location stays empty unless gazetteers are given."""
+    by_number = headcount_by_year(landed.filings, landed.filing_docs, years)
+    if gazetteers is None:
+        by_number = by_number.withColumn("manufacturing_location", F.lit(""))
+    else:
+        # Brought together before they meet the companies: one join with the
+        # input per key, in which Spark can split a frequent company.
+        located = locate(landed.profiles, gazetteers)
+        by_number = by_number.join(located, "company_number", "full")
+    return Lookups(by_number, company_sites(landed.search_results, landed.pages))
 
 
 def attach(companies: DataFrame, lookups: Lookups) -> DataFrame:
@@ -125,21 +128,17 @@ def attach(companies: DataFrame, lookups: Lookups) -> DataFrame:
     and duplicates stay.
     """
     require_columns(companies)
-    years = [c for c in lookups.headcounts.columns if c != "company_number"]
-    result = ["company_url", "description", *years, "manufacturing_location"]
+    added = [c for c in lookups.by_number.columns if c != "company_number"]
+    result = ["company_url", "description", *added]
     clash = sorted({*result, "company_number", "company_name"} & set(companies.columns))
     if clash:
         raise ValueError(f"input already has result columns: {', '.join(clash)}")
 
     enriched = (
         with_number(companies)
-        .join(lookups.headcounts, "company_number", "left")
-        .join(lookups.sites, F.col("CompanyName") == F.col("company_name"), "left")
+        .join(lookups.by_number, "company_number", "left")
+        .join(lookups.by_name, F.col("CompanyName") == F.col("company_name"), "left")
     )
-    if lookups.locations is None:
-        enriched = enriched.withColumn("manufacturing_location", F.lit(""))
-    else:
-        enriched = enriched.join(lookups.locations, "company_number", "left")
     return enriched.select(
         *companies.columns, *[F.coalesce(c, F.lit("")).alias(c) for c in result]
     )
@@ -151,5 +150,5 @@ def enrich_companies(
     years: tuple[int, ...] = YEARS,
     gazetteers: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """The whole job. The location stays empty unless gazetteers are given."""
+    """The whole job as one lazy plan."""
     return attach(companies, prepare(landed, years, gazetteers))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from firmscope.operators.shaping import adaptive_rate, token_bucket, token_bucket_state
+from firmscope.operators.shaping import adaptive_rate, token_bucket_step
 from firmscope.plans.enrich import Lookups, attach
 from firmscope.shared import pin
 
@@ -161,10 +161,7 @@ def token_bucket_stream(
     """
 
     def shape(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        return (
-            token_bucket(batch, key, time, order, rate, burst, ranges, state),
-            token_bucket_state(batch, key, time, order, rate, ranges, state),
-        )
+        return token_bucket_step(batch, key, time, order, rate, burst, ranges, state)
 
     return _stateful(events, shape, out, state_path, checkpoint)
 

@@ -226,7 +226,15 @@ def test_map_rows_safe(spark):
     def half(row):
         return 10 // row["n"]
 
-    df = spark.createDataFrame([(0,), (5,)], "n int")
+    df = spark.createDataFrame([(0,), (5,), (None,), (3,)], "n int")
     got = {r.n: (r.result, r.error) for r in rows.map_rows_safe(df, half, T.LongType()).collect()}
-    assert got[5] == (2, None)
+    assert got[5] == (2, None) and got[3] == (3, None)
     assert got[0][0] is None and got[0][1].startswith("ZeroDivisionError")
+    assert got[None][0] is None and got[None][1].startswith("TypeError")
+
+
+def test_map_rows_safe_checks_the_type(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    mapped = rows.map_rows_safe(df, lambda row: row["s"] if row["n"] == 1 else 7, T.LongType())
+    got = {r.n: (r.result, r.error is None) for r in mapped.collect()}
+    assert got == {1: (None, False), 2: (7, True)}

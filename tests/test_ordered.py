@@ -221,6 +221,14 @@ def test_chunks(spark, rows, size):
     assert [r.chunk_id for r in got] == [n // size for n in range(rows)]
 
 
+def test_equal_rows_are_split_too(spark):
+    df = spark.range(1000).select(F.lit("same").alias("key"), "id")
+    numbered = ordered.number_rows(df, "key", ranges=8)
+    assert sorted(r.row_no for r in numbered.collect()) == list(range(1000))
+    spread = numbered.groupBy(F.spark_partition_id()).count()
+    assert spread.agg(F.max("count")).first()[0] < 1000
+
+
 def test_slice(spark):
     df = spark.range(100).select(F.format_string("%03d", "id").alias("key"))
     keys = [f"{n:03d}" for n in range(100)]
