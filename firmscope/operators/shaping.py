@@ -29,8 +29,8 @@ RAISE, CUT = 1.1, 0.5
 FAILURES = 3
 FLOOR, CEILING = 0.1, 10.0
 
-FOLD_WIDTH = 1_000
-_FOLD_LEVELS = 3
+FOLD_WIDTH = 10_000
+_FOLD_LEVELS = 2
 # A factor beyond these has long hit a bound; stopping there avoids overflow.
 _LEAST_FACTOR, _MOST_FACTOR = 1e-150, 1e150
 
@@ -45,33 +45,37 @@ def _burst(rate: float, burst: int | None) -> int:
 
 # Token bucket
 #
-# With T the time one token takes, event i (from 0) of a key leaves the bucket
-# owing until owed = (i + 1) * T + max over j <= i of (time_j - j * T), and
-# starts at max(time_i, owed - burst * T). State after an event is just the
-# count of events and that maximum.
+# Let T be the time one token takes and used_i the tokens that a key's events
+# up to and with event i ask for. The bucket is paid back at
+#   owed_i = used_i * T + max over j <= i of (time_j - used_(j-1) * T)
+# and the event starts at max(time_i, owed_i - burst * T). State after an event
+# is just the tokens used and that maximum.
 
 def _bucket(
     events: DataFrame, key: Sequence[str], time: str, order: str, interval: int,
-    ranges: int | None, state: DataFrame | None,
+    tokens: str | None, ranges: int | None, state: DataFrame | None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows with place and peak inside their range, and the ranges placed in order."""
-    narrow = hold_keys(events.select(*key, order, micros(events, time).alias("_us")), key)
+    """Rows with tokens used and peak in their range, and the ranges placed in order."""
+    asked = F.lit(1) if tokens is None else F.col(tokens)
+    narrow = events.select(
+        *key, order, micros(events, time).alias("_us"), asked.cast("bigint").alias("_asked")
+    )
     window = in_range(held(key), "_us", order)
     rows = (
-        with_ranges(narrow, "_us", order, ranges)
-        .withColumn("_i", F.count(F.lit(1)).over(window) - 1)
-        .withColumn("_slack", F.col("_us") - F.col("_i") * interval)
+        with_ranges(hold_keys(narrow, key), "_us", order, ranges)
+        .withColumn("_used", F.sum("_asked").over(window))
+        .withColumn("_slack", F.col("_us") - (F.col("_used") - F.col("_asked")) * interval)
         .withColumn("_peak", F.max("_slack").over(window))
     )
     sums = rows.groupBy(*held(key), "_range").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_slack").alias("_top")
+        F.sum("_asked").alias("_n"), F.max("_slack").alias("_top")
     )
     if state is not None:
         # Earlier events stand in front, as one more range.
         sums = sums.unionByName(
             hold_keys(state, key).select(
                 *held(key), F.lit(-1).cast("bigint").alias("_range"),
-                F.col("events").alias("_n"), F.col("peak").alias("_top"),
+                F.col("used").alias("_n"), F.col("peak").alias("_top"),
             )
         )
     before = F.coalesce(F.sum("_n").over(before_range(held(key))), F.lit(0))
@@ -85,22 +89,25 @@ def token_bucket_step(
     order: str,
     rate: float,
     burst: int | None = None,
+    tokens: str | None = None,
     ranges: int | None = None,
     state: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Shaped events, and the state (key, events, peak) that they leave.
+    """Shaped events, and the state (key, used, peak) that they leave.
 
-    ``rate`` is tokens per second and key; the bucket starts full. ``state``
-    is what earlier events left. (time, order) must tell a key's events apart.
+    ``rate`` is tokens per second and key; the bucket starts full. ``tokens``
+    names the column with the tokens an event asks for, one each by default.
+    ``state`` is what earlier events left. (time, order) must tell a key's
+    events apart.
     """
     interval, size = _interval(rate), _burst(rate, burst)
-    rows, placed = _bucket(events, key, time, order, interval, ranges, state)
+    rows, placed = _bucket(events, key, time, order, interval, tokens, ranges, state)
     top = F.col("_top") - F.col("_before") * interval
     carried = placed.select(
         *held(key), "_range", "_before", F.max(top).over(before_range(held(key))).alias("_carried")
     )
     peak = F.greatest("_carried", F.col("_peak") - F.col("_before") * interval)
-    owed = (F.col("_before") + F.col("_i") + 1) * interval + peak
+    owed = (F.col("_before") + F.col("_used")) * interval + peak
     shaped = (
         rows.join(carried, [*held(key), "_range"])
         .withColumn("start_us", F.greatest(F.col("_us"), owed - size * interval))
@@ -110,9 +117,9 @@ def token_bucket_step(
         )
     )
     totals = placed.groupBy(*held(key)).agg(
-        F.sum("_n").alias("events"), F.max(top).alias("peak")
+        F.sum("_n").alias("used"), F.max(top).alias("peak")
     )
-    return shaped, totals.select(*release_keys(key), "events", "peak")
+    return shaped, totals.select(*release_keys(key), "used", "peak")
 
 
 def token_bucket(
@@ -122,11 +129,12 @@ def token_bucket(
     order: str,
     rate: float,
     burst: int | None = None,
+    tokens: str | None = None,
     ranges: int | None = None,
     state: DataFrame | None = None,
 ) -> DataFrame:
     """When each event may start: (key, order, time_us, start_us, wait_us)."""
-    return token_bucket_step(events, key, time, order, rate, burst, ranges, state)[0]
+    return token_bucket_step(events, key, time, order, rate, burst, tokens, ranges, state)[0]
 
 
 def tokens_available(
@@ -137,18 +145,19 @@ def tokens_available(
     rate: float,
     at: Column,
     burst: int | None = None,
+    tokens: str | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Whole tokens per key at one time, given the events until then."""
     interval, size = _interval(rate), _burst(rate, burst)
     now = micros(events, time, at)
     until = events.filter(micros(events, time) <= now)
-    _, state = token_bucket_step(until, key, time, order, rate, burst, ranges)
-    owed = F.col("events") * interval + F.col("peak")
+    _, state = token_bucket_step(until, key, time, order, rate, burst, tokens, ranges)
+    owed = F.col("used") * interval + F.col("peak")
     free = now - owed + size * interval
-    tokens = F.least(F.lit(size), F.greatest(F.lit(0), F.floor(free / interval)))
+    left = F.least(F.lit(size), F.greatest(F.lit(0), F.floor(free / interval)))
     # No event yet means a full bucket; least and greatest skip nulls.
-    known = F.when(F.col("events").isNull(), F.lit(size)).otherwise(tokens)
+    known = F.when(F.col("used").isNull(), F.lit(size)).otherwise(left)
     keys = hold_keys(events.select(*key), key).distinct()
     return keys.join(hold_keys(state, key), held(key), "left").select(
         *release_keys(key), known.cast("int").alias("tokens")

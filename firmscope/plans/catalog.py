@@ -357,6 +357,12 @@ def token_bucket_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.token_bucket(inputs.calls(spark, sf_dir), ["caller"], "ts", "id", RATE, BURST)
 
 
+@query
+def token_bucket_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = inputs.calls(spark, sf_dir).withColumn("asked", F.col("id") % 4)
+    return shaping.token_bucket(calls, ["caller"], "ts", "id", RATE, BURST, "asked")
+
+
 @query
 def token_bucket_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.tokens_available(

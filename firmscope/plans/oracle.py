@@ -540,6 +540,14 @@ def statements() -> dict[str, str]:
             f"FROM counted WHERE processed % {REPORT_EVERY} = 0"
         ),
         "token_bucket_shape": f"WITH {BUCKET} SELECT * FROM shaped",
+        "token_bucket_weighted": (
+            f"WITH {CALLS}, used AS (SELECT caller, id, epoch_us(ts) AS us, id % 4 AS asked, "
+            "cast(sum(id % 4) OVER (PARTITION BY caller ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS bigint) AS used FROM calls), "
+            f"owing AS (SELECT *, used * {INTERVAL} + max(us - (used - asked) * {INTERVAL}) OVER "
+            "(PARTITION BY caller ORDER BY us, id ROWS UNBOUNDED PRECEDING) AS owed FROM used) "
+            f"SELECT caller, id, us AS time_us, greatest(us, owed - {BURST * INTERVAL}) AS start_us, "
+            f"greatest(us, owed - {BURST * INTERVAL}) - us AS wait_us FROM owing"
+        ),
         "token_bucket_available": (
             f"WITH {BUCKET}, last_owed AS (SELECT caller, max(owed) AS owed FROM owing WHERE us <= epoch_us(TIMESTAMP '{AS_OF}') GROUP BY caller) "
             f"SELECT c.caller, cast(CASE WHEN owed IS NULL THEN {BURST} ELSE least({BURST}, greatest(0, floor((epoch_us(TIMESTAMP '{AS_OF}') - owed + {BURST * INTERVAL}) / {INTERVAL}.0))) END AS integer) AS tokens "

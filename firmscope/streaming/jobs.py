@@ -161,7 +161,7 @@ def token_bucket_stream(
     """
 
     def shape(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        return token_bucket_step(batch, key, time, order, rate, burst, ranges, state)
+        return token_bucket_step(batch, key, time, order, rate, burst, None, ranges, state)
 
     return _stateful(events, shape, out, state_path, checkpoint)
 

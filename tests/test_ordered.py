@@ -39,7 +39,7 @@ def us(ts):
     return round((ts - datetime.datetime(1970, 1, 1)) / datetime.timedelta(microseconds=1))
 
 
-def bucket_loop(rows, interval, burst):
+def bucket_loop(rows, interval, burst, asked=lambda id: 1):
     """Serve the events one after the other from a bucket of tokens."""
     starts = {}
     for key, events in by_key(rows).items():
@@ -48,8 +48,9 @@ def bucket_loop(rows, interval, burst):
             now = us(ts) if last is None else max(us(ts), last)
             if last is not None:
                 tokens = min(burst * interval, tokens + now - last)
-            start = now + max(0, interval - tokens)
-            tokens = tokens + (start - now) - interval
+            need = asked(id) * interval
+            start = now + max(0, need - tokens)
+            tokens = tokens + (start - now) - need
             last = start
             starts[key, id] = max(start, us(ts))
     return starts
@@ -91,6 +92,16 @@ def test_token_bucket(spark, name, ranges):
     assert all(r.wait_us == r.start_us - r.time_us for r in got)
 
 
+def test_token_bucket_with_more_tokens(spark):
+    # One to five tokens each, more than the bucket holds.
+    rows = TRACES["spread"]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("asked", F.col("id") % 5 + 1)
+    got = shaping.token_bucket(df, ["k"], "ts", "id", 0.2, 3, tokens="asked", ranges=9).collect()
+    assert {(r.k, r.id): r.start_us for r in got} == bucket_loop(
+        rows, 5_000_000, 3, lambda id: id % 5 + 1
+    )
+
+
 def test_token_bucket_known_waits(spark):
     rows = [("a", START, id, True, False) for id in range(10)]
     df = spark.createDataFrame(rows, SCHEMA)
