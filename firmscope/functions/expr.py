@@ -27,6 +27,7 @@ def strip(text: Column) -> Column:
 
 
 def collapse_space(text: Column) -> Column:
+    """Every run of white space becomes one blank."""
     return F.regexp_replace(text, rf"{SPACE}+", " ")
 
 

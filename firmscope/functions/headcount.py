@@ -70,7 +70,7 @@ CONTEXT = 100
 
 # Inside of a start tag that is not self-closing. The loops are possessive, so
 # a tag with thousands of attributes costs no stack.
-_OPEN_REST = r"""(?:\s(?:[^>"'/]|/+[^>"'/]|"[^"]*"|'[^']*')*+)?"""
+_OPEN_REST = r"""(?:\s(?:[^>=/]|/(?!>)|=\s*"[^"]*"|=\s*'[^']*'|=)*+)?"""
 
 
 # Filings: which ones, and which document
@@ -243,12 +243,12 @@ def text_headcount(text: Column) -> Column:
             return digits.try_cast("int").between(1, TEXT_LIMIT) & near_people(body, digits)
 
         picks = [first(F.filter(find_all(body, phrase, 1), accept)) for phrase in PHRASES]
-        return F.when(
-            body.contains("employ") | body.contains("staff"),
-            F.coalesce(*picks).try_cast("bigint"),
-        )
+        return F.coalesce(*picks).try_cast("bigint")
 
-    return let(F.lower(collapse_space(text)), search)
+    # Every phrase holds one of these, so other texts need not be normalised.
+    return F.when(
+        text.rlike("(?i)employ|staff"), let(F.lower(collapse_space(text)), search)
+    )
 
 
 def document_headcount(content: Column, text: Column) -> Column:

@@ -50,10 +50,13 @@ OPEN_GRAPH = {
 MIN_META, MIN_PARAGRAPH, MIN_HEADING = 20, 50, 10
 MAX_DESCRIPTION, MAX_HEADINGS = 500, 300
 
-_REST = r"""(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*+)?"""
-_ANY_TAG = r"""[!/?a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>"""
+# Inside of a tag: quotes count only as the value of an attribute, so a stray
+# one does not swallow what follows.
+_INSIDE = r"""(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+"""
+_REST = rf"(?:[\s/]{_INSIDE})?"
+_ANY_TAG = rf"[!/?a-zA-Z]{_INSIDE}>"
 _TAG = f"<{_ANY_TAG}"
-_COMMENT = "!--.*?-->"
+_COMMENT = r"!--.*?(?:-->|\z)"
 
 
 def _element(name: str, unclosed: bool = False) -> str:
@@ -161,7 +164,7 @@ def _attribute(pairs: Column, name: str) -> Column:
 
 
 def _attributes(tag: Column) -> Column:
-    return find_all(tag, r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
+    return find_all(tag, r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""")
 
 
 def head_pieces(html: Column) -> Column:
@@ -374,12 +377,13 @@ def _paragraph(body: Column) -> Column:
                 .when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
                 .otherwise(state["depth"])
                 .alias("depth"),
-                F.when(state["hit"].isNotNull(), state["hit"])
-                .when(paragraph, candidate(piece))
-                .alias("hit"),
+                F.when(paragraph, candidate(piece)).alias("hit"),
             )
 
-        return let(F.lower(F.left(piece, F.lit(10))), by_head)
+        # Nothing is looked at any more once there is a hit.
+        return F.when(state["hit"].isNotNull(), state).otherwise(
+            let(F.lower(F.left(piece, F.lit(10))), by_head)
+        )
 
     hit = F.aggregate(pieces, start, step, lambda state: state["hit"])
     return F.left(clean_site_text(hit), F.lit(MAX_DESCRIPTION))

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from firmscope.shared import pin
 
 MAX_RANGES = 2_000
+FEW = 1_000
 
 
 def range_count(df: DataFrame) -> int:
@@ -45,9 +46,10 @@ def _bucket(df: DataFrame, column: str, points: list[float], name: str) -> DataF
 def with_ranges(df: DataFrame, time: str, tie: str, ranges: int | None = None) -> DataFrame:
     """Add ``_range``, which never decreases along (time, tie).
 
-    ``time`` and ``tie`` are numeric columns. The cut points are literals in
-    the plan, so recomputed tasks cut the same way. A single instant that
-    holds several ranges' worth of rows is cut further along ``tie``.
+    ``time`` and ``tie`` are numeric columns. The cut points come from one pass
+    over ``time`` while the plan is built and are literals in it, so recomputed
+    tasks cut the same way. A single instant that holds several ranges' worth
+    of rows is cut further along ``tie``.
     """
     ranges = ranges or range_count(df)
     points = _cut_points(df, time, ranges)
@@ -171,6 +173,10 @@ def chunk_rows(df: DataFrame, chunk_size: int, *order: str) -> DataFrame:
 
 def slice_rows(df: DataFrame, start: int, length: int | None, *order: str) -> DataFrame:
     """Rows ``start`` to ``start + length`` of the order (to the end without length)."""
+    if length is not None and start + length <= FEW:
+        # Few enough that every task keeps its first ones and one task picks.
+        placed = df.withColumn("_tie", F.monotonically_increasing_id())
+        return placed.orderBy(*order, "_tie").offset(start).limit(length).drop("_tie")
     numbered = number_rows(df, *order)
     chosen = F.col("row_no") >= start
     if length is not None:

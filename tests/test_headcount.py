@@ -35,8 +35,10 @@ def test_tag_stage_order(spark):
         # case matters here, and self-closing elements hold nothing
         tag("uk-gaap:averagenumberofemployees", "5"),
         "<uk-gaap:EmployeesTotal/><b>5</b><uk-gaap:EmployeesTotal>6</uk-gaap:EmployeesTotal>",
+        "<uk-gaap:EmployeesTotal a='/' /><b>5</b><uk-gaap:EmployeesTotal a='x/y'>6</uk-gaap:EmployeesTotal>",
+        tag("uk-gaap:EmployeesTotal " + "b='1' " * 20_000, "8").replace("</uk-gaap:EmployeesTotal b", "</uk-gaap:EmployeesTotal><c b"),
     ]
-    assert apply(spark, H.tag_headcount, given) == [1250, 4, 12, 9, None, 6]
+    assert apply(spark, H.tag_headcount, given) == [1250, 4, 12, 9, None, 6, 6, 8]
 
 
 def test_markup_stage(spark):

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from firmscope.functions import text as X
-from firmscope.functions.expr import strip
+from firmscope.functions.expr import collapse_space, strip
 from tests.helpers import apply
 
 
@@ -85,6 +85,13 @@ def test_clean_meta_text(spark):
     assert apply(spark, X.clean_meta_text, given) == want
 
 
+def test_collapse_space_agrees_with_python(spark):
+    rng = random.Random(9)
+    blanks = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2003\u2028\u2029\u202f\u205f\u3000"
+    given = ["".join(rng.choice("ab   " + blanks) for _ in range(50)) for _ in range(300)]
+    assert apply(spark, collapse_space, given) == [re.sub(r"\s+", " ", text) for text in given]
+
+
 def test_strip_knows_unicode_space(spark):
     given = [" a b \x1f", "\n\t", ""]
     assert apply(spark, strip, given) == [value.strip() for value in given]
