@@ -1,10 +1,11 @@
 """Results that depend on the order of rows, computed without one task per key.
 
 A running value over one key would put all rows of that key into one task. So
-rows are cut into ranges of the order, each holding a bounded share of all
-rows whatever their keys. Every (key, range) is worked on by itself, summed up
+the rows of frequent keys are cut into ranges of the order, each holding a
+bounded share of all rows. Every (key, range) is worked on by itself, summed up
 in one row, the summaries are chained per key (never more than the number of
-ranges), and what went before is added back to the rows.
+ranges), and what went before is added back to the rows. Other keys are one
+range, so there are hardly more summaries than keys.
 """
 
 from __future__ import annotations
@@ -43,28 +44,43 @@ def _bucket(df: DataFrame, column: str, points: list[float], name: str) -> DataF
     return cut.transform(numbered).withColumn(name, found).drop(number)
 
 
-def with_ranges(df: DataFrame, time: str, tie: str, ranges: int | None = None) -> DataFrame:
-    """Add ``_range``, which never decreases along (time, tie).
+def _frequent(df: DataFrame, key: Sequence[str], ranges: int) -> Column:
+    """Whether a row's key may hold more than one range's share of all rows.
 
-    ``time`` and ``tie`` are numeric columns. The cut points come from one pass
-    over ``time`` while the plan is built and are literals in it, so recomputed
-    tasks cut the same way. A single instant that holds several ranges' worth
-    of rows is cut further along ``tie``.
+    A sketch of bounded size finds every such key, and possibly a few others.
+    """
+    hashed = F.xxhash64(*key)
+    found = df.select(hashed.alias("_hash")).stat.freqItems(["_hash"], 1 / ranges).first()[0]
+    return hashed.isin(*found) if found else F.lit(False)
+
+
+def with_ranges(
+    df: DataFrame, key: Sequence[str], time: str, tie: str, ranges: int | None = None
+) -> DataFrame:
+    """Add ``_range``, which never decreases along (time, tie) for a key.
+
+    ``time`` and ``tie`` are numeric columns. Frequent keys and cut points come
+    from light passes over key and time while the plan is built and are literals
+    in it, so recomputed tasks cut the same way. A single instant that holds
+    several ranges' worth of rows is cut further along ``tie``.
     """
     ranges = ranges or range_count(df)
-    points = _cut_points(df, time, ranges)
+    frequent = _frequent(df, key, ranges)
+    points = _cut_points(df.filter(frequent), time, ranges)
     if not points:
         return df.withColumn("_range", F.lit(0).cast("bigint"))
     cut = _bucket(df, time, points, "_range")
+    place = F.col("_range")
     crowded = sorted({p for p in points if points.count(p) > 1})
-    if not crowded:
-        return cut
-    # A crowded instant opens its bucket, so its rows come before the others.
-    inside = F.col(time).cast("double").isin(*crowded)
-    ties = _cut_points(df.filter(inside), tie, ranges)
-    cut = _bucket(cut, tie, ties, "_tie_range")
-    within = F.when(inside, F.col("_tie_range")).otherwise(F.lit(ranges))
-    return cut.withColumn("_range", F.col("_range") * (ranges + 1) + within).drop("_tie_range")
+    if crowded:
+        # A crowded instant opens its bucket, so its rows come before the others.
+        inside = F.col(time).cast("double").isin(*crowded)
+        ties = _cut_points(df.filter(frequent & inside), tie, ranges)
+        cut = _bucket(cut, tie, ties, "_tie_range")
+        within = F.when(inside, F.col("_tie_range")).otherwise(F.lit(ranges))
+        place = place * (ranges + 1) + within
+    ranged = cut.withColumn("_range", F.when(frequent, place).otherwise(F.lit(0).cast("bigint")))
+    return ranged.drop("_tie_range")
 
 
 def in_range(key: Sequence[str], *order: str):
@@ -248,7 +264,7 @@ def run_progress_running(
     """A report after every ``report_every`` rows of each run."""
     key = held(["run"])
     narrow = log.select("run", "id", "ok", micros(log, "ts").alias("_now"))
-    rows = with_ranges(hold_keys(narrow, ["run"]), "_now", "id", ranges)
+    rows = with_ranges(hold_keys(narrow, ["run"]), key, "_now", "id", ranges)
     order = in_range(key, "_now", "id")
     counted = rows.select(
         *key, "_range", "id", "_now",

@@ -62,7 +62,7 @@ def _bucket(
     )
     window = in_range(held(key), "_us", order)
     rows = (
-        with_ranges(hold_keys(narrow, key), "_us", order, ranges)
+        with_ranges(hold_keys(narrow, key), held(key), "_us", order, ranges)
         .withColumn("_used", F.sum("_asked").over(window))
         .withColumn("_slack", F.col("_us") - (F.col("_used") - F.col("_asked")) * interval)
         .withColumn("_peak", F.max("_slack").over(window))
@@ -190,8 +190,9 @@ def _adaptive_rows(
     narrow = outcomes.select(
         *key, order, micros(outcomes, time).alias("_us"), flags.alias("_flags")
     )
-    ranged = with_ranges(hold_keys(narrow, key), "_us", order, ranges)
+    narrow = hold_keys(narrow, key)
     key = held(key)
+    ranged = with_ranges(narrow, key, "_us", order, ranges)
     window = in_range(key, "_us", order)
     succeeded = F.col("_flags") == 1
     step = F.when(succeeded, -1).otherwise(1)
