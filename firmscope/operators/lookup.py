@@ -41,6 +41,16 @@ def one_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
     return df.groupBy(key).agg(F.min_by(rest, order).alias("_row")).select(key, "_row.*")
 
 
+def splittable(lookup: DataFrame, key: str) -> DataFrame:
+    """Give a lookup, grouped by ``key`` before, a join key that is a new value.
+
+    Spark splits a frequent key of the other side only where both sides come
+    straight from a shuffle. A grouped lookup would be joined as it lies; the
+    equal but new key makes Spark shuffle its few short rows once more.
+    """
+    return lookup.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
 def with_number(companies: DataFrame) -> DataFrame:
     return companies.withColumn("company_number", pad_number(F.col("CompanyNumber")))
 
@@ -48,8 +58,9 @@ def with_number(companies: DataFrame) -> DataFrame:
 def join_profiles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
     """Every company, with its profile's columns (null when it has none)."""
     order = F.xxhash64(*[c for c in profiles.columns if c != "company_number"])
+    unique = one_per_key(profiles, "company_number", order)
     return with_number(companies).join(
-        one_per_key(profiles, "company_number", order), "company_number", "left"
+        splittable(unique, "company_number"), "company_number", "left"
     )
 
 
@@ -62,7 +73,9 @@ def join_filings(companies: DataFrame, filings: DataFrame) -> DataFrame:
     numbered = with_number(companies)
     matched = numbered.join(filings, "company_number")
     known = filings.select("company_number").distinct()
-    unmatched = numbered.join(known, "company_number", "left_anti")
+    unmatched = numbered.join(
+        splittable(known, "company_number"), "company_number", "left_anti"
+    )
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -135,7 +148,7 @@ def geocode(addresses: DataFrame, primary: DataFrame, fallback: DataFrame) -> Da
     query = F.when(can_geocode(F.col("address")), F.col("address"))
     return (
         addresses.withColumn("_query", query)
-        .join(answers, "_query", "left")
+        .join(splittable(answers, "_query"), "_query", "left")
         .select(*addresses.columns, F.col("_answer.position").alias("position"))
     )
 
@@ -148,7 +161,7 @@ def join_descriptions(sites: DataFrame, pages: DataFrame, description: Column) -
     unique = read.groupBy("_link").agg(F.min_by("description", "page_id").alias("description"))
     return (
         sites.withColumn("_link", with_scheme(F.col("company_url")))
-        .join(unique, "_link", "left")
+        .join(splittable(unique, "_link"), "_link", "left")
         .drop("_link")
     )
 

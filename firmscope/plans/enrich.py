@@ -18,6 +18,7 @@ from firmscope.operators.lookup import (
     latest_filings,
     official_sites,
     one_per_key,
+    splittable,
     with_document_id,
     with_number,
 )
@@ -134,10 +135,12 @@ def attach(companies: DataFrame, lookups: Lookups) -> DataFrame:
     if clash:
         raise ValueError(f"input already has result columns: {', '.join(clash)}")
 
+    by_number = splittable(lookups.by_number, "company_number")
+    by_name = splittable(lookups.by_name, "company_name")
     enriched = (
         with_number(companies)
-        .join(lookups.by_number, "company_number", "left")
-        .join(lookups.by_name, F.col("CompanyName") == F.col("company_name"), "left")
+        .join(by_number, "company_number", "left")
+        .join(by_name, F.col("CompanyName") == F.col("company_name"), "left")
     )
     return enriched.select(
         *companies.columns, *[F.coalesce(c, F.lit("")).alias(c) for c in result]

@@ -238,3 +238,32 @@ def test_map_rows_safe_checks_the_type(spark):
     mapped = rows.map_rows_safe(df, lambda row: row["s"] if row["n"] == 1 else 7, T.LongType())
     got = {r.n: (r.result, r.error is None) for r in mapped.collect()}
     assert got == {1: (None, False), 2: (7, True)}
+
+
+def test_frequent_keys_are_split_in_the_joins(spark, landed):
+    """Half of the companies are one company: Spark must split it in both joins."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(0, 60_000, 1, 4).select(
+            F.when(F.col("id") % 2 == 0, "ACME VALVES").otherwise(F.concat(F.lit("C"), "id")).alias("CompanyName"),
+            F.when(F.col("id") % 2 == 0, "1").otherwise(F.col("id").cast("string")).alias("CompanyNumber"),
+            F.expr("uuid()").alias("note"),
+        )
+        done = enrich.enrich_companies(many, landed)
+        assert done.filter("employees_2024 = '7'").count() == 30_000 + 1
+        done.write.format("noop").mode("overwrite").save()
+        rows = done.collect()
+        assert len(rows) == 60_000
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[0].count("skew=true") == 2
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
