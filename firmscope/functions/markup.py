@@ -352,8 +352,9 @@ def _paragraph(body: Column) -> Column:
     """
     areas = any_of(AREA_ELEMENTS)
     pieces = F.split(body, rf"(?i)(?=</?(?:{areas}|p)[\s/>])")
+    # A page without areas counts as one that no stray end tag can leave.
     start = F.struct(
-        F.when(body.rlike(rf"(?i)<(?:{areas})[\s/>]"), 0).otherwise(1).alias("depth"),
+        F.when(body.rlike(rf"(?i)<(?:{areas})[\s/>]"), 0).otherwise(1 << 30).alias("depth"),
         F.lit(None).cast("string").alias("hit"),
     )
 

@@ -271,3 +271,20 @@ def test_checkpoint_prefix_reads_back(spark, tmp_path):
     table = spark.read.parquet(str(tmp_path / "t"))
     assert ordered.checkpoint_prefix(table, 0).count() == 20
     assert ordered.checkpoint_prefix(table, 9).count() == 50
+
+
+def test_nothing_at_all(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    log = df.withColumnRenamed("k", "run")
+    assert shaping.token_bucket(df, ["k"], "ts", "id", 1.0).count() == 0
+    assert shaping.tokens_available(df, ["k"], "ts", "id", 1.0, F.lit("2024-01-01 00:00:00")).count() == 0
+    assert shaping.adaptive_rate(df, ["k"], "ts", "id", "ok", "limited", 2.0).count() == 0
+    assert ordered.run_progress_running(log).count() == 0
+    assert ordered.run_progress_final(log).count() == 0
+    assert ordered.slice_rows(df, 0, None, "k").count() == 0
+
+
+def test_rows_without_a_time_are_kept(spark):
+    df = spark.createDataFrame([("a", None, 1, True, False), ("a", START, 2, True, False)], SCHEMA)
+    got = shaping.token_bucket(df, ["k"], "ts", "id", 1.0, 1).orderBy("id").collect()
+    assert [(r.id, r.wait_us) for r in got] == [(1, None), (2, 0)]
