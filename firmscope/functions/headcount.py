@@ -175,16 +175,17 @@ def namespace_headcount(doc: Column) -> Column:
         )
 
     def candidates(text: Column, bound: Column, order: int, tag: str) -> Column:
-        pattern = rf"(?s)<((?:[\w.-]+:)?{tag}){_OPEN_REST}>(.*?)</\1\s*>"
+        # The start tag and the text right after it; what follows does not count.
+        start = rf"<(?:[\w.-]+:)?{tag}{_OPEN_REST}>"
         return F.transform(
-            find_all(text, pattern),
+            find_all(text, rf"{start}[^<]*"),
             lambda element, place: let(
                 F.regexp_extract(element, rf"^<(?:([\w.-]+):)?{tag}", 1),
                 lambda prefix: F.struct(
                     first(F.filter(bound, lambda b: b["prefix"] == prefix))["rank"].alias("rank"),
                     F.lit(order).alias("tag"),
                     place.alias("place"),
-                    numeric_value(F.regexp_extract(element, r"(?s)>([^<]*)", 1)).alias("n"),
+                    numeric_value(F.regexp_replace(element, rf"\A{start}", "")).alias("n"),
                 ),
             ),
         )
