@@ -8,18 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscope.functions.headcount import document_headcount
+from firmscope.functions.headcount import document_headcount, document_id, filing_year
 from firmscope.functions.markup import site_description
 from firmscope.functions.text import format_address
 from firmscope.operators.lookup import (
-    filings_of_years,
     geocode,
     join_descriptions,
     latest_filings,
     official_sites,
     one_per_key,
     splittable,
-    with_document_id,
     with_number,
 )
 from firmscope.sources.tables import require_columns
@@ -58,8 +56,17 @@ def headcount_by_year(
     One row per company that has any listed filing of those years; '' where no
     filing yields one. Only ids and numbers are shuffled, never documents.
     """
-    listed = with_document_id(filings_of_years(latest_filings(filings), years))
-    counted = listed.select("company_number", "seq", "year", "document_id").join(
+    # Year and id first: the shuffle that lists a company's filings then carries
+    # two short texts instead of dates and link maps.
+    short = filings.select(
+        "company_number", "seq", "category",
+        filing_year(F.col("made_up_date")).alias("year"),
+        document_id(F.col("links")).alias("document_id"),
+    )
+    wanted = latest_filings(short).filter(
+        F.col("year").isin(*[str(y) for y in years]) & F.col("document_id").isNotNull()
+    )
+    counted = wanted.drop("category").join(
         document_headcounts(filing_docs), "document_id", "left"
     )
     per_year = [
