@@ -267,7 +267,7 @@ def geocode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _gazetteers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     customers = inputs.read(spark, sf_dir, "customer")
     flat = customers.selectExpr(
-        "c_custkey", *inputs.columns({**inputs.PROFILES, **inputs.GAZETTEER})
+        "c_mktsegment", "c_acctbal", *inputs.columns({**inputs.PROFILES, **inputs.GAZETTEER})
     )
     address = X.join_parts([F.col(part) for part in X.ADDRESS_PARTS])
     named = flat.withColumn("address", address)
@@ -275,7 +275,9 @@ def _gazetteers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     def some(keep: str, formatted: str) -> DataFrame:
         return named.filter(keep).selectExpr("address", "lat", "lng", f"{formatted} AS formatted")
 
-    return some("c_custkey % 3 <> 0", "upper(address)"), some("c_custkey % 5 <> 0", "locality")
+    # Each service knows some of the places only.
+    primary = some("c_mktsegment <> 'MACHINERY'", "upper(address)")
+    return primary, some("c_acctbal >= 1000", "locality")
 
 
 @query

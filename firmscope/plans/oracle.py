@@ -420,13 +420,13 @@ FRESH = (
     f"WHERE m.payload IS NOT NULL AND epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(m.at) < "
     f"(CASE prefix {_AGES} ELSE 604800 END)::BIGINT * 1000000)"
 )
-_GAZETTEER = f"gaz AS (SELECT c_custkey, {_fields({**inputs.PROFILES, **inputs.GAZETTEER})} FROM customer)"
+_GAZETTEER = f"gaz AS (SELECT c_mktsegment, c_acctbal, {_fields({**inputs.PROFILES, **inputs.GAZETTEER})} FROM customer)"
 GAZETTEERS = (
     f"{_GAZETTEER}, placed_at AS (SELECT *, {address()} AS address FROM gaz), "
     "first_g AS (SELECT address, min(lat || ',' || lng || ' (' || upper(address) || ')') AS p "
-    "FROM placed_at WHERE c_custkey % 3 <> 0 GROUP BY address), "
+    "FROM placed_at WHERE c_mktsegment <> 'MACHINERY' GROUP BY address), "
     "second_g AS (SELECT address, min(lat || ',' || lng || ' (' || coalesce(locality, '') || ')') AS p "
-    "FROM placed_at WHERE c_custkey % 5 <> 0 GROUP BY address)"
+    "FROM placed_at WHERE c_acctbal >= 1000 GROUP BY address)"
 )
 _ITEM_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 
