@@ -96,8 +96,10 @@ def ingest_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = inputs.read(spark, sf_dir, "nation").toDF("nation.key", "Nation Name!", "region-key (fk)")
-    return tables.clean_columns(raw)
+    raw = inputs.read(spark, sf_dir, "orders").toDF(
+        "order.key", "customer-key (fk)", "Order Status!", "total £", "order.date", "Priority"
+    )
+    return tables.clean_columns(raw).drop("order_date")
 
 
 @query

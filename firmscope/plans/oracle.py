@@ -446,7 +446,10 @@ def statements() -> dict[str, str]:
             f"WITH {COMPANIES} SELECT CompanyName AS Company_Name, {padded('CompanyNumber')} AS CompanyNumber, "
             "CompanyStatus AS Company_Status, SICCode_SicText_1, SICCode_SicText_2 AS SIC_second FROM companies"
         ),
-        "clean_columns": "SELECT n_nationkey AS nation_key, n_name AS Nation_Name, n_regionkey AS region_key_fk FROM nation",
+        "clean_columns": (
+            "SELECT o_orderkey AS order_key, o_custkey AS customer_key_fk, o_orderstatus AS Order_Status, "
+            "o_totalprice AS total_, o_orderpriority AS Priority FROM orders"
+        ),
         "read_profiles": f"WITH {PROFILES} SELECT company_number, company_status, postal_code, region FROM profiles",
         "read_filings": (
             f"WITH {FILINGS} SELECT company_number, cast(0 AS bigint) AS seq, category, made_up_date, link FROM filings "
