@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmscope.functions.expr import any_of, collapse_space, find_all, first, let
+from firmscope.functions.expr import any_of, collapse_space, find_all, first, holds_any, let
 
 # Element names that hold a headcount, in search order.
 EMPLOYEE_TAGS = (
@@ -222,8 +222,8 @@ def near_people(text: Column, digits: Column) -> Column:
 
     def judge(context: Column) -> Column:
         return (
-            F.when(context.rlike(any_of(MONEY_WORDS)), F.lit(False))
-            .when(context.rlike(any_of(PEOPLE_WORDS)), F.lit(True))
+            F.when(holds_any(context, MONEY_WORDS), F.lit(False))
+            .when(holds_any(context, PEOPLE_WORDS), F.lit(True))
             .otherwise(digits.try_cast("int").between(1, UNSUPPORTED_LIMIT))
         )
 

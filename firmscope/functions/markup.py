@@ -13,7 +13,15 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmscope.functions.expr import any_of, empty_to_null, find_all, first, let, strip
+from firmscope.functions.expr import (
+    any_of,
+    empty_to_null,
+    find_all,
+    first,
+    holds_any,
+    let,
+    strip,
+)
 from firmscope.functions.text import (
     business_email,
     clean_meta_text,
@@ -363,7 +371,7 @@ def _paragraph(body: Column) -> Column:
             fragment_text(piece),
             lambda text: F.when(
                 (F.length(text) >= MIN_PARAGRAPH)
-                & ~F.lower(text).rlike(any_of(BOILERPLATE)),
+                & ~let(F.lower(text), lambda lowered: holds_any(lowered, BOILERPLATE)),
                 text,
             ),
         )

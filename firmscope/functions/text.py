@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +11,7 @@ from firmscope.functions.expr import (
     empty_to_null,
     find_all,
     first,
+    holds_any,
     let,
     strip,
 )
@@ -127,8 +125,7 @@ def is_company_domain(url: Column, name: Column) -> Column:
 
 
 def is_directory_site(url: Column) -> Column:
-    lowered = F.lower(url)
-    return reduce(or_, [lowered.contains(site) for site in DIRECTORY_SITES])
+    return let(F.lower(url), lambda lowered: holds_any(lowered, DIRECTORY_SITES))
 
 
 def is_candidate_link(url: Column) -> Column:
@@ -163,7 +160,7 @@ def business_email(text: Column) -> Column:
     def pick(body: Column) -> Column:
         people = F.filter(
             find_all(body, _EMAIL_RUN, 1),
-            lambda address: ~F.lower(address).rlike(any_of(MACHINE_SENDERS)),
+            lambda address: ~holds_any(F.lower(address), MACHINE_SENDERS),
         )
         return F.when(body.contains("@"), first(people))
 
