@@ -142,19 +142,44 @@ def micros(df: DataFrame, time: str, value: Column | None = None) -> Column:
 
 # Numbering and chunks
 
-def number_rows(df: DataFrame, *order: str, ranges: int | None = None) -> DataFrame:
-    """Add ``row_no`` (from 0) along columns of any types, ties in input order.
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed: all but maps and variants, also inside others."""
+    return [
+        field.name
+        for field in df.schema.fields
+        if not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
+    ]
+
+
+def _with_tie(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add ``_tie``, which tells rows of equal order apart, copies as well.
+
+    It is a row's place in its task. The rows are sorted first, so that a task
+    that runs again gives the same places whatever order its input comes in.
+    """
+    digest = F.xxhash64(*_hashable(df))
+    return df.sortWithinPartitions(*order, digest).withColumn(
+        "_tie", F.monotonically_increasing_id()
+    )
+
+
+def number_rows(
+    df: DataFrame, *order: str, unique: bool = False, ranges: int | None = None
+) -> DataFrame:
+    """Add ``row_no`` (from 0) along columns of any types.
 
-    One range shuffle; the input place is part of the order, so equal rows can
-    be split as well. Each partition counts its own rows; only the counts, one
-    per partition, are summed in one place. The split is pinned, because counts
-    and rows must come from the same one.
+    One range shuffle. Rows of equal order are told apart, so that many copies
+    can be split too; ``unique`` says that there are none and saves that sort.
+    Each partition counts its own rows; only the counts, one per partition, are
+    summed in one place. The split is pinned, because counts and rows must come
+    from the same one.
     """
     ranges = ranges or range_count(df)
+    told = df if unique else _with_tie(df, order)
+    full_order = order if unique else (*order, "_tie")
     split = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(ranges, *order, "_tie")
-        .sortWithinPartitions(*order, "_tie")
+        told.repartitionByRange(ranges, *full_order)
+        .sortWithinPartitions(*full_order)
         .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
@@ -181,19 +206,22 @@ def number_rows(df: DataFrame, *order: str, ranges: int | None = None) -> DataFr
     )
 
 
-def chunk_rows(df: DataFrame, chunk_size: int, *order: str) -> DataFrame:
+def chunk_rows(
+    df: DataFrame, chunk_size: int, *order: str, unique: bool = False
+) -> DataFrame:
     """Add ``chunk_id``: consecutive slices of ``chunk_size`` rows, the last one short."""
-    numbered = number_rows(df, *order)
+    numbered = number_rows(df, *order, unique=unique)
     return numbered.withColumn("chunk_id", F.expr(f"row_no div {int(chunk_size)}")).drop("row_no")
 
 
-def slice_rows(df: DataFrame, start: int, length: int | None, *order: str) -> DataFrame:
+def slice_rows(
+    df: DataFrame, start: int, length: int | None, *order: str, unique: bool = False
+) -> DataFrame:
     """Rows ``start`` to ``start + length`` of the order (to the end without length)."""
     if length is not None and start + length <= FEW:
         # Few enough that every task keeps its first ones and one task picks.
-        placed = df.withColumn("_tie", F.monotonically_increasing_id())
-        return placed.orderBy(*order, "_tie").offset(start).limit(length).drop("_tie")
-    numbered = number_rows(df, *order)
+        return df.orderBy(*order).offset(start).limit(length)
+    numbered = number_rows(df, *order, unique=unique)
     chosen = F.col("row_no") >= start
     if length is not None:
         chosen &= F.col("row_no") < start + length

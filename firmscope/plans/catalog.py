@@ -345,7 +345,7 @@ def checkpoint_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "chunks")
     chunked = ordered.chunk_rows(
         inputs.companies(spark, sf_dir).select("CompanyNumber", "CompanyName"),
-        CHUNK, "CompanyNumber",
+        CHUNK, "CompanyNumber", unique=True,
     )
     ordered.write_chunks(chunked, path)
     return ordered.checkpoint_prefix(spark.read.parquet(path), 1)
