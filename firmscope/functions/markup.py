@@ -8,7 +8,7 @@ Java runs without recursion however long the page is.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,31 +92,46 @@ _UNSEEN = _pieces(
 
 # Entities and text
 
-# Names come from the standard library, so the table is not written out here.
-# One text that Spark folds into a map literal; 0x01 and 0x02 separate it.
-_ENTITIES = "\x01".join(f"{name}\x02{chr(code)}" for name, code in name2codepoint.items())
+# Tables come from the standard library, so they are not written out here. Maps
+# are searched in order: the usual names first, the long list only for others.
+_USUAL = ("amp", "nbsp", "quot", "lt", "gt", "apos", "copy", "pound")
+_NAMES = {name: html5[f"{name};"] for name in (*_USUAL, *name2codepoint)}
+_RARE_NAMES = {
+    name.rstrip(";"): char for name, char in html5.items() if name.rstrip(";") not in _NAMES
+}
+# Numbers that pages use as if they were Windows characters.
+_WINDOWS = {
+    str(code): bytes([code]).decode("cp1252")
+    for code in range(0x80, 0xA0)
+    if bytes([code]).decode("cp1252", "ignore")
+}
+
+
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """One text that Spark folds into a map; 0x01 and 0x02 separate it."""
+    text = "\x01".join(f"{key}\x02{value}" for key, value in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
 
 
 def decode_entities(text: Column) -> Column:
     """Replace named and numeric character references; unknown ones stay."""
-    names = F.str_to_map(F.lit(_ENTITIES), F.lit("\x01"), F.lit("\x02"))
+    names, rare, windows = (_literal_map(m) for m in (_NAMES, _RARE_NAMES, _WINDOWS))
 
-    def character(reference: Column) -> Column:
-        code = (
-            F.when(
-                reference.rlike("^#[xX]"),
-                F.conv(F.substring(reference, 3, 8), 16, 10).try_cast("bigint"),
-            )
-            .when(reference.startswith("#"), F.substring(reference, 2, 8).try_cast("bigint"))
-        )
+    def numbered(code: Column) -> Column:
         scalar = (code.between(1, 0xD7FF)) | (code.between(0xE000, 0x10FFFF))
-        numeric = F.when(
-            scalar, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        ).otherwise(F.lit("�"))
-        return F.when(reference.startswith("#"), numeric).otherwise(
-            F.try_element_at(names, reference)
+        return F.coalesce(
+            F.when(code.between(0x80, 0x9F), F.try_element_at(windows, code.cast("string"))),
+            F.when(scalar, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")),
+            F.lit("�"),
         )
 
+    def character(reference: Column) -> Column:
+        hexadecimal = F.conv(F.substring(reference, 3, 8), 16, 10).try_cast("bigint")
+        decimal = F.substring(reference, 2, 8).try_cast("bigint")
+        code = F.when(reference.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
+        named = F.coalesce(F.try_element_at(names, reference), F.try_element_at(rare, reference))
+        return F.when(reference.startswith("#"), let(code, numbered)).otherwise(named)
+
     def piece(tail: Column) -> Column:
         """What follows one ampersand."""
 
