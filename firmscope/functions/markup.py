@@ -173,7 +173,7 @@ def page_text(html: Column) -> Column:
 # Head of the page
 
 def _attribute(pairs: Column, name: str) -> Column:
-    """Value of the last attribute of that name, references resolved."""
+    """Value of the last attribute of that name, as it is written."""
     last = F.try_element_at(
         F.filter(pairs, lambda pair: pair.rlike(rf"(?i)^{name}\s*=")), F.lit(-1)
     )
@@ -183,7 +183,7 @@ def _attribute(pairs: Column, name: str) -> Column:
             value.rlike("""^["']"""), F.substr(value, F.lit(2), F.length(value) - 2)
         ).otherwise(value)
 
-    return decode_entities(let(F.regexp_replace(last, r"(?s)^[^=]*=\s*", ""), unquote))
+    return let(F.regexp_replace(last, r"(?s)^[^=]*=\s*", ""), unquote)
 
 
 def _attributes(tag: Column) -> Column:
@@ -196,12 +196,15 @@ def head_pieces(html: Column) -> Column:
 
 
 def _meta(pieces: Column) -> Column:
+    names = ("name", "property", "content")
+
     def fields(tag: Column) -> Column:
+        values = let(
+            _attributes(tag), lambda pairs: F.array(*[_attribute(pairs, name) for name in names])
+        )
         return let(
-            _attributes(tag),
-            lambda pairs: F.struct(
-                *[_attribute(pairs, a).alias(a) for a in ("name", "property", "content")]
-            ),
+            F.transform(values, decode_entities),
+            lambda found: F.struct(*[found[n].alias(name) for n, name in enumerate(names)]),
         )
 
     return F.transform(F.filter(pieces, lambda p: p.rlike(r"(?i)^<meta[\s/>]")), fields)
@@ -417,12 +420,16 @@ def _headings(body: Column) -> Column:
     """Title and the first three headings that are long enough, joined."""
     title = F.slice(find_all(body, _pieces(_element("title"))), 1, 1)
     heads = F.slice(find_all(body, _pieces(_element("h1"), _element("h2"))), 1, 3)
-    texts = F.concat(
-        F.transform(title, fragment_text),
-        F.filter(
-            F.transform(heads, fragment_text), lambda text: F.length(text) > MIN_HEADING
-        ),
-    )
+
+    def long_enough(found: Column) -> Column:
+        """The title, which stands first, counts at any length."""
+        texts = F.transform(F.concat(found["title"], found["heads"]), fragment_text)
+        return F.filter(
+            texts,
+            lambda text, place: (place < F.size(found["title"])) | (F.length(text) > MIN_HEADING),
+        )
+
+    texts = let(F.struct(title.alias("title"), heads.alias("heads")), long_enough)
     return F.left(clean_site_text(F.array_join(texts, " - ")), F.lit(MAX_HEADINGS))
 
 
