@@ -12,7 +12,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, also set as Spark's checkpoint folder.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (one machine, tests) is a temporary folder made.
+    and Spark runs on one machine, as in tests, is a temporary folder made.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -22,6 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
         current = context.getCheckpointDir()
         if current:
             return current
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="firmscope-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
