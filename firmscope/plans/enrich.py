@@ -111,6 +111,19 @@ class Lookups:
     def each(self, change: Callable[[DataFrame], DataFrame]) -> Lookups:
         return Lookups(change(self.by_number), change(self.by_name))
 
+    def for_companies(self, companies: DataFrame) -> Lookups:
+        """Only what these companies need.
+
+        For a few companies Spark sends their keys to the lookups, which are
+        then filtered where they lie instead of being shuffled whole.
+        """
+        numbers = with_number(companies).select("company_number").distinct()
+        names = companies.select(F.col("CompanyName").alias("company_name")).distinct()
+        return Lookups(
+            self.by_number.join(numbers, "company_number", "left_semi"),
+            self.by_name.join(names, "company_name", "left_semi"),
+        )
+
 
 def prepare(
     landed: Landed,

@@ -63,14 +63,14 @@ def enrich_stream(
     """Enrich companies as they arrive; a restart goes on where it stopped.
 
     The lookups are worked out once and kept in the shared folder, so a batch
-    costs two joins and does not read documents or pages again. ``on_batch``
-    is called with each batch's result once it is written.
+    costs two joins with what its companies need and does not read documents or
+    pages again. ``on_batch`` is called with each batch's result once written.
     """
     ready = lookups.each(pin)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         folder = _folder(out, batch_id)
-        attach(batch, ready).write.mode("overwrite").parquet(folder)
+        attach(batch, ready.for_companies(batch)).write.mode("overwrite").parquet(folder)
         if on_batch:
             on_batch(batch.sparkSession.read.parquet(folder), batch_id)
 
