@@ -15,6 +15,7 @@ from firmscope.functions import text as X
 from firmscope.functions.expr import collapse_space
 from firmscope.operators import lookup, ordered, rows, shaping
 from firmscope.plans import enrich, inputs
+from firmscope.plans import jobs as file_jobs
 from firmscope.shared import new_folder
 from firmscope.sources import landed as services
 from firmscope.sources import tables
@@ -538,6 +539,20 @@ def enrich_with_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("CompanyNumber", "CompanyName", "manufacturing_location")
 
 
+@query
+def enrich_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run over the active companies, a second one over what is left."""
+    folder = new_folder(spark, "resumed")
+    given = inputs.companies(spark, sf_dir)
+    tables.write_table(given.filter("CompanyStatus = 'Active'"), f"{folder}/first.csv")
+    tables.write_table(given, f"{folder}/all.csv")
+    landed = inputs.landed(spark, sf_dir)
+    target = f"{folder}/enriched.parquet"
+    file_jobs.enrich_file(spark, f"{folder}/first.csv", target, landed, YEARS)
+    file_jobs.enrich_file(spark, f"{folder}/all.csv", target, landed, YEARS, resume=True)
+    return tables.read_table(spark, target)
+
+
 # User functions
 
 def _share(row: dict[str, Any]) -> int:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmscope.functions.headcount import document_headcount, document_id, filing_year
 from firmscope.functions.markup import site_description
-from firmscope.functions.text import format_address
+from firmscope.functions.text import format_address, with_scheme
 from firmscope.operators.lookup import (
     geocode,
     join_descriptions,
@@ -23,6 +23,7 @@ from firmscope.operators.lookup import (
 from firmscope.sources.tables import require_columns
 
 YEARS = (2024, 2023, 2022)
+FEW_COMPANIES = 10_000
 
 
 @dataclass(frozen=True)
@@ -101,6 +102,29 @@ def locate(profiles: DataFrame, gazetteers: tuple[DataFrame, DataFrame]) -> Data
     )
 
 
+def narrowed(landed: Landed, companies: DataFrame) -> Landed:
+    """The landed rows that a few companies (at most ``FEW_COMPANIES``) need.
+
+    Meant for short runs: only the documents and pages of these companies are
+    read then. All keys are broadcast, which the bound allows: there are at most
+    that many numbers, names and sites, and twenty documents to a number.
+    """
+    numbers = with_number(companies).select("company_number").distinct()
+    names = companies.select(F.col("CompanyName").alias("company_name")).distinct()
+    filings = landed.filings.join(F.broadcast(numbers), "company_number", "left_semi")
+    hits = landed.search_results.join(F.broadcast(names), "company_name", "left_semi")
+    ids = latest_filings(filings).select(document_id(F.col("links")).alias("document_id"))
+    links = official_sites(hits).select(with_scheme(F.col("company_url")).alias("_link"))
+    same_link = with_scheme(F.col("url")) == F.col("_link")
+    return Landed(
+        profiles=landed.profiles.join(F.broadcast(numbers), "company_number", "left_semi"),
+        filings=filings,
+        filing_docs=landed.filing_docs.join(F.broadcast(ids), "document_id", "left_semi"),
+        search_results=hits,
+        pages=landed.pages.join(F.broadcast(links), same_link, "left_semi"),
+    )
+
+
 @dataclass(frozen=True)
 class Lookups:
     """Everything an enrichment adds, one row per key."""

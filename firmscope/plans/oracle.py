@@ -613,6 +613,7 @@ def statements() -> dict[str, str]:
         "fresh_lookup": f"WITH {FRESH} SELECT * FROM fresh",
         "lookup_misses": f"WITH {FRESH} SELECT DISTINCT prefix, key FROM snapshots EXCEPT SELECT prefix, key FROM fresh",
         "enrich_companies": f"WITH {ENRICHED} SELECT * FROM enriched",
+        "enrich_resume": f"WITH {ENRICHED} SELECT * FROM enriched",
         "enrich_with_location": (
             f"WITH {COMPANIES}, {PROFILES}, {GAZETTEERS}, asked AS (SELECT company_number, {address()} AS address FROM profiles) "
             "SELECT CompanyNumber, CompanyName, CASE WHEN length(trim(a.address)) >= 10 THEN coalesce(f.p, s.p, a.address) ELSE a.address END AS manufacturing_location "

@@ -105,6 +105,16 @@ def test_enrich(companies, landed):
     assert got == sorted(want, key=str)
 
 
+def test_enrich_with_only_what_is_needed(companies, landed):
+    for wanted in (companies, companies.filter("CompanyName = 'BARE CO'"), companies.limit(0)):
+        small = enrich.narrowed(landed, wanted)
+        want = enrich.enrich_companies(wanted, landed).collect()
+        assert sorted(map(str, enrich.enrich_companies(wanted, small).collect())) == sorted(map(str, want))
+    bare = enrich.narrowed(landed, companies.filter("CompanyName = 'BARE CO'"))
+    assert [r.document_id for r in bare.filing_docs.collect()] == ["nine"]
+    assert [r.page_id for r in bare.pages.collect()] == [3]
+
+
 def test_enrich_other_years_and_location(companies, landed, spark):
     spot = "12, Leeds, LS1 1AA"
     primary = spark.createDataFrame([("else", "1", "2", "x")], "address string, lat string, lng string, formatted string")
