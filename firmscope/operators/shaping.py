@@ -98,7 +98,8 @@ def token_bucket_step(
     ``rate`` is tokens per second and key; the bucket starts full. ``tokens``
     names the column with the tokens an event asks for, one each by default.
     ``state`` is what earlier events left. (time, order) must tell a key's
-    events apart.
+    events apart, and the tokens a key uses must take less than 2**63
+    microseconds (290,000 years) to pay back.
     """
     interval, size = _interval(rate), _burst(rate, burst)
     rows, placed = _bucket(events, key, time, order, interval, tokens, ranges, state)
