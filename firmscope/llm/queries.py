@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, toxicity
+from . import language, licenses, mixing, packing, quality, simhash, toxicity
 from .ship import ship
 
 
@@ -27,15 +28,32 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_language_id": op8_language_id,
     "op9_source_mix": op9_source_mix,
+    "op10_simhash": op10_simhash,
 }
 
 #: SQL for DuckDB that gives the same rows.

@@ -139,3 +139,9 @@ def covered(firsts: np.ndarray, n: int, size: int) -> np.ndarray:
     np.add.at(steps, firsts, 1)
     np.add.at(steps, firsts + n, -1)
     return np.cumsum(steps[:size]) > 0
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1 ... of all ranges, one after the other."""
+    at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    return at + np.arange(len(at))
