@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import stored
-from .words import Words, ranges, spans, stretches, words
+from .words import Remembered, Words, ranges, spans, stretches, words
 
 LIMIT = 4096
 END = 1
@@ -245,7 +245,6 @@ class Chunks:
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.most = most
         self.whole = Tokenizer.from_file(path)
         self.merging = Tokenizer.from_file(path)
         self.merging.normalizer = None
@@ -258,51 +257,37 @@ class Chunks:
         shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
         hidden = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(shown))}
         self.byte_signs = {b: chr(hidden.get(b, b)) for b in range(256)}
-        self.forget()
-
-    def forget(self) -> None:
-        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.offsets, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.memory = Remembered(np.uint32, most)
         self.known: dict[str, np.ndarray] = {}
 
     def of(self, data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and where each word's ids end."""
         keys, first, place = np.unique(spans(data, found.starts, found.ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.most:
-            self.forget()
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        inside = at < len(self.keys)
-        new[inside] = self.keys[at[inside]] != keys[inside]
-        if new.any():
-            text = data.tobytes()
+        text = data.tobytes()
+
+        def learn(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             own = first[new]
-            words = [text[a:b].decode() for a, b in zip(found.starts[own].tolist(), found.ends[own].tolist(), strict=True)]
-            self._learn(keys[new], at[new], words)
-            at = np.searchsorted(self.keys, keys)
-        row = self.rows[at][place]
-        lengths = self.offsets[row + 1] - self.offsets[row]
-        return self.ids[ranges(self.offsets[row], lengths)], np.cumsum(lengths)
-
-    def _learn(self, keys: np.ndarray, at: np.ndarray, words: list[str]) -> None:
+            return self._learn([text[a:b].decode() for a, b in zip(found.starts[own].tolist(), found.ends[own].tolist(), strict=True)])
+
+        row = self.memory.rows_of(keys, learn)[place]
+        begins = self.memory.offsets[row]
+        lengths = self.memory.offsets[row + 1] - begins
+        return self.memory.values[ranges(begins, lengths)], np.cumsum(lengths)
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._split(w) for w in words]
         if len(self.known) > 300_000:
             self.known.clear()
-        fresh = list({run for runs in split if runs for run in runs if run not in self.known})
-        self.known.update(self._merged(fresh))
-        parts = []
+        self.known.update(self._merged(list({run for runs in split if runs for run in runs if run not in self.known})))
+        sizes, parts = [], []
         for word, runs in zip(words, split, strict=True):
             if runs is None:
-                parts.append(np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint32))
+                own = [np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint32)]
             else:
-                parts += [self.known[run] for run in runs]
-        pieces = np.array([1 if runs is None else len(runs) for runs in split])
-        sizes = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-        ends = sizes[np.cumsum(pieces)]
-        size = len(self.offsets) - 1
-        self.keys, self.rows = np.insert(self.keys, at, keys), np.insert(self.rows, at, size + np.arange(len(keys)))
-        self.ids = np.concatenate([self.ids, *parts]).astype(np.uint32)
-        self.offsets = np.concatenate((self.offsets, self.offsets[-1] + ends))
+                own = [self.known[run] for run in runs]
+            sizes.append(sum(map(len, own)))
+            parts += own
+        return np.array(sizes), np.concatenate(parts)
 
     def _split(self, word: str) -> list[str] | None:
         if not self.plain(word) or "<|" in word:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, packing, quality, simhash, substring, toxicity
+from . import language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity
 from .ship import ship
 
 
@@ -27,6 +27,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.duplicate_factors(_table(spark, sf_dir, "documents")).drop("factors")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_language_id": op8_language_id,

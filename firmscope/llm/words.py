@@ -145,3 +145,32 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1 ... of all ranges, one after the other."""
     at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     return at + np.arange(len(at))
+
+
+class Remembered:
+    """Values of words by hash, as many of each as it has, up to ``most`` words."""
+
+    def __init__(self, kind: type, most: int) -> None:
+        self.kind, self.most = kind, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.offsets, self.values = np.zeros(1, np.int64), np.zeros(0, self.kind)
+
+    def rows_of(self, keys: np.ndarray, learn) -> np.ndarray:
+        """Rows of sorted distinct keys; ``learn`` gives sizes and values for places of new ones."""
+        if len(self.keys) + len(keys) > self.most:
+            self.forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        if new.any():
+            sizes, values = learn(np.flatnonzero(new))
+            row = len(self.offsets) - 1 + np.arange(len(sizes))
+            self.keys, self.rows = np.insert(self.keys, at[new], keys[new]), np.insert(self.rows, at[new], row)
+            self.values = np.concatenate([self.values, values])
+            self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
+            at = np.searchsorted(self.keys, keys)
+        return self.rows[at]
