@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity
+from . import language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity, vectors
 from .ship import ship
 
 
@@ -31,6 +31,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op5_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -59,6 +63,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_vector_links": op5_vector_links,
     "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_language_id": op8_language_id,
