@@ -342,7 +342,7 @@ COLUMNS = (
 )
 
 
-def rejected(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """The documents that are not toxic, with all their columns; unlabelled data rejects by the fixed terms."""
     model = fit(docs, labels, size)
 
