@@ -29,7 +29,10 @@ from .words import Remembered, Words, ranges, spans, stretches, words
 
 LIMIT = 4096
 END = 1
-GROUPS = 32
+#: Numbers of groups that are tried; the plan of fewest sequences is taken.
+GROUPS = (16, 32, 64)
+#: Column generation ends when no configuration is worth this much more than its sequence.
+GAIN = 1e-3
 #: Lengths above this share of a sequence are large.
 LARGE = 1 / 8
 #: Rows that one task ranks among pieces of one length.
@@ -146,7 +149,7 @@ def configurations(sizes: list[int], needs: list[int], limit: int) -> list[tuple
     for _ in range(60 * m):
         prices = inverse.sum(0)  # each configuration costs one sequence
         column = _knapsack(sizes, prices, limit)
-        if prices @ column <= 1 + 1e-9:
+        if prices @ column <= 1 + GAIN:
             break
         used, direction = inverse @ need, inverse @ column
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -181,8 +184,12 @@ def _knapsack(sizes: list[int], prices: np.ndarray, limit: int) -> np.ndarray:
     return out
 
 
-def plan_packing(counts: dict[int, int], limit: int = LIMIT, groups: int = GROUPS) -> Plan:
+def plan_packing(counts: dict[int, int], limit: int = LIMIT, groups: tuple[int, ...] = GROUPS) -> Plan:
     """Pack ``counts`` pieces of each length from 1 to ``limit``."""
+    return min((_planned(counts, limit, n) for n in groups), key=lambda plan: plan.sequences)
+
+
+def _planned(counts: dict[int, int], limit: int, groups: int) -> Plan:
     plan = Plan(limit)
     bins = _Bins(plan)
     if full := counts.get(limit, 0):
