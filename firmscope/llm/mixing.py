@@ -3,7 +3,9 @@
 All token blocks are of equal size. A source's share of the blocks is its
 quota under Sainte-Lague's rule (the highest quotients target / 1, 3, 5 ...
 win), its quota is dealt to the source's shards by the same rule over their
-sizes, and inside a shard a seeded permutation picks the blocks. Only
+sizes. A shard's documents stand in an order that follows from a seed; blocks
+are cut along it and the first ones are taken, after as many whole rounds as
+the quota holds, so that of each shard at most one document is cut. Only
 DataFrame functions are used.
 
 Quotients are not listed one by one. Rounding every target by the common
@@ -25,11 +27,9 @@ PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-BLOCK = 32
+BLOCK = 8
 SHARD_WORDS = 500_000
 SEED = 11
-#: Prime, so that stepping by it visits every block of a shard once.
-STEP = 2_147_483_647
 
 
 def size_of(text: Column) -> Column:
@@ -114,7 +114,7 @@ def quotas(sized: DataFrame, block: int, shard_words: int) -> tuple[DataFrame, D
     """(source, source_size, target, shards) and (source, shard, shard_size, quota) of sized rows."""
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
-    seats = F.floor(F.sum("target").over(Window.partitionBy()) / block + 0.5).cast("long")
+    seats = F.floor(F.sum("source_size").over(Window.partitionBy()) * SHARE / block + 0.5).cast("long")
     sources = sources.withColumn("shards", shards).withColumn("seats", seats)
     sources = apportion(sources, [], [F.col("source").asc_nulls_last()], "target", "seats")
     path = new_folder(sized.sparkSession, "sources")
@@ -131,8 +131,8 @@ def _with(rows: DataFrame, sources: DataFrame, *more: str) -> DataFrame:
     return rows.join(s, F.col("source").eqNullSafe(F.col("its"))).drop("its")
 
 
-def _taken(rows: DataFrame, parts: DataFrame, block: int, seed: int, order: list[Column]) -> DataFrame:
-    """Add start, and of the row's shard: full and rest, how often all and how many of its blocks are taken."""
+def _taken(rows: DataFrame, parts: DataFrame, block: int, order: list[Column]) -> DataFrame:
+    """Add full, how often the row is taken whole, and first, how many of its words are taken once more."""
     p = parts.select(F.col("source").alias("its"), F.col("shard").alias("sh"), "shard_size", "quota")
     rows = rows.withColumn("shard", _shard())
     rows = rows.join(p, F.col("source").eqNullSafe(F.col("its")) & (F.col("shard") == F.col("sh"))).drop("its", "sh")
@@ -142,25 +142,8 @@ def _taken(rows: DataFrame, parts: DataFrame, block: int, seed: int, order: list
     rows = rows.withColumn("start", start).withColumn("n_blocks", blocks)
     quota = F.least("quota", F.col("n_blocks") * MOST)
     rows = rows.withColumn("full", F.floor(quota / F.col("n_blocks")).cast("long"))
-    return rows.withColumn("rest", (quota - F.col("full") * F.col("n_blocks")).cast("long"))
-
-
-def _copies(j: Column, seed: int) -> Column:
-    """How often block j of its shard is taken."""
-    picked = F.pmod(j * F.lit(STEP) + F.lit(seed), F.col("n_blocks")) < F.col("rest")
-    return F.col("full") + F.when(picked, F.lit(1)).otherwise(F.lit(0)).cast("long")
-
-
-def _words_taken(block: int, seed: int) -> Column:
-    stop = F.col("start") + F.col("size")
-    first, last = F.floor(F.col("start") / block).cast("long"), F.floor((stop - 1) / block).cast("long")
-
-    def add(total: Column, j: Column) -> Column:
-        inside = F.least(stop, (j + 1) * block) - F.greatest(F.col("start"), j * block)
-        return total + inside * _copies(j, seed)
-
-    picked = F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), add)
-    return F.when(F.col("size") > 0, picked).otherwise(F.lit(0).cast("long"))
+    rest = quota - F.col("full") * F.col("n_blocks")
+    return rows.withColumn("first", F.greatest(F.lit(0), F.least("size", rest * block - F.col("start"))).cast("long"))
 
 
 def mix(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
@@ -177,16 +160,16 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, see
     """
     sized = _sized(docs, seed)
     sources, parts = quotas(sized, block, shard_words)
-    rows = _taken(_with(sized, sources), parts, block, seed, [])
-    return rows.select("doc_id", "source", "size", "source_size", "target", _words_taken(block, seed).alias("taken"))
+    rows = _taken(_with(sized, sources), parts, block, [])
+    taken = (F.col("full") * F.col("size") + F.col("first")).alias("taken")
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken)
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """The mix as documents: a row for each time that words of a document are taken.
 
-    The first row holds the words taken at least once, the second those taken
-    twice, with the white space before them; a text taken whole is unchanged.
-    Rows of which no word is taken go. All columns stay; ``n_chars``, where
+    A document that is cut keeps its first words with the white space between
+    them; a text taken whole is unchanged. Rows of which no word is taken go. All columns stay; ``n_chars``, where
     present, is that of the new text.
     """
     sized = _sized(docs, seed)
@@ -194,15 +177,12 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard_words: int = SHAR
     rows = docs.select(
         "doc_id", "source", "text", size_of(F.col("text")).alias("size"), _mark(seed), F.struct(*docs.columns).alias("row")
     )
-    rows = _taken(_with(rows, sources), parts, block, seed, [F.xxhash64("text"), F.xxhash64("row")])
-    rows = rows.withColumn("pieces", F.regexp_extract_all("text", F.lit(PIECE), F.lit(0)))
+    rows = _taken(_with(rows, sources), parts, block, [F.xxhash64("text"), F.xxhash64("row")])
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(MOST))))
-
-    def wanted(_: Column, i: Column) -> Column:
-        return _copies(F.floor((F.col("start") + i) / block).cast("long"), seed) >= F.col("copy")
-
-    rows = rows.withColumn("kept", F.filter("pieces", wanted)).filter(F.size("kept") > 0)
-    whole = F.size("kept") == F.col("size")
-    rows = rows.withColumn("new", F.when(whole, F.col("text")).otherwise(F.array_join("kept", "")))
+    part = F.col("copy") == F.col("full") + 1
+    n = F.when(F.col("copy") <= F.col("full"), F.col("size")).when(part, F.col("first")).otherwise(0)
+    rows = rows.withColumn("n", n).filter("n > 0")
+    pieces = F.slice(F.regexp_extract_all("text", F.lit(PIECE), F.lit(0)), 1, F.col("n").cast("int"))
+    rows = rows.withColumn("new", F.when(F.col("n") == F.col("size"), F.col("text")).otherwise(F.array_join(pieces, "")))
     new = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
     return rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from . import language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity, vectors
 from .ship import ship
+from .sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +73,3 @@ QUERIES = {
     "op9_source_mix": op9_source_mix,
     "op10_simhash": op10_simhash,
 }
-
-#: SQL for DuckDB that gives the same rows.
-SQL: dict[str, str] = {}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from firmscope.llm import graph, mixing, packing, queries, simhash, substring, vectors
+from tests.compare import difference
 from tests.llm import brute
 from tests.llm.conftest import DATA, TEXT
 
@@ -195,7 +196,7 @@ def test_mix_in_many_shards(spark, documents):
         target[r.source] = r.target, r.source_size
         assert r.taken <= 2 * r.size
     for source, (goal, size) in target.items():
-        assert abs(taken[source] - goal) <= 8 * (2 + size / 700)
+        assert abs(taken[source] - goal) <= 16 * (2 + size / 700)
 
 
 def test_mixed_documents_hold_the_words_taken(documents):
@@ -268,8 +269,8 @@ def test_one_of_each_group_stays(odd):
 def test_odd_documents(odd):
     n = odd.count()
     found = substring.duplicate_factors(odd).collect()
-    assert len(found) == n and sorted(r.n_removed for r in found if r.doc_id == 2) == [22, 22]
-    assert [r.n_removed for r in found if r.doc_id is None] == [22]
+    assert len(found) == n and sorted(r.n_removed for r in found if r.doc_id == 2) == [23, 23]
+    assert [r.n_removed for r in found if r.doc_id is None] == [23]
     cut = substring.without_duplicates(odd)
     assert cut.columns == odd.columns and cut.count() == n
     mixed = mixing.mix(odd).collect()
@@ -308,3 +309,9 @@ def test_pipeline(spark, documents):
     whole = corpus_pipeline.run(spark, DATA).collect()
     check_sequences(whole)
     assert {r.doc_id for r in whole} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+@pytest.mark.parametrize("name", queries.SQL)
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sql(spark, name, sf):
+    assert difference(spark, queries.QUERIES[name], queries.SQL[name], f"/root/testdata/{sf}") is None
