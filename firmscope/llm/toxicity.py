@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import stored
 from .learn import newton, sigmoid
 
 # Insults known before any label is seen.
@@ -239,7 +240,9 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     share = [min(1.0, size / 2 / max(n, 1)) for n in (clean, toxic)]
     luck = F.pmod(F.xxhash64(F.lit("toxic"), "labelled"), F.lit(1_000_000)) / 1_000_000
     rows = rows.filter(luck < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
-    return docs.select("doc_id", "text").join(rows, F.col("doc_id") == F.col("labelled")).select("text", "y")
+    # About ``size`` ids: small enough for every task, so that no text is shuffled to find the sample.
+    texts = docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("labelled"))
+    return stored(texts.select("text", "y"), "sample")
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
