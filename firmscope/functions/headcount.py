@@ -27,14 +27,10 @@ TAXONOMIES = {
     ),
 }
 
-# Loose patterns over the markup, in search order.
-MARKUP_PATTERNS = (
-    r"(?i)<[^>]*AverageNumberOfEmployees[^>]*>(\d+)</",
-    r"(?i)<[^>]*NumberOfEmployees[^>]*>(\d+)</",
-    r"(?i)<[^>]*EmployeesTotal[^>]*>(\d+)</",
-    r"(?i)>(\d+)</[^>]*AverageNumberOfEmployees[^>]*>",
-    r"(?i)>(\d+)</[^>]*NumberOfEmployees[^>]*>",
-)
+# Names that are looked for loosely in the markup, in search
+# order: in the start tag before a number, then in the end tag after it.
+START_NAMES = ("AverageNumberOfEmployees", "NumberOfEmployees", "EmployeesTotal")
+END_NAMES = ("AverageNumberOfEmployees", "NumberOfEmployees")
 
 # Phrases that state a headcount, in search order.
 PHRASES = (
@@ -69,8 +65,9 @@ UNSUPPORTED_LIMIT = 10_000
 CONTEXT = 100
 
 # Inside of a start tag that is not self-closing. The loops are possessive, so
-# a tag with thousands of attributes costs no stack.
-_OPEN_REST = r"""(?:\s(?:[^>=/]|/(?!>)|=\s*"[^"]*"|=\s*'[^']*'|=)*+)?"""
+# a tag with thousands of attributes costs no stack, and do not run past the
+# next tag, so a document full of open ones is read once.
+_OPEN_REST = r"""(?:\s(?:[^<>=/]|/(?!>)|=\s*"[^"]*"|=\s*'[^']*'|=)*+)?"""
 
 
 # Filings: which ones, and which document
@@ -114,9 +111,24 @@ def _first_number(texts: Column) -> Column:
     return first(F.filter(F.transform(texts, numeric_value), lambda n: n.isNotNull()))
 
 
+def _without_tags(text: Column) -> Column:
+    """Text with every bracket up to the next closing one cut out.
+
+    What follows the last closing bracket cannot hold one and is not searched.
+    """
+
+    def cut(tail: Column) -> Column:
+        head = F.left(text, F.length(text) - F.length(tail))
+        return F.concat(F.regexp_replace(head, "<[^>]*+>", ""), tail)
+
+    return let(F.substring_index(text, ">", -1), cut)
+
+
 def _element_texts(doc: Column, name: str) -> Column:
-    inner = find_all(doc, rf"(?s)<{name}{_OPEN_REST}>(.*?)</{name}\s*>", 1)
-    return F.transform(inner, lambda body: F.regexp_replace(body, "<[^>]*>", ""))
+    """Texts of the elements that are closed before the next tag of their kind."""
+    body = rf"((?:[^<]++|<(?!/?{name}[\s/>]))*+)"
+    inner = find_all(doc, rf"<{name}{_OPEN_REST}>{body}</{name}\s*>", 1)
+    return F.transform(inner, _without_tags)
 
 
 def tag_headcount(doc: Column) -> Column:
@@ -138,20 +150,64 @@ def tag_headcount(doc: Column) -> Column:
     return let(doc, search)
 
 
-def markup_headcount(doc: Column) -> Column:
-    """Loose patterns; these also see names inside attributes."""
+def _loose_hits(parts: Column, name: str, before: bool) -> Column:
+    """First usable number beside a tag that holds ``name`` anywhere, in any case.
+
+    ``parts`` is the document cut at closing brackets, lower-cased. A tag may
+    hold open brackets, so it begins with the first one in its part. With
+    ``before`` the tag stands before the number, which ends at an end tag; else
+    after it. Each bracket serves one find only, as in a search from left to
+    right.
+    """
+    wanted = name.lower()
+    size = F.size(parts)
+    start = F.struct(F.lit(False).alias("used"), F.lit(None).cast("bigint").alias("hit"))
+
+    def holds(part: Column) -> Column:
+        return F.when(F.instr(part, "<") > 0, F.substr(part, F.instr(part, "<"))).contains(wanted)
+
+    def step(state: Column, place: Column) -> Column:
+        part, after = F.get(parts, place), F.get(parts, place + 1)
+        digits = r"^(\d+)</"
+        if before:
+            open_part = F.when(state["used"], F.regexp_replace(part, digits, "")).otherwise(part)
+            number = F.regexp_extract(after, digits, 1)
+            found = holds(open_part) & (number != "")
+        else:
+            number = F.regexp_extract(part, digits, 1)
+            tag = F.regexp_replace(part, digits, "")
+            found = (place > 0) & ~state["used"] & (number != "") & tag.contains(wanted)
+        value = F.when(found, number.try_cast("bigint"))
+        return F.when(state["hit"].isNotNull(), state).otherwise(
+            F.struct(
+                F.coalesce(found, F.lit(False)).alias("used"),
+                F.when((value > 0) & (value < TAG_LIMIT), value).alias("hit"),
+            )
+        )
 
-    def accepted(text: Column, pattern: str) -> Column:
-        numbers = F.transform(find_all(text, pattern, 1), lambda n: n.try_cast("bigint"))
-        return first(F.filter(numbers, lambda n: (n > 0) & (n < TAG_LIMIT)))
+    places = F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, start, step, lambda state: state["hit"])
+
+
+def markup_headcount(doc: Column) -> Column:
+    """Numbers beside loosely read tags; these also see names inside attributes."""
 
     def search(text: Column) -> Column:
+        finds = [(name, True) for name in START_NAMES] + [(name, False) for name in END_NAMES]
         return F.when(
-            text.rlike("(?i)employees"),
-            F.coalesce(*[accepted(text, pattern) for pattern in MARKUP_PATTERNS]),
+            text.contains("employees"),
+            let(
+                F.split(text, ">", -1),
+                lambda parts: F.coalesce(
+                    *[
+                        F.when(text.contains(name.lower()), _loose_hits(parts, name, before))
+                        for name, before in finds
+                    ]
+                ),
+            ),
         )
 
-    return let(doc, search)
+    return let(F.lower(doc), search)
 
 
 def namespace_headcount(doc: Column) -> Column:

@@ -59,8 +59,9 @@ MIN_META, MIN_PARAGRAPH, MIN_HEADING = 20, 50, 10
 MAX_DESCRIPTION, MAX_HEADINGS = 500, 300
 
 # Inside of a tag: quotes count only as the value of an attribute, so a stray
-# one does not swallow what follows.
-_INSIDE = r"""(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+"""
+# one does not swallow what follows. A tag that is not closed ends at the next
+# bracket, so a page full of them is read once and not once per tag.
+_INSIDE = r"""(?:[^<>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+"""
 _REST = rf"(?:[\s/]{_INSIDE})?"
 _ANY_TAG = rf"[!/?a-zA-Z]{_INSIDE}>"
 _TAG = f"<{_ANY_TAG}"
@@ -68,9 +69,15 @@ _COMMENT = r"!--.*?(?:-->|\z)"
 
 
 def _element(name: str, unclosed: bool = False) -> str:
-    """An element from its start tag's name on, with the first end that follows."""
-    end = rf"(?:</{name}\s*>|\z)" if unclosed else rf"</{name}\s*>"
-    return rf"{name}{_REST}>.*?{end}"
+    """An element from its start tag's name on.
+
+    It ends at its end tag; without one, at the next tag of its kind or with
+    the page, and an ``unclosed`` kind, whose content is no markup, only with
+    the page.
+    """
+    if unclosed:
+        return rf"{name}{_REST}>.*?(?:</{name}\s*>|\z)"
+    return rf"{name}{_REST}>(?:[^<]++|<(?!/?{name}[\s/>]))*+(?:</{name}\s*>)?"
 
 
 def _pieces(*kinds: str) -> str:
@@ -126,9 +133,11 @@ def decode_entities(text: Column) -> Column:
         )
 
     def character(reference: Column) -> Column:
-        hexadecimal = F.conv(F.substring(reference, 3, 8), 16, 10).try_cast("bigint")
-        decimal = F.substring(reference, 2, 8).try_cast("bigint")
-        code = F.when(reference.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
+        # Leading zeros do not count; more than eight digits are beyond all characters.
+        digits = F.regexp_replace(reference, "^#[xX]?0*+", "")
+        short = F.when(F.length(digits) <= 8, F.when(digits == "", F.lit("0")).otherwise(digits))
+        hexadecimal = F.conv(short, 16, 10).try_cast("bigint")
+        code = F.when(reference.rlike("^#[xX]"), hexadecimal).otherwise(short.try_cast("bigint"))
         named = F.coalesce(F.try_element_at(names, reference), F.try_element_at(rare, reference))
         return F.when(reference.startswith("#"), let(code, numbered)).otherwise(named)
 
@@ -146,7 +155,7 @@ def decode_entities(text: Column) -> Column:
                 )
             )
 
-        known = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31})"
+        known = r"^(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]++)"
         return let(F.regexp_extract(tail, known, 0), replaced)
 
     def whole(body: Column) -> Column:
@@ -187,7 +196,8 @@ def _attribute(pairs: Column, name: str) -> Column:
 
 
 def _attributes(tag: Column) -> Column:
-    return find_all(tag, r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""")
+    # From the beginning of a name only, so that a long run of letters is read once.
+    return find_all(tag, r"""(?<![^\s"'<>/=])[^\s"'<>/=]++\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""")
 
 
 def head_pieces(html: Column) -> Column:

@@ -56,8 +56,16 @@ def with_number(companies: DataFrame) -> DataFrame:
 
 
 def join_profiles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Every company, with its profile's columns (null when it has none)."""
-    order = F.xxhash64(*[c for c in profiles.columns if c != "company_number"])
+    """Every company, with its profile's columns (null when it has none).
+
+    Of several profiles of a number the one fetched last counts, where the
+    table says so in ``fetched_at``; else, and among equals, one picked by hash.
+    """
+    digest = F.xxhash64(*[c for c in profiles.columns if c != "company_number"])
+    order = F.struct(digest)
+    if "fetched_at" in profiles.columns:
+        age = -F.coalesce(micros(profiles, "fetched_at"), F.lit(-(1 << 62)).cast("bigint"))
+        order = F.struct(age, digest)
     unique = one_per_key(profiles, "company_number", order)
     return with_number(companies).join(
         splittable(unique, "company_number"), "company_number", "left"
@@ -106,12 +114,16 @@ def with_document_id(filings: DataFrame) -> DataFrame:
     )
 
 
-def join_documents(filings: DataFrame, documents: DataFrame) -> DataFrame:
-    """Filings with their documents; documents without content do not count."""
+def join_documents(filings: DataFrame, documents: DataFrame, *values: Column) -> DataFrame:
+    """Filings with values of their documents; documents without content do not count.
+
+    The values are worked out where the documents lie, so that only they and
+    ids are shuffled.
+    """
     present = documents.filter(
         (F.octet_length("content") > 0) | (F.length("text") > 0)
     )
-    return filings.join(present, "document_id")
+    return filings.join(present.select("document_id", *values), "document_id")
 
 
 def official_sites(search_results: DataFrame) -> DataFrame:
@@ -122,7 +134,7 @@ def official_sites(search_results: DataFrame) -> DataFrame:
         & is_company_domain(F.col("href"), F.col("company_name"))
     )
     return acceptable.groupBy("company_name").agg(
-        F.min_by("href", "rank").alias("company_url")
+        F.min_by("href", F.struct("rank", "href")).alias("company_url")
     )
 
 

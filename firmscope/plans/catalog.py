@@ -232,11 +232,11 @@ def company_filings_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def filing_documents_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     filings = lookup.with_document_id(inputs.filings(spark, sf_dir))
-    joined = lookup.join_documents(filings, inputs.filing_docs(spark, sf_dir))
-    return joined.select(
-        "company_number", "seq", "document_id",
-        F.length(F.coalesce(F.decode("content", "UTF-8"), "text")).cast("bigint").alias("size"),
+    size = F.length(F.coalesce(F.decode("content", "UTF-8"), "text")).cast("bigint")
+    joined = lookup.join_documents(
+        filings, inputs.filing_docs(spark, sf_dir), size.alias("size")
     )
+    return joined.select("company_number", "seq", "document_id", "size")
 
 
 @query
@@ -601,9 +601,9 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _, checkpoint = _folders(spark, "requests")
     requests = _stream(spark, sf_dir, "events", inputs.SNAPSHOTS)
-    first = jobs.first_requests(requests, "fetched_at", "60 days").select("prefix", "key")
+    first = jobs.first_requests(requests, "fetched_at")
     jobs.write_stream(first, out, checkpoint).awaitTermination()
-    return jobs.read_batches(spark, out).drop("batch")
+    return jobs.read_batches(spark, out).select("prefix", "key", "asked_us")
 
 
 @query

@@ -96,7 +96,7 @@ DOCUMENTS = {
         f"WHEN 0 THEN {_XHTML}<uk-gaap:AverageNumberOfEmployees contextRef=\"c1\">' || {_N} || '</uk-gaap:AverageNumberOfEmployees></html>' "
         f"WHEN 1 THEN {_XHTML}<p><ix:nonFraction name=\"bus:NumberOfEmployees\" scale=\"0\">' || {_N} || '</ix:nonFraction></p></html>' "
         f"WHEN 2 THEN '<xbrl xmlns:e=\"http://www.xbrl.org/uk/gaap/pt/2022-01-01\" xmlns:f=\"http://other.example.org/\"><f:EmployeesTotal>9,999</f:EmployeesTotal><e:DirectorsAndEmployees>1,' || {_N3} || '</e:DirectorsAndEmployees></xbrl>' "
-        f"WHEN 3 THEN {_XHTML}<uk-gaap:TotalAssets>' || {_N} || '</uk-gaap:TotalAssets><employeestotal> ' || {_N} || ' <b>7</b></employeestotal></html>' "
+        f"WHEN 3 THEN {_XHTML}<a <b <uk-gaap:TotalAssets>' || {_N} || '</uk-gaap:TotalAssets><employeestotal> ' || {_N} || ' <b>7</b></employeestotal></html>' "
         "END"
     ),
     "text": (
@@ -104,7 +104,7 @@ DOCUMENTS = {
         f"WHEN 4 THEN 'The average number of  employees during the year was ' || {_N} || '.' "
         f"WHEN 5 THEN 'Staff numbers: ' || {_N} || ' at ' || lower(o_orderpriority) || ' sites' "
         f"WHEN 6 THEN 'Turnover fell. Employees: ' || {_N} || ' thousand. ' || repeat('The office was kept open all year. ', 6) || 'Average number employed: ' || cast(o_orderkey % 89 + 1000 AS string) "
-        f"WHEN 7 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'This document contains no employee information.' ELSE 'Private Limited. Employees ' || {_N} END "
+        f"WHEN 7 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'Nobody counted who works at this place.' ELSE 'Private Limited. Employees ' || {_N} END "
         "END"
     ),
 }
@@ -125,7 +125,7 @@ SEARCH_RESULTS = {
 _ID = "cast(page_id AS string)"
 _HEAD = (
     "CASE page_id % 6 "
-    f"WHEN 0 THEN '<meta name=\"description\" content=\"Welcome to  page ' || {_ID} || ' &amp;amp; its long description\">' "
+    f"WHEN 0 THEN '<meta name=\"description\" content=\"Welcome to  page ' || {_ID} || ' &amp;amp; its long description &#0000000065; &#x00000041;\">' "
     f"WHEN 1 THEN '<meta property=\"og:title\" content=\" Title ' || {_ID} || ' \"><meta property=\"og:description\" content=\"About the maker of article ' || {_ID} || '\"><meta property=\"og:url\" content=\"\"><meta property=\"og:site_name\" content=\"Site ' || {_ID} || '\">' "
     f"WHEN 2 THEN '<script type=\"application/ld+json\">{{\"@type\": \"Organization\", \"name\": \"Maker ' || {_ID} || '\", \"url\": \"https://m' || {_ID} || '.example.com\", \"address\": {{\"streetAddress\": \"' || {_ID} || ' High St\", \"addressRegion\": \"\", \"postalCode\": \"LS1 1AA\"}}}}</script>' "
     f"WHEN 3 THEN '<meta name=\"Keywords\" content=\"valves, ,pumps ' || {_ID} || ', \"><meta name=\"description\" content=\"Too short\"><meta name=\"Description\" content=\"Home - a long enough description ' || {_ID} || '\">' "

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firmscope.functions.headcount import lossy_text
 from firmscope.functions.text import ADDRESS_PARTS, pad_number
 
 ADDRESS = T.StructType([T.StructField(part, T.StringType()) for part in ADDRESS_PARTS])
@@ -41,12 +42,14 @@ SEARCH_HIT = T.StructType([T.StructField(f, T.StringType()) for f in ("href", "t
 
 
 def profiles(answers: DataFrame) -> DataFrame:
-    """(company_number, payload) -> one row per profile."""
+    """(company_number, payload) -> one row per profile; ``fetched_at`` comes along where there is one."""
+    more = [c for c in answers.columns if c == "fetched_at"]
     parsed = answers.select(
         pad_number(F.col("company_number")).alias("company_number"),
         F.from_json("payload", PROFILE).alias("profile"),
+        *more,
     )
-    return parsed.filter("profile is not null").select("company_number", "profile.*")
+    return parsed.filter("profile is not null").select("company_number", "profile.*", *more)
 
 
 def filings(answers: DataFrame) -> DataFrame:
@@ -67,7 +70,14 @@ def search_results(answers: DataFrame) -> DataFrame:
 
 
 def filing_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Folder of document files, named by id -> (document_id, content)."""
+    """Folder of document files, named by id -> (document_id, content, text).
+
+    Files that end in .txt hold text; all others are read by their content.
+    """
     files = spark.read.format("binaryFile").load(path)
     name = F.substring_index("path", "/", -1)
-    return files.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("document_id"), "content")
+    return files.select(
+        F.regexp_replace(name, r"\.[^.]*$", "").alias("document_id"),
+        "content",
+        F.when(F.lower(name).endswith(".txt"), lossy_text(F.col("content"))).alias("text"),
+    )

@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from firmscope.functions import headcount as H
+from firmscope.functions import markup as M
 from tests.helpers import apply
 
+# Filings and sentences whose headcounts are given.
 PLAIN = (
     '<html xmlns="http://www.xbrl.org/2003/instance"><uk-gaap:AverageNumberOfEmployees>25'
     "</uk-gaap:AverageNumberOfEmployees></html>"
@@ -81,6 +86,7 @@ def test_numeric_value(spark):
 
 
 def test_text_phrases(spark):
+    # Phrases and the numbers they give.
     cases = {
         "The average number of employees during the year was 35.": 35,
         "Average number of employees: 25": 25,
@@ -90,8 +96,8 @@ def test_text_phrases(spark):
         "Staff numbers: 22": 22,
         "Employed an average of 31 people": 31,
         "Number of  persons\nemployed: 18": 18,
-        "This document contains no employee information.": None,
-        "Revenue of 25 million pounds and employees working hard.": None,
+        "Nobody counted the employees of this place.": None,
+        "Sales of 25 million pounds by hard-working employees.": None,
         # 'vat' hides in 'private'; the comma ends the number; six digits at most
         "ABC Private Limited employees: 12": None,
         "employees: 1,250": 1,
@@ -108,22 +114,55 @@ def test_context_is_around_the_first_place_of_the_digits(spark):
     assert apply(spark, H.text_headcount, given) == [None, 12]
 
 
-def _near_people(text, digits, count):
-    """The rule, restated for one text."""
-    place = text.find(digits)
-    around = text[max(0, place - 100) : place + 100]
-    if any(word in around for word in H.MONEY_WORDS):
-        return False
-    return any(word in around for word in H.PEOPLE_WORDS) or 1 <= count <= 10_000
+def test_context_reaches_a_hundred_characters(spark):
+    """A word counts while all of it is within a hundred characters of the number's first digit."""
+    def before(word, gap):
+        return f"{word}{'.' * gap}20000"
 
+    def after(word, gap):
+        return f"20000{'.' * gap}{word}"
 
-def test_context_edges(spark):
-    given = []
-    for gap in (0, 1, 98, 99, 100, 101, 150):
-        for word in ("profit", "staff", "£"):
-            given += [f"{word}{'.' * gap}20000", f"20000{'.' * gap}{word}", f"{'.' * gap}20000"]
-    got = apply(spark, lambda text: H.near_people(text, F.lit("20000")), given)
-    assert got == [_near_people(text, "20000", 20_000) for text in given]
+    cases = {
+        # Twenty thousand needs a word for people; none is too far when it ends at the edge.
+        before("staff", 0): True, before("staff", 95): True, before("staff", 96): False,
+        after("staff", 0): True, after("staff", 90): True, after("staff", 91): False,
+        # A word for money beats one for people, until it is out of reach.
+        before("profit", 0) + " staff": False, before("profit", 94) + " staff": False,
+        before("profit", 95) + " staff": True, before("£", 99) + " staff": False,
+        before("£", 100) + " staff": True, "staff " + after("profit", 83): False,
+        "staff " + after("profit", 89): False, "staff " + after("profit", 90): True,
+        "20000": False,
+    }
+    got = apply(spark, lambda text: H.near_people(text, F.lit("20000")), list(cases))
+    assert dict(zip(cases, got)) == cases
+
+
+def seconds(spark, function, text):
+    apply(spark, function, [text[:100]])
+    began = time.perf_counter()
+    apply(spark, function, [text])
+    return time.perf_counter() - began
+
+
+@pytest.mark.parametrize(
+    "function, piece",
+    [
+        (H.tag_headcount, "<uk-gaap:EmployeesTotal>"),
+        (H.tag_headcount, "<uk-gaap:EmployeesTotal a "),
+        (H.markup_headcount, "<a employees "),
+        (H.markup_headcount, "<employeestotal NumberOfEmployees "),
+        (H.namespace_headcount, "<e:EmployeesTotal xmlns:e='http://www.xbrl.org/uk/gaap/pt/2023-01-01' "),
+        (M.page_title, "<title>"),
+        (M.page_title, "<meta a "),
+        (M.headings_description, "<h1>"),
+        (M.headings_description, "<h2 <"),
+        (M.page_text, "<a =' "),
+        (M.first_paragraph, "<p><div <"),
+    ],
+)
+def test_broken_markup_takes_time_in_proportion(spark, function, piece):
+    once, twice = (min(seconds(spark, function, piece * n) for _ in range(2)) for n in (30_000, 60_000))
+    assert twice < 2.5 * once + 0.5 and twice < 10
 
 
 def test_document_choice(spark):

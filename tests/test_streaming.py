@@ -62,16 +62,42 @@ def test_progress_stream(spark, landing, tmp_path):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
 
 
-def test_first_requests_repeat_after_the_lifetime(spark, tmp_path):
-    path = str(tmp_path / "requests")
-    for hour in (0, 1, 100, 200, 300, 400):
-        row = f"'p' prefix, 'a' key, timestamp'2024-01-01' + interval {hour} hours AS asked"
-        spark.range(1).selectExpr(*row.split(", ", 2)).write.mode("append").parquet(path)
-    first = jobs.first_requests(stream(spark, path), "asked", "24 hours")
-    jobs.write_stream(first, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    hours = [r.asked.day * 24 + r.asked.hour - 24 for r in jobs.read_batches(spark, str(tmp_path / "out")).collect()]
-    # One hour later it is still known; some time later it is asked for again.
-    assert min(hours) == 0 and 1 not in hours and len(hours) > 1
+def requests_of(spark, path, rows, one_file):
+    df = spark.createDataFrame(rows, "prefix string, key string, hour int")
+    df = df.selectExpr("prefix", "key", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, hour) AS asked")
+    for part in [df.coalesce(1)] if one_file else [df.filter(F.col("asked") == t) for t in sorted({r.asked for r in df.collect()})]:
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("one_file", [True, False])
+def test_first_requests_repeat_after_the_lifetime(spark, tmp_path, one_file):
+    """In one batch and in many: a request within its kind's lifetime of the last one asked is known."""
+    path, out = str(tmp_path / "requests"), str(tmp_path / "out")
+    day = [0, 1, 23, 24, 47, 48, 300, 5_000]
+    rows = [("ddg_search", "a", h) for h in day] + [("geocode", "a", h) for h in day] + [("x", None, h) for h in day]
+    requests_of(spark, path, rows, one_file)
+    first = jobs.first_requests(stream(spark, path), "asked")
+    jobs.write_stream(first, out, str(tmp_path / "check")).awaitTermination()
+    origin = 1_704_067_200_000_000
+    got = {}
+    for r in jobs.read_batches(spark, out).collect():
+        got.setdefault((r.prefix, r.key), []).append((r.asked_us - origin) // 3_600_000_000)
+    assert {k: sorted(v) for k, v in got.items()} == {
+        ("ddg_search", "a"): [0, 24, 48, 300, 5_000],
+        ("geocode", "a"): [0, 5_000],
+        ("x", None): [0, 300, 5_000],
+    }
+
+
+def test_late_requests_and_landed_answers(spark, tmp_path):
+    path, out = str(tmp_path / "requests"), str(tmp_path / "out")
+    for part in ([("p", "a", 5_000)], [("p", "b", 0)], [("p", "a", 10)], [("p", "c", 100)]):
+        requests_of(spark, path, part, True)
+    landed = spark.sql("SELECT 'p' prefix, 'c' key, timestamp'2024-01-03' fetched_at")
+    first = jobs.first_requests(stream(spark, path), "asked", answers=landed)
+    jobs.write_stream(first, out, str(tmp_path / "check")).awaitTermination()
+    # Old requests of other keys are not lost; one that comes after a younger one is answered by it.
+    assert sorted(r.key for r in jobs.read_batches(spark, out).collect()) == ["a", "b"]
 
 
 def test_enrich_stream_resumes(spark, tmp_path):
