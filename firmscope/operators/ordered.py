@@ -17,15 +17,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firmscope.shared import pin
+from firmscope.shared import pin, stored
 
-MAX_RANGES = 2_000
-FEW = 1_000
+RANGE_ROWS = 1_000_000
+#: Ranges whose sizes one task adds up.
+SUMMED = 1_000
 
 
 def range_count(df: DataFrame) -> int:
+    """As many ranges as shuffles have partitions, and more where a range would hold too many rows."""
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, wanted))
+    return max(2, wanted, -(-df.count() // RANGE_ROWS))
 
 
 def _cut_points(df: DataFrame, column: str, ranges: int) -> list[float]:
@@ -152,13 +154,14 @@ def _hashable(df: DataFrame) -> list[str]:
 
 
 def _with_tie(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Add ``_tie``, which tells rows of equal order apart, copies as well.
+    """Add ``_digest`` and ``_tie``, which tell rows of equal order apart, copies as well.
 
-    It is a row's place in its task. The rows are sorted first, so that a task
-    that runs again gives the same places whatever order its input comes in.
+    The first is a hash of the row, the second its place in its task. The rows
+    are sorted first, so that a task that runs again gives the same places
+    whatever order its input comes in.
     """
-    digest = F.xxhash64(*_hashable(df))
-    return df.sortWithinPartitions(*order, digest).withColumn(
+    digested = df.withColumn("_digest", F.xxhash64(*_hashable(df)))
+    return digested.sortWithinPartitions(*order, "_digest").withColumn(
         "_tie", F.monotonically_increasing_id()
     )
 
@@ -176,11 +179,11 @@ def number_rows(
     """
     ranges = ranges or range_count(df)
     told = df if unique else _with_tie(df, order)
-    full_order = order if unique else (*order, "_tie")
+    full_order = order if unique else (*order, "_digest", "_tie")
     split = (
         told.repartitionByRange(ranges, *full_order)
         .sortWithinPartitions(*full_order)
-        .drop("_tie")
+        .drop("_digest", "_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
     pinned = pin(split)
@@ -188,19 +191,21 @@ def number_rows(
     part = F.shiftright("_place", 33)
     place = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     counts = pinned.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select(
-        "_part",
-        F.coalesce(
-            F.sum("_rows").over(
-                Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_offset"),
+    # Sums in groups of ranges, and of the groups before, so that no task adds up all ranges.
+    grouped = counts.withColumn("_group", F.expr(f"_part div {SUMMED}"))
+    inside = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = grouped.groupBy("_group").agg(F.sum("_rows").alias("_sum"))
+    groups = groups.select("_group", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    within = F.coalesce(F.sum("_rows").over(inside), F.lit(0)).alias("_within")
+    offsets = grouped.select("_part", "_group", within).join(groups, "_group")
+    # Written first: Spark then knows how few they are and need not shuffle the rows to meet them.
+    offsets = stored(
+        offsets.select("_part", (F.col("_base") + F.col("_within")).alias("_offset")), "offsets"
     )
-    # At most MAX_RANGES rows of two numbers, whatever the table holds.
     return (
         pinned.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(offsets, "_part")
         .withColumn("row_no", F.col("_offset") + place)
         .drop("_part", "_offset", "_place")
     )
@@ -217,10 +222,10 @@ def chunk_rows(
 def slice_rows(
     df: DataFrame, start: int, length: int | None, *order: str, unique: bool = False
 ) -> DataFrame:
-    """Rows ``start`` to ``start + length`` of the order (to the end without length)."""
-    if length is not None and start + length <= FEW:
-        # Few enough that every task keeps its first ones and one task picks.
-        return df.orderBy(*order).offset(start).limit(length)
+    """Rows ``start`` to ``start + length`` of the order (to the end without length).
+
+    Rows of equal order stand by a hash of their columns, at any length.
+    """
     numbered = number_rows(df, *order, unique=unique)
     chosen = F.col("row_no") >= start
     if length is not None:

@@ -20,10 +20,10 @@ from firmscope.operators.lookup import (
     splittable,
     with_number,
 )
+from firmscope.shared import stored
 from firmscope.sources.tables import require_columns
 
 YEARS = (2024, 2023, 2022)
-FEW_COMPANIES = 10_000
 
 
 @dataclass(frozen=True)
@@ -103,25 +103,27 @@ def locate(profiles: DataFrame, gazetteers: tuple[DataFrame, DataFrame]) -> Data
 
 
 def narrowed(landed: Landed, companies: DataFrame) -> Landed:
-    """The landed rows that a few companies (at most ``FEW_COMPANIES``) need.
+    """The landed rows that these companies need.
 
-    Meant for short runs: only the documents and pages of these companies are
-    read then. All keys are broadcast, which the bound allows: there are at most
-    that many numbers, names and sites, and twenty documents to a number.
+    The keys are written first, so that Spark knows their size when it plans
+    the reading of documents and pages: where they are few it filters both
+    where they lie, before they are parsed.
     """
-    numbers = with_number(companies).select("company_number").distinct()
+    numbers = stored(with_number(companies).select("company_number").distinct(), "numbers")
     names = companies.select(F.col("CompanyName").alias("company_name")).distinct()
-    filings = landed.filings.join(F.broadcast(numbers), "company_number", "left_semi")
-    hits = landed.search_results.join(F.broadcast(names), "company_name", "left_semi")
+    names = stored(names, "names")
+    filings = landed.filings.join(numbers, "company_number", "left_semi")
+    hits = landed.search_results.join(names, "company_name", "left_semi")
     ids = latest_filings(filings).select(document_id(F.col("links")).alias("document_id"))
     links = official_sites(hits).select(with_scheme(F.col("company_url")).alias("_link"))
+    ids, links = stored(ids.distinct(), "ids"), stored(links.distinct(), "links")
     same_link = with_scheme(F.col("url")) == F.col("_link")
     return Landed(
-        profiles=landed.profiles.join(F.broadcast(numbers), "company_number", "left_semi"),
+        profiles=landed.profiles.join(numbers, "company_number", "left_semi"),
         filings=filings,
-        filing_docs=landed.filing_docs.join(F.broadcast(ids), "document_id", "left_semi"),
+        filing_docs=landed.filing_docs.join(ids, "document_id", "left_semi"),
         search_results=hits,
-        pages=landed.pages.join(F.broadcast(links), same_link, "left_semi"),
+        pages=landed.pages.join(links, same_link, "left_semi"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from firmscope.operators.lookup import pending
 from firmscope.operators.ordered import sample_head
 from firmscope.operators.rows import profile_table
-from firmscope.plans.enrich import FEW_COMPANIES, YEARS, Landed, enrich_companies, narrowed
+from firmscope.plans.enrich import YEARS, Landed, enrich_companies, narrowed
 from firmscope.sources import tables
 
 
@@ -75,9 +75,7 @@ def enrich_file(
     companies = tables.read_companies(spark, source)
     done = _stored(spark, target) if resume else None
     left = companies if done is None else pending(companies, done)
-    if done is not None and left.limit(FEW_COMPANIES + 1).count() <= FEW_COMPANIES:
-        landed = narrowed(landed, left)
-    result = enrich_companies(left, landed, years, gazetteers)
+    result = enrich_companies(left, narrowed(landed, left), years, gazetteers)
     seen = Observation("enriched")
     counted = result.observe(
         seen,
