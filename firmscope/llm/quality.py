@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
     rows = rows.filter(luck < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
     rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "labelled"), F.lit(4)).cast("int"))
     texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    texts = texts.join(rows, F.col("doc_id") == F.col("labelled")).select("text", "y", "part")
+    texts = texts.join(F.broadcast(rows), F.col("doc_id") == F.col("labelled")).select("text", "y", "part")
     seen = texts.mapInArrow(_cells, "buckets array<int>, shares array<float>, y int, part int").toArrow()
     y = seen["y"].to_numpy().astype(float)
     if len(np.unique(y)) < 2:
