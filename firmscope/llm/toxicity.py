@@ -245,17 +245,22 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     return stored(texts.select("text", "y"), "sample")
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many toxic and clean texts each word (ends in $) and each beginning of a word occurs."""
+def _keys(text: str | None) -> set[str]:
+    """Words of a text, which end in $, and beginnings of its words."""
+    keys = set()
+    for word in set("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()):
+        if len(word) <= 24:
+            keys.add(word + "$")
+        keys.update(word[:n] for n in range(SHORTEST_STEM, min(len(word), LONGEST_STEM + 1)))
+    return keys
+
+
+def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean texts each key occurs."""
     found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for batch in batches:
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            keys = set()
-            for word in set("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()):
-                if len(word) <= 24:
-                    keys.add(word + "$")
-                keys.update(word[:n] for n in range(SHORTEST_STEM, min(len(word), LONGEST_STEM + 1)))
-            for key in keys:
+            for key in _keys(text):
                 found[key][y] += 1
     yield pa.RecordBatch.from_pydict(
         {
@@ -266,34 +271,60 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def mined(counts: list[tuple[str, int, int]], most: int = TERMS) -> tuple[list[str], list[str]]:
-    """Terms and stems out of (key, clean, toxic): widest reach first, the longest key of about equal reach."""
-    left = sorted(counts, key=lambda x: (-x[2], -len(x[0]), x[0]))
+#: What a clean text that holds a key counts against it, in toxic texts; and fewest new texts that a key must reach.
+AGAINST, NEW = 20, 3
+
+
+def mined(
+    holders: dict[str, set[int]], clean: dict[str, int], most: int = TERMS
+) -> tuple[list[str], list[str]]:
+    """Terms and stems that together reach the toxic texts, by the numbers of the texts that hold each key.
+
+    Greedy cover: the key that reaches most texts that none has reached yet,
+    less what its clean texts count, or the longest of its continuations that
+    gains about as much; until the best one reaches fewer than ``NEW``. What
+    only stands beside other terms adds nothing and is not taken.
+    """
+    left = {key: set(texts) for key, texts in holders.items()}
     terms, stems = [], []
-    by_start = defaultdict(list)
-    for key, _, toxic in left:
-        by_start[key[:SHORTEST_STEM]].append((key, toxic))
-    taken: list[str] = []
-    for key, _, toxic in left:
-        bare = key.rstrip("$")
-        if any(bare.startswith(t) or t.startswith(bare) for t in taken):
-            continue
-        near = [x for x, n in by_start[key[:SHORTEST_STEM]] if x.startswith(bare) and n >= 0.95 * toxic]
-        best = max(near, key=lambda x: (len(x), x), default=key)
-        taken.append(best.rstrip("$"))
-        (terms if best.endswith("$") else stems).append(best.rstrip("$"))
-        if len(taken) >= most:
+
+    def gain(key: str) -> int:
+        return len(left[key]) - AGAINST * clean[key]
+
+    while left and len(terms) + len(stems) < most:
+        key = max(left, key=lambda k: (gain(k), len(k), k))
+        if gain(key) < NEW:
             break
+        longer = [k for k in left if k.startswith(key) and gain(k) >= 0.95 * gain(key)]
+        best = max(longer, key=lambda k: (len(k), k))
+        (terms if best.endswith("$") else stems).append(best.rstrip("$"))
+        reached = holders[best]
+        left = {k: rest for k, texts in left.items() if (rest := texts - reached)}
     return terms, stems
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
     """Lexicon and weights from the labelled training rows of ``labels``; needs doc_id, toxic."""
     rows = _sample(docs, labels, size)
-    counts = rows.mapInArrow(_prefixes, "key string, clean long, toxic long").groupBy("key")
+    counts = rows.mapInArrow(_reach, "key string, clean long, toxic long").groupBy("key")
     counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    strong = counts.filter("toxic >= 4 and toxic >= 9 * clean").orderBy(F.desc("toxic"), "key").limit(20 * TERMS)
-    terms, stems = mined([tuple(row) for row in strong.collect()])
+    # A hundredth of the toxic rows, four at least: rarer beginnings are there by chance.
+    least = max(4, (rows.agg(F.sum("y")).first()[0] or 0) // 100)
+    strong = counts.filter(f"toxic >= {least} and toxic >= 9 * clean").orderBy(F.desc("toxic"), "key").limit(20 * TERMS)
+    clean = {row.key: row.clean for row in strong.collect()}
+    strong = frozenset(clean)
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sorted(_keys(t) & strong) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["keys"]
+            )
+
+    holders: dict[str, set[int]] = defaultdict(set)
+    for number, row in enumerate(rows.filter("y = 1").mapInArrow(held, "keys array<string>").collect()):
+        for key in row.keys:
+            holders[key].add(number)
+    terms, stems = mined(holders, clean)
     words = sorted({t for t in SEED_TERMS if not any(t.startswith(s) for s in stems)} | set(terms))
     made = pickle.dumps((words, stems))
 
