@@ -294,13 +294,18 @@ def run_progress_final(log: DataFrame, totals: DataFrame | None = None) -> DataF
 def run_progress_running(
     log: DataFrame, report_every: int = 50, ranges: int | None = None
 ) -> DataFrame:
-    """A report after every ``report_every`` rows of each run."""
+    """A report after every ``report_every`` rows of each run, in order of (ts, id).
+
+    Ids of any orderable type; those that are no numbers are numbered first.
+    """
     key = held(["run"])
-    narrow = log.select("run", "id", "ok", micros(log, "ts").alias("_now"))
-    rows = with_ranges(hold_keys(narrow, ["run"]), key, "_now", "id", ranges)
-    order = in_range(key, "_now", "id")
+    narrow = log.select("run", F.col("id").alias("_id"), "ok", micros(log, "ts").alias("_now"))
+    if not isinstance(narrow.schema["_id"].dataType, T.NumericType):
+        narrow = number_rows(narrow, "_now", "_id").drop("_id").withColumnRenamed("row_no", "_id")
+    rows = with_ranges(hold_keys(narrow, ["run"]), key, "_now", "_id", ranges)
+    order = in_range(key, "_now", "_id")
     counted = rows.select(
-        *key, "_range", "id", "_now",
+        *key, "_range", "_id", "_now",
         F.count(F.lit(1)).over(order).alias("_n"),
         F.count_if(F.col("ok")).over(order).alias("_ok"),
     )

@@ -553,6 +553,20 @@ def enrich_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, target)
 
 
+@query
+def enrich_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a file run logs about each company, and the progress report on it."""
+    folder = new_folder(spark, "logged")
+    tables.write_table(inputs.companies(spark, sf_dir), f"{folder}/all.csv")
+    file_jobs.enrich_file(
+        spark, f"{folder}/all.csv", f"{folder}/enriched.parquet", inputs.landed(spark, sf_dir),
+        YEARS, log=f"{folder}/log", run="first", at=F.lit(AS_OF),
+    )
+    log = spark.read.parquet(f"{folder}/log")
+    final = ordered.run_progress_final(log).select(F.col("run").alias("_run"), "processed", "failed")
+    return log.join(final, F.col("run") == F.col("_run")).select("run", "id", "ok", "processed", "failed")
+
+
 # User functions
 
 def _share(row: dict[str, Any]) -> int:
@@ -597,6 +611,21 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_batches(spark, out).drop("batch")
 
 
+@query
+def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that the callback of a stream writes, batch by batch."""
+    out, log, checkpoint = _folders(spark, "logged")
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = enrich.outcomes(batch, "stream", F.lit(AS_OF), YEARS)
+        rows.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+
+    companies = _stream(spark, sf_dir, "customer", inputs.COMPANIES)
+    lookups = enrich.prepare(inputs.landed(spark, sf_dir), YEARS)
+    jobs.enrich_stream(companies, lookups, out, checkpoint, on_batch).awaitTermination()
+    return jobs.read_batches(spark, log).select("run", "id", "ok")
+
+
 @query
 def stream_lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _, checkpoint = _folders(spark, "requests")

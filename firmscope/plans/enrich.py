@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmscope.functions.headcount import document_headcount, document_id, filing_year
@@ -201,3 +201,21 @@ def enrich_companies(
 ) -> DataFrame:
     """The whole job as one lazy plan."""
     return attach(companies, prepare(landed, years, gazetteers))
+
+
+def succeeded(years: tuple[int, ...] = YEARS) -> Column:
+    """Whether anything was found for an enriched company."""
+    found = ["company_url", "description", *(f"employees_{year}" for year in years)]
+    return F.greatest(*(F.col(c) for c in (*found, "manufacturing_location"))) != ""
+
+
+def outcomes(
+    enriched: DataFrame, run: str, at: Column, years: tuple[int, ...] = YEARS
+) -> DataFrame:
+    """The run log of enriched companies: (run, ts, id, ok)."""
+    return enriched.select(
+        F.lit(run).alias("run"),
+        at.cast("timestamp").alias("ts"),
+        F.col("CompanyNumber").alias("id"),
+        succeeded(years).alias("ok"),
+    )

@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firmscope.operators.lookup import pending
 from firmscope.operators.ordered import sample_head
 from firmscope.operators.rows import profile_table
-from firmscope.plans.enrich import YEARS, Landed, enrich_companies, narrowed
+from firmscope.plans.enrich import YEARS, Landed, enrich_companies, narrowed, outcomes, succeeded
+from firmscope.shared import stored
 from firmscope.sources import tables
 
 
@@ -65,22 +66,34 @@ def enrich_file(
     years: tuple[int, ...] = YEARS,
     gazetteers: tuple[DataFrame, DataFrame] | None = None,
     resume: bool = False,
+    log: str | None = None,
+    run: str = "run",
+    at: Column | None = None,
 ) -> dict[str, int]:
     """Enrich a company file; with ``resume`` only what the target does not hold yet.
 
     New rows are appended, so what an earlier run wrote stays as it is. Returns
-    how many rows this run wrote and for how many a site was found, counted
-    while writing.
+    how many rows this run wrote, for how many anything and a site was found
+    and for how many nothing, counted while writing. ``log`` names a table that
+    gets a row (run, ts, id, ok) for each of them.
     """
     companies = tables.read_companies(spark, source)
     done = _stored(spark, target) if resume else None
     left = companies if done is None else pending(companies, done)
     result = enrich_companies(left, narrowed(landed, left), years, gazetteers)
+    if log:
+        result = stored(result, "enriched")  # the target and the log tell of the same rows
     seen = Observation("enriched")
     counted = result.observe(
         seen,
         F.count(F.lit(1)).alias("processed"),
+        F.count_if(succeeded(years)).alias("successful"),
+        F.count_if(~succeeded(years)).alias("failed"),
         F.count_if(F.col("company_url") != "").alias("with_site"),
     )
     tables.write_table(counted, target, mode="overwrite" if done is None else "append")
+    if log:
+        outcomes(result, run, F.current_timestamp() if at is None else at, years).write.mode(
+            "append"
+        ).parquet(log)
     return dict(seen.get)

@@ -374,6 +374,9 @@ DESCRIBED_SITES = (
     "LEFT JOIN (SELECT s.url, a.description FROM site s JOIN about a ON a.page_id = s.page_id) d ON d.url = company_url)"
 )
 _YEAR_COLUMNS = ", ".join(f"coalesce(employees_{y}, '') AS employees_{y}" for y in YEARS)
+FOUND = "concat(company_url, description, COLUMNS_OF_YEARS, manufacturing_location) <> ''".replace(
+    "COLUMNS_OF_YEARS", ", ".join(f"employees_{year}" for year in YEARS)
+)
 ENRICHED = (
     f"{COMPANIES}, {HEADCOUNTS}, {DESCRIBED_SITES}, "
     "enriched AS (SELECT companies.*, coalesce(company_url, '') AS company_url, "
@@ -623,6 +626,12 @@ def statements() -> dict[str, str]:
         "lookup_misses": f"WITH {FRESH} SELECT DISTINCT prefix, key FROM snapshots EXCEPT SELECT prefix, key FROM fresh",
         "enrich_companies": f"WITH {ENRICHED} SELECT * FROM enriched",
         "enrich_resume": f"WITH {ENRICHED} SELECT * FROM enriched",
+        "enrich_run_log": (
+            f"WITH {ENRICHED}, log AS (SELECT CompanyNumber AS id, {FOUND} AS ok FROM enriched) "
+            "SELECT 'first' AS run, id, ok, count(*) OVER () AS processed, "
+            "(count(*) FILTER (WHERE NOT ok) OVER ()) AS failed FROM log"
+        ),
+        "stream_run_log": f"WITH {ENRICHED} SELECT 'stream' AS run, CompanyNumber AS id, {FOUND} AS ok FROM enriched",
         "enrich_with_location": (
             f"WITH {COMPANIES}, {PROFILES}, {GAZETTEERS}, asked AS (SELECT company_number, {address()} AS address FROM profiles) "
             "SELECT CompanyNumber, CompanyName, CASE WHEN length(trim(a.address)) >= 10 THEN coalesce(f.p, s.p, a.address) ELSE a.address END AS manufacturing_location "

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from firmscope.operators.ordered import run_progress_final, run_progress_running
 from firmscope.plans import jobs
+from firmscope.plans.enrich import document_headcounts
+from firmscope.sources.landed import filing_documents
 from firmscope.sources import tables
 from tests.test_lookup import companies, landed  # noqa: F401
 
@@ -18,7 +22,8 @@ def source(tmp_path):
 
 def test_enrich_file_and_resume(spark, landed, source, tmp_path):  # noqa: F811
     target = str(tmp_path / "enriched.csv")
-    assert jobs.enrich_file(spark, source, target, landed) == {"processed": 3, "with_site": 2}
+    done = jobs.enrich_file(spark, source, target, landed)
+    assert done == {"processed": 3, "successful": 3, "failed": 0, "with_site": 2}
     first = tables.read_table(spark, target)
     assert first.columns == ["CompanyName", "CompanyNumber", *tables.RESULT_COLUMNS]
     acme = first.filter("CompanyName = 'ACME VALVES'").first()
@@ -26,7 +31,9 @@ def test_enrich_file_and_resume(spark, landed, source, tmp_path):  # noqa: F811
 
     with open(source, "a") as more:
         more.write("NEW CO,3\n")
-    assert jobs.enrich_file(spark, source, target, landed, resume=True) == {"processed": 1, "with_site": 0}
+    assert jobs.enrich_file(spark, source, target, landed, resume=True) == {
+        "processed": 1, "successful": 0, "failed": 1, "with_site": 0
+    }
     names = [r.CompanyName for r in tables.read_table(spark, target).collect()]
     assert sorted(names) == ["ACME VALVES", "BARE CO", "LATE, LTD", "NEW CO"]
     assert jobs.enrich_file(spark, source, target, landed, resume=True)["processed"] == 0
@@ -72,3 +79,31 @@ def test_scans_read_what_is_needed(spark, landed, tmp_path):  # noqa: F811
     # No second scan, no second reading, no documents in a shuffle.
     assert all("content" not in line for line in plan.splitlines() if "Exchange" in line)
     assert "WindowGroupLimit" in plan
+
+
+def test_run_log_feeds_the_progress_reports(spark, landed, source, tmp_path):  # noqa: F811
+    log = str(tmp_path / "log")
+    with open(source, "a") as more:
+        more.write("NEW CO,3\n")
+    for run in ("first", "second"):
+        jobs.enrich_file(
+            spark, source, str(tmp_path / f"{run}.parquet"), landed, log=log, run=run,
+            at=F.lit("2024-01-01 10:00:00"),
+        )
+    rows = spark.read.parquet(log)
+    assert sorted((r.run, r.id, r.ok) for r in rows.collect())[:4] == [
+        ("first", "00000001", True), ("first", "2", True), ("first", "3", False), ("first", "NI123456", True),
+    ]
+    final = {r.run: (r.processed, r.successful, r.failed) for r in run_progress_final(rows).collect()}
+    assert final == {"first": (4, 3, 1), "second": (4, 3, 1)}
+    running = run_progress_running(rows, 1).filter("run = 'first'").orderBy("processed").collect()
+    assert [(r.processed, r.successful) for r in running] == [(1, 1), (2, 2), (3, 2), (4, 3)]
+
+
+def test_landed_documents_are_counted(spark, tmp_path):
+    tagged = "<html xmlns='x'><uk-gaap:EmployeesTotal>12</uk-gaap:EmployeesTotal></html>"
+    (tmp_path / "D1.xhtml").write_text(tagged)
+    (tmp_path / "D2.txt").write_text("Average number of employees: 34")
+    (tmp_path / "D3.pdf").write_bytes(b"%PDF-1.4 Employees: 5")
+    counted = document_headcounts(filing_documents(spark, str(tmp_path)))
+    assert {r.document_id: r.headcount for r in counted.collect()} == {"D1": 12, "D2": 34, "D3": None}

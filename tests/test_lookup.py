@@ -277,3 +277,17 @@ def test_frequent_keys_are_split_in_the_joins(spark, landed):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_the_newest_profile_counts(spark):
+    given = spark.createDataFrame([("A", "1")], "CompanyName string, CompanyNumber string")
+    rows = [("00000001", status, f"2024-0{month}-01 00:00:00") for month, status in enumerate("dbeac", 1)]
+    profiles = spark.createDataFrame(rows, "company_number string, company_status string, fetched_at string")
+    profiles = profiles.withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    assert lookup.join_profiles(given, profiles).first().company_status == "c"
+
+
+def test_equal_ranks_pick_the_same_site(spark):
+    rows = [("Acme", 0, f"https://acme.com/{k}") for k in (3, 1, 2)]
+    hits = spark.createDataFrame(rows, "company_name string, rank int, href string").repartition(3)
+    assert lookup.official_sites(hits).first().company_url == "https://acme.com/1"

@@ -265,6 +265,15 @@ def test_slice(spark):
     assert slice(200, None) == []
 
 
+def test_slices_of_tied_rows_agree_at_any_length(spark):
+    df = spark.range(3_000).select((F.col("id") % 3).alias("key"), "id")
+    short = [r.id for r in ordered.slice_rows(df, 5, 20, "key").collect()]
+    long = ordered.slice_rows(df, 5, 2_000, "key")
+    again = [r.id for r in ordered.slice_rows(df, 5, 20, "key").collect()]
+    assert sorted(short) == sorted(again)
+    assert set(short) <= {r.id for r in long.collect()}
+
+
 def test_checkpoint_prefix_reads_back(spark, tmp_path):
     df = spark.range(50).withColumnRenamed("id", "key")
     ordered.write_chunks(ordered.chunk_rows(df, 20, "key"), str(tmp_path / "t"))
