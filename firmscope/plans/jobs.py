@@ -27,10 +27,9 @@ class Description:
 
 
 def _size(spark: SparkSession, path: str) -> int:
-    """Bytes under a path on whatever file system holds it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.getContentSummary(place).getLength()
+    """Bytes of the files under a path; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def describe_file(spark: SparkSession, path: str) -> Description:

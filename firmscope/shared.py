@@ -20,9 +20,10 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if not folder:
         current = context.getCheckpointDir()
-        if current:
+        alone = context.master.startswith("local") and not context.master.startswith("local-cluster")
+        if current and (alone or not current.startswith(("file:", "/"))):
             return current
-        if not context.master.startswith("local"):
+        if not alone:
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="firmscope-")
     if context.getCheckpointDir() is None:

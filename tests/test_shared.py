@@ -38,6 +38,15 @@ def test_no_local_folder_on_a_cluster():
         shared_folder(session("yarn"))
 
 
+def test_a_folder_set_before_must_be_shared_too():
+    spark = session("yarn")
+    spark.sparkContext.setCheckpointDir("file:/tmp/here")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(spark)
+    spark.sparkContext.setCheckpointDir("hdfs://nodes/there")
+    assert shared_folder(spark) == "hdfs://nodes/there"
+
+
 def test_one_machine_gets_a_folder_once():
     spark = session("local[2]")
     assert shared_folder(spark) == shared_folder(spark)
