@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from inspect import signature
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,10 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import trim
+
 #: Bytes of text gathered before streams are cut.
-GATHERED = 1 << 24
+GATHERED = 1 << 23
 
 
 @lru_cache(maxsize=1)
@@ -67,6 +70,19 @@ def _streams(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(found), pa.array(streams, pa.binary())], ["block", "stream"])
 
 
+def tidied(function):
+    """The same function of one or two tables; memory that it no longer uses goes back to the machine."""
+
+    def done(out):
+        trim()
+        return out
+
+    # Spark looks at how many tables a function takes.
+    if len(signature(function).parameters) == 1:
+        return lambda table: done(function(table))
+    return lambda left, right: done(function(left, right))
+
+
 def unpacked(streams: pa.ChunkedArray) -> pa.Table:
     """The rows of streams, ordered by id (null last) and text."""
     tables = []

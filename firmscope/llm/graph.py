@@ -6,14 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import new_folder
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows to the shared folder and read them from there."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from ..shared import stored
 
 
 class Forest:

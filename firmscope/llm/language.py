@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .lattice import log_marginals, longest_pieces, pieces
 from .toxicity import held_out
+from .words import tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: About how many training documents per language the piece probabilities are fitted on, at most.
@@ -59,7 +60,7 @@ def fit(docs: DataFrame, size: int = SAMPLE, vocabulary: str | None = None) -> b
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
-        for batch in batches:
+        for batch in tidy(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found.setdefault(lang, Counter()).update(words_of(text))
         for lang, counter in found.items():
@@ -125,7 +126,7 @@ def predict(docs: DataFrame, model: bytes) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _model(model)
         langs = own[0]
-        for batch in batches:
+        for batch in tidy(batches):
             texts, preds, scores = batch.column(2), [], []
             for group in _groups(texts):
                 found = [words_of(t) if langs else [] for t in group]

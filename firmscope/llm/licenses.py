@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .words import LOWER
+from .words import LOWER, tidy
 
 # Phrases that give a base label.
 PHRASES = {
@@ -280,7 +280,7 @@ def scan_licenses(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(made)
-        for batch in batches:
+        for batch in tidy(batches):
             rows = []
             for value in batch.column(1).cast(pa.binary()):
                 found = tokens(value.as_py() or b"")

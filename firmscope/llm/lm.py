@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import block_count, packed, unpacked
-from .graph import stored
+from ..shared import stored
 from .language import vocabulary_path
 from .lattice import log_marginals, longest_pieces, pieces
 from .words import LOWER, Remembered, mixed, spans, stretches, words

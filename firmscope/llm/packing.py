@@ -17,15 +17,15 @@ import pickle
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import stored
-from .words import Remembered, Words, ranges, spans, stretches, words
+from ..shared import stored
+from .words import Remembered, Words, ranges, spans, stretches, tidy, words
 
 LIMIT = 4096
 END = 1
@@ -248,18 +248,18 @@ class Chunks:
     tokenizer, many at once; all others go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.merging = Tokenizer.from_file(path)
         self.merging.normalizer = None
         self.merging.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.plain = regex.compile(r"[!-~\u00a1-\u024f]+").fullmatch
         self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        ends = [k for t, k in self.whole.get_vocab().items() if t.endswith("</w>")]
-        self.ends_run = np.zeros(self.whole.get_vocab_size(), bool)
+        ends = [k for t, k in self.merging.get_vocab().items() if t.endswith("</w>")]
+        self.ends_run = np.zeros(self.merging.get_vocab_size(), bool)
         self.ends_run[ends] = True
         shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
         hidden = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(shown))}
@@ -267,6 +267,12 @@ class Chunks:
         self.memory = Remembered(np.uint32, most)
         self.known: dict[str, np.ndarray] = {}
 
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def of(self, data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and where each word's ids end."""
         keys, first, place = np.unique(spans(data, found.starts, found.ends), return_index=True, return_inverse=True)
@@ -283,7 +289,7 @@ class Chunks:
 
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._split(w) for w in words]
-        if len(self.known) > 300_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         self.known.update(self._merged(list({run for runs in split if runs for run in runs if run not in self.known})))
         sizes, parts = [], []
@@ -338,7 +344,7 @@ def cut(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, with
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = _chunks(path)
-        for batch in batches:
+        for batch in tidy(batches):
             for begin, end, data, offsets in stretches(batch.column(1)):
                 found = words(data, offsets)
                 ids, ends = chunks.of(data, found) if len(found.starts) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -396,7 +402,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, wit
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(plan)
-        for batch in batches:
+        for batch in tidy(batches):
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             order = np.argsort(length, kind="stable")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .learn import newton, sigmoid, sparse_logistic
-from .words import SPACE, Words, covered, per_text, spans, stretches, windows, words
+from .words import SPACE, Words, covered, per_text, spans, stretches, tidy, windows, words
 
 BITS = 16
 CHARACTERS = 4
@@ -119,7 +119,7 @@ def _repeated_words(data: np.ndarray, found: Words) -> np.ndarray:
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's buckets and their scaled mean counts."""
-    for batch in batches:
+    for batch in tidy(batches):
         buckets, values = [], []
         for _, _, data, offsets in stretches(batch.column(0)):
             families = _hashed(data, offsets, words(data, offsets))
@@ -193,7 +193,7 @@ def judge(docs: DataFrame, model: bytes, keep_from: float = KEEP_FROM) -> DataFr
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, calibration, plain = pickle.loads(model)
-        for batch in batches:
+        for batch in tidy(batches):
             for first, last, data, offsets in stretches(batch.column(1)):
                 found = words(data, offsets)
                 base = counts(data, offsets, found)

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import Forest, components, stored
-from .words import ranges, stretches, words
+from ..shared import stored
+from .graph import Forest, components
+from .words import ranges, stretches, tidy, words
 
 SHINGLE = 3
 DISTANCE = 3
@@ -61,7 +62,7 @@ def _fingerprints(size: int):
         return _votes(np.array(hashes, np.uint64), counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for begin, end, data, offsets in stretches(batch.column(1), lower=True):
                 made = of_stretch(data, offsets).view(np.int64)
                 ids = batch.column(0).slice(begin, end - begin).cast(pa.int64())
@@ -245,7 +246,7 @@ def _forests(distance: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
-        for batch in batches:
+        for batch in tidy(batches):
             table = pa.Table.from_batches([batch])
             table = table if kept is None else pa.concat_tables([kept, table])
             keys = _keys(table)

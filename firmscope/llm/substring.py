@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import block_count, packed, unpacked
+from .blocks import block_count, packed, tidied, unpacked
 from .words import OTHER, SPACE, spans, stretches, words
 
 WINDOW = 20
@@ -242,10 +242,10 @@ def _report(ids, counts, removed, digests, factors) -> pa.Table:
 def _indexed(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Blocks, and for each block its windows that are not the first of their words, with the first place."""
     streams = packed(docs, block_count(docs, block_bytes), columns)
-    anchors = streams.groupBy("block").applyInArrow(_index_anchors, "anchor long, block long, n int")
+    anchors = streams.groupBy("block").applyInArrow(tidied(_index_anchors), "anchor long, block long, n int")
     often = anchors.withColumn("often", F.sum("n").over(Window.partitionBy("anchor"))).filter("often > 1")
     found = streams.groupBy("block").cogroup(often.select("block", "anchor").groupBy("block"))
-    found = found.applyInArrow(_index_windows, "high long, low int, block long, key long, place long")
+    found = found.applyInArrow(tidied(_index_windows), "high long, low int, block long, key long, place long")
     same = Window.partitionBy("high", "low").orderBy("key", "place")
     source = F.first(F.struct("key", "place")).over(same)
     found = found.withColumn("source", source).filter("key != source.key or place != source.place")
@@ -266,7 +266,7 @@ def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
     streams, found = _indexed(docs, ["doc_id", "text"], block_bytes)
     parsed = streams.groupBy("block").cogroup(found.groupBy("block"))
     return parsed.applyInArrow(
-        _reported, f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"
+        tidied(_reported), f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"
     )
 
 
@@ -293,7 +293,7 @@ def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataF
             rows = rows.set_column(place, "n_chars", lengths.cast(rows.schema.field(place).type))
         return rows
 
-    return streams.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(cut, schema)
+    return streams.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidied(cut), schema)
 
 
 def _cut(text: str, gone: np.ndarray) -> str:

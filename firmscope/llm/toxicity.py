@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import stored
+from ..shared import stored
 from .learn import newton, sigmoid
+from .words import tidy
 
 # Insults known before any label is seen.
 SEED_TERMS = (
@@ -360,7 +361,7 @@ def score_toxicity(docs: DataFrame, model: bytes, threshold: float = THRESHOLD)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, weights = _lexicon(model), pickle.loads(model)[2]
-        for batch in batches:
+        for batch in tidy(batches):
             found = hits(lexicon, [t or "" for t in batch.column(2).to_pylist()])
             scores = sigmoid(features(found) @ weights)
             arrays = [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(scores)]
@@ -382,7 +383,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Dat
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, weights = _lexicon(model), pickle.loads(model)[2]
-        for batch in batches:
+        for batch in tidy(batches):
             found = hits(lexicon, [t or "" for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array(sigmoid(features(found) @ weights) < THRESHOLD))
 

@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import Forest, components, stored
+from ..shared import stored
+from .blocks import tidied
+from .graph import Forest, components
 
 COSINE = 0.95
 PROBES = 8
@@ -243,7 +245,7 @@ def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, probes: int =
     model = pickle.dumps(train(_unit(sample["vector"].to_pylist(), double), lists))
     assigned = stored(_assigned(classes, model, double, probes), "assigned")
     tiles = _tiles(assigned).groupBy("list", "a", "c")
-    found = stored(tiles.applyInArrow(_searched(model, double, cosine), "id string, root string, links long"), "found")
+    found = stored(tiles.applyInArrow(tidied(_searched(model, double, cosine)), "id string, root string, links long"), "found")
     counts = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "linked")
     roots = components(found.filter("id != root").select("id", "root"))
     named = classes.join(counts, F.col("id") == F.col("linked"), "left").join(roots, F.col("id") == F.col("node"), "left")

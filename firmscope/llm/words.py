@@ -7,13 +7,15 @@ stretch needs memory in proportion to it, whatever a batch holds.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-STRETCH = 1 << 21
+STRETCH = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -25,6 +27,19 @@ OTHER = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
 
 
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; between them, memory that is no longer used goes back to the machine."""
+    for batch in batches:
+        yield batch
+        trim()
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no such call outside glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Words(NamedTuple):
     """Words of a stretch: byte places, count per text, first word of each text."""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from firmscope.llm import graph, mixing, packing, queries, simhash, substring, vectors
+from firmscope.shared import stored
 from tests.compare import difference
 from tests.llm import brute
 from tests.llm.conftest import DATA, TEXT
@@ -301,7 +302,7 @@ def test_pipeline(spark, documents):
     docs = documents
     rows = []
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = graph.stored(stage(spark, docs, DATA), "stage")
+        out = stored(stage(spark, docs, DATA), "stage")
         assert out.columns == documents.columns
         rows.append(out.count())
         docs = out
