@@ -1,6 +1,6 @@
 """Documents dealt into blocks of bounded size, for work that needs a block at once.
 
-A block holds the rows whose hashed id falls to it; the number of blocks
+A block holds the rows whose hashed id, or text where there is none, falls to it; the number of blocks
 follows the bytes of text, so a block stays about as large however many there
 are. Rows of one block travel as compressed Arrow streams.
 """
@@ -37,7 +37,10 @@ def block_count(docs: DataFrame, block_bytes: int) -> int:
 
 
 def packed(docs: DataFrame, blocks: int, columns: list[str]) -> DataFrame:
-    """(block, stream): the columns of the rows of each block; a block has many streams."""
+    """(block, stream): the columns of the rows of each block; a block has many streams.
+
+    Rows with one id share a block, rows without an id those with one text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -50,7 +53,8 @@ def packed(docs: DataFrame, blocks: int, columns: list[str]) -> DataFrame:
         if size:
             yield _streams(held)
 
-    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")
+    dealt = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")))
+    dealt = F.pmod(dealt, F.lit(blocks)).alias("block")
     return docs.select(dealt, F.struct(*columns).alias("row")).mapInArrow(run, "block long, stream binary")
 
 

@@ -33,8 +33,9 @@ from .words import OTHER, SPACE, spans, stretches, words
 WINDOW = 20
 GRAM = 8
 BLOCK_BYTES = 1 << 22
-#: Stands for a null id, after all others.
+#: Stands for a null id, after all others. Words of such rows are numbered on from block to block.
 NO_ID = np.iinfo(np.int64).max
+NUMBERED = 1 << 40
 
 
 class Block:
@@ -44,8 +45,8 @@ class Block:
     the words of the rows with this id in the block.
     """
 
-    def __init__(self, streams: pa.ChunkedArray) -> None:
-        self.rows = unpacked(streams)
+    def __init__(self, table: pa.Table) -> None:
+        self.rows = unpacked(table["stream"])
         ids = self.rows["doc_id"].combine_chunks().cast(pa.int64()).fill_null(NO_ID).to_numpy()
         hashes, others, counts = [], [], []
         for _, _, data, offsets in stretches(self.rows["text"].combine_chunks()):
@@ -61,6 +62,7 @@ class Block:
         new_id = np.concatenate(([True], ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, bool)
         base = np.maximum.accumulate(np.where(new_id, self.firsts[:-1], 0)) if len(ids) else self.firsts[:-1]
         self.place = np.arange(len(self.hashes)) - np.repeat(base, self.counts)
+        self.place[self.key == NO_ID] += table["block"][0].as_py() * NUMBERED
         text = np.repeat(np.arange(len(self.counts)), self.counts)
         size = len(self.hashes) - WINDOW + 1
         #: First words of all windows inside one text.
@@ -100,7 +102,7 @@ def _sliding(x: np.ndarray, n: int, least) -> np.ndarray:
 
 
 def _index_anchors(table: pa.Table) -> pa.Table:
-    block = Block(table["stream"])
+    block = Block(table)
     found, n = np.unique(block.anchors(), return_counts=True)
     return pa.table(
         {
@@ -116,7 +118,7 @@ def _index_windows(left: pa.Table, right: pa.Table) -> pa.Table:
     empty = np.zeros(0, np.int64)
     at, high, low, block = empty, empty.view(np.uint64), empty.astype(np.uint32), None
     if len(left) and len(right):
-        block = Block(left["stream"])
+        block = Block(left)
         _, least = block.grams()
         known = np.sort(right["anchor"].to_numpy().view(np.uint64))
         own = least[block.windows]
@@ -191,7 +193,7 @@ FACTORS = "array<struct<start: long, length: long, source_doc: long, source_star
 
 def _parsed(left: pa.Table, right: pa.Table) -> tuple[pa.Table, np.ndarray, list[list[dict]], Block]:
     """Rows of a block, which words go, and the factors of each row."""
-    block = Block(left["stream"])
+    block = Block(left)
     at, key, place = _sources(block, right)
     row = np.searchsorted(block.firsts, at, "right") - 1
     first, last = _factors(at, key, place, row)
@@ -207,7 +209,7 @@ def _parsed(left: pa.Table, right: pa.Table) -> tuple[pa.Table, np.ndarray, list
                 "start": int(at[f] - block.firsts[own]),
                 "length": n,
                 "source_doc": None if key[f] == NO_ID else int(key[f]),
-                "source_start": int(place[f]),
+                "source_start": int(place[f]) % NUMBERED,
             }
         )
     return block.rows, gone, factors, block

@@ -44,6 +44,17 @@ def test_substring_in_many_blocks(spark):
             assert (f.source_doc, f.source_start) < (row.doc_id, f.start) and f.length >= substring.WINDOW
 
 
+def test_rows_without_an_id_are_spread_and_ordered(spark):
+    body = " ".join(f"b{k}" for k in range(25))
+    rows = [(None, f"{body} {'t' * k} {k}") for k in range(40)] + [(7, f"{body} seven")]
+    found = substring.duplicate_factors(spark.createDataFrame(rows, "doc_id long, text string"), 500).collect()
+    assert [r.n_removed for r in found if r.doc_id == 7] == [0]
+    assert [r.n_removed for r in found if r.doc_id is None] == [25] * 40
+    nameless = spark.createDataFrame(rows[:-1], "doc_id long, text string")
+    found = substring.duplicate_factors(nameless, 500).collect()
+    assert sorted(r.n_removed for r in found) == [0] + [25] * 39
+
+
 def test_cut_texts(spark):
     body = TEXT + " extra"
     rows = [(1, f"first line\n{body}", 5), (2, f"Second:\n\n{body}\n the end", 6), (3, "short  text\n", 7)]
