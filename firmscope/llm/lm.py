@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import block_count, packed, unpacked
+from .blocks import block_count, packed, tidied, unpacked
 from ..shared import stored
 from .language import vocabulary_path
 from .lattice import log_marginals, longest_pieces, pieces
 from .words import LOWER, Remembered, mixed, spans, stretches, words
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 SMOOTHING = 0.1
 #: Hash of the end of a text; no word is empty.
 END = int(mixed(np.array([0], np.uint64) + np.uint64(1))[0])
@@ -57,6 +57,7 @@ class Block:
             size += len(data)
         self.counts = np.concatenate(counts)
         self.keys, first, self.place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        self.place = self.place.astype(np.int32)
         self.text = b"".join(t.tobytes() for t in texts)
         self.starts, self.ends = np.concatenate(starts)[first], np.concatenate(ends)[first]
 
@@ -67,12 +68,12 @@ class Block:
 
 @lru_cache(maxsize=1)
 def _segmentations(path: str) -> Remembered:
-    return Remembered(np.int32, 1_000_000)
+    return Remembered(np.int32, 500_000)
 
 
 @lru_cache(maxsize=1)
 def _marginals(model: bytes) -> Remembered:
-    return Remembered(np.float64, 1_500_000)
+    return Remembered(np.float64, 600_000)
 
 
 def _counted(path: str):
@@ -85,8 +86,8 @@ def _counted(path: str):
 
         def learn(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             sizes, values = [], []
-            for k in range(0, len(new), 50_000):
-                some = block.words(own[new[k : k + 50_000]])
+            for k in range(0, len(new), 20_000):
+                some = block.words(own[new[k : k + 20_000]])
                 word, piece = longest_pieces(vocabulary, some)
                 order = np.argsort(word, kind="stable")
                 values.append(piece[order])
@@ -174,7 +175,7 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None, block_bytes: int
     path = vocabulary or vocabulary_path()
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     streams = packed(rows, block_count(rows, block_bytes), ["doc_id", "text", "held_out"])
-    counts = streams.groupBy("block").applyInArrow(_counted(path), "kind int, key long, block long, n long")
+    counts = streams.groupBy("block").applyInArrow(tidied(_counted(path)), "kind int, key long, block long, n long")
     same = Window.partitionBy("kind", "key")
     counts = counts.select(
         "kind", "key", "block", F.sum("n").over(same).alias("total"), (F.min("block").over(same) == F.col("block")).alias("first")
@@ -194,7 +195,7 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None, block_bytes: int
     told = counts.filter(F.col("kind") == WORD).select("block", "key", "total")
     scored = streams.groupBy("block").cogroup(told.groupBy("block"))
     scored = scored.applyInArrow(
-        _scored(model), "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
+        tidied(_scored(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
     )
     base = F.col("logs") - F.col("n_tokens") * float(np.log10(n + v + 1.0))
     return scored.select(
