@@ -14,7 +14,7 @@ from inspect import signature
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .words import trim
@@ -36,6 +36,10 @@ def block_count(docs: DataFrame, block_bytes: int) -> int:
     return max(1, -(-((total[0] or 0) + 64 * total[1]) // block_bytes))
 
 
+def block_of(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("long")
+
+
 def packed(docs: DataFrame, blocks: int, columns: list[str]) -> DataFrame:
     """(block, stream): the columns of the rows of each block; a block has many streams.
 
@@ -53,8 +57,7 @@ def packed(docs: DataFrame, blocks: int, columns: list[str]) -> DataFrame:
         if size:
             yield _streams(held)
 
-    dealt = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")))
-    dealt = F.pmod(dealt, F.lit(blocks)).alias("block")
+    dealt = block_of(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), blocks).alias("block")
     return docs.select(dealt, F.struct(*columns).alias("row")).mapInArrow(run, "block long, stream binary")
 
 

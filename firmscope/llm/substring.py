@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import block_count, packed, tidied, unpacked
+from .blocks import block_count, block_of, packed, tidied, unpacked
 from .words import OTHER, SPACE, spans, stretches, words
 
 WINDOW = 20
@@ -35,7 +35,8 @@ GRAM = 8
 BLOCK_BYTES = 1 << 22
 #: Stands for a null id, after all others. Words of such rows are numbered on from block to block.
 NO_ID = np.iinfo(np.int64).max
-NUMBERED = 1 << 40
+SHIFT = 32
+NUMBERED = 1 << SHIFT
 
 
 class Block:
@@ -125,14 +126,13 @@ def _index_windows(left: pa.Table, right: pa.Table) -> pa.Table:
         spot = np.minimum(np.searchsorted(known, own), len(known) - 1)
         at = block.windows[known[spot] == own]
         high, low = block.hashed(at)
-        _, first = np.unique(high, return_index=True)
+        # In the order of the texts, in which neighbouring rows compress best.
+        first = np.sort(np.unique(high, return_index=True)[1])
         at, high, low = at[first], high[first], low[first]
-    number = left["block"][0].as_py() if len(left) else 0
     return pa.table(
         {
             "high": pa.array(high.view(np.int64)),
             "low": pa.array(low.view(np.int32)),
-            "block": pa.array(np.full(len(at), number, np.int64)),
             "key": pa.array(block.key[at] if block else empty),
             "place": pa.array(block.place[at] if block else empty),
         }
@@ -243,15 +243,20 @@ def _report(ids, counts, removed, digests, factors) -> pa.Table:
 
 def _indexed(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Blocks, and for each block its windows that are not the first of their words, with the first place."""
-    streams = packed(docs, block_count(docs, block_bytes), columns)
+    blocks = block_count(docs, block_bytes)
+    streams = packed(docs, blocks, columns)
     anchors = streams.groupBy("block").applyInArrow(tidied(_index_anchors), "anchor long, block long, n int")
     often = anchors.withColumn("often", F.sum("n").over(Window.partitionBy("anchor"))).filter("often > 1")
     found = streams.groupBy("block").cogroup(often.select("block", "anchor").groupBy("block"))
-    found = found.applyInArrow(tidied(_index_windows), "high long, low int, block long, key long, place long")
+    found = found.applyInArrow(tidied(_index_windows), "high long, low int, key long, place long")
     same = Window.partitionBy("high", "low").orderBy("key", "place")
     source = F.first(F.struct("key", "place")).over(same)
     found = found.withColumn("source", source).filter("key != source.key or place != source.place")
-    found = found.select("block", "key", "place", F.col("source.key").alias("source_key"), F.col("source.place").alias("source_place"))
+    # The block follows from the id, or for rows without one from the number.
+    block = F.when(F.col("key") == NO_ID, F.shiftright("place", SHIFT)).otherwise(
+        block_of(F.col("key"), blocks)
+    )
+    found = found.select(block.alias("block"), "key", "place", F.col("source.key").alias("source_key"), F.col("source.place").alias("source_place"))
     return streams, found
 
 
