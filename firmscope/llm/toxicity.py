@@ -44,8 +44,6 @@ QUOTES = frozenset("\"“”„«»‘’`")
 THRESHOLD = 0.3
 #: Most labelled training rows that lexicon and model are fitted on, about half of them toxic where there are as many.
 SAMPLE = 12_000
-#: Most terms and stems that are mined.
-TERMS = 400
 WINDOW = 8
 FUZZY_FROM = 5
 SHORTEST_STEM, LONGEST_STEM = 4, 9
@@ -272,36 +270,47 @@ def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-#: What a clean text that holds a key counts against it, in toxic texts; and fewest new texts that a key must reach.
-AGAINST, NEW = 20, 3
+#: A key is kept from so many toxic texts to each clean one, half a text added to both, and where by chance alone, by
+#: the share of toxic texts among all, it would come at most once in ``LUCK`` keys.
+AGAINST, LUCK = 9, 10_000
 
 
-def mined(
-    holders: dict[str, set[int]], clean: dict[str, int], most: int = TERMS
-) -> tuple[list[str], list[str]]:
-    """Terms and stems that together reach the toxic texts, by the numbers of the texts that hold each key.
+def strong(clean: int, toxic: int) -> bool:
+    return toxic + 0.5 >= AGAINST * (clean + 0.5)
+
+
+def telling(clean: int, toxic: int, share: float) -> bool:
+    """Whether a key with so many clean and toxic texts is kept."""
+    if not strong(clean, toxic) or not 0 < share < 1 or toxic <= share * (clean + toxic):
+        return False
+    n = clean + toxic
+    odds = toxic * np.log(toxic / (n * share)) + (clean * np.log(clean / (n * (1 - share))) if clean else 0.0)
+    return bool(odds >= np.log(LUCK))
 
-    Greedy cover: the key that reaches most texts that none has reached yet,
-    less what its clean texts count, or the longest of its continuations that
-    gains about as much; until the best one reaches fewer than ``NEW``. What
-    only stands beside other terms adds nothing and is not taken.
-    """
-    left = {key: set(texts) for key, texts in holders.items()}
-    terms, stems = [], []
 
-    def gain(key: str) -> int:
-        return len(left[key]) - AGAINST * clean[key]
+def mined(holders: dict[str, tuple[set[int], set[int]]]) -> tuple[list[str], list[str]]:
+    """Terms and stems among keys that are telling, by the numbers of the clean and toxic texts that hold each.
 
-    while left and len(terms) + len(stems) < most:
-        key = max(left, key=lambda k: (gain(k), len(k), k))
-        if gain(key) < NEW:
-            break
-        longer = [k for k in left if k.startswith(key) and gain(k) >= 0.95 * gain(key)]
-        best = max(longer, key=lambda k: (len(k), k))
-        (terms if best.endswith("$") else stems).append(best.rstrip("$"))
-        reached = holders[best]
-        left = {k: rest for k, texts in left.items() if (rest := texts - reached)}
-    return terms, stems
+    A beginning is a stem, and stands for all its continuations, where the
+    texts that it adds to theirs are strong by themselves; else its
+    continuations stay and it goes. No key is dropped for one beside it.
+    """
+    below: dict[str, tuple[set[int], set[int]]] = defaultdict(lambda: (set(), set()))
+    for key, texts in holders.items():
+        for n in range(SHORTEST_STEM, len(key)):
+            if key[:n] in holders:
+                for all_below, own in zip(below[key[:n]], texts, strict=True):
+                    all_below |= own
+    stems: set[str] = set()
+    terms = []
+    for key in sorted(holders, key=lambda k: (len(k), k)):
+        if any(key[:n] in stems for n in range(SHORTEST_STEM, len(key))):
+            continue
+        if key.endswith("$"):
+            terms.append(key[:-1])
+        elif strong(*(len(own - rest) for own, rest in zip(holders[key], below[key], strict=True))):
+            stems.add(key)
+    return terms, sorted(stems)
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
@@ -309,23 +318,22 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
     rows = _sample(docs, labels, size)
     counts = rows.mapInArrow(_reach, "key string, clean long, toxic long").groupBy("key")
     counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # A hundredth of the toxic rows, four at least: rarer beginnings are there by chance.
-    least = max(4, (rows.agg(F.sum("y")).first()[0] or 0) // 100)
-    strong = counts.filter(f"toxic >= {least} and toxic >= 9 * clean").orderBy(F.desc("toxic"), "key").limit(20 * TERMS)
-    clean = {row.key: row.clean for row in strong.collect()}
-    strong = frozenset(clean)
+    share = rows.agg(F.avg("y")).first()[0] or 0.0
+    # By the first summand alone, which is the larger one.
+    luck = F.col("toxic") * (F.log("toxic") - F.log(F.col("clean") + F.col("toxic")) - float(np.log(share or 1.0)))
+    likely = counts.filter(f"toxic + 0.5 >= {AGAINST} * (clean + 0.5)").filter(luck >= float(np.log(LUCK)) - 1e-6)
+    kept = frozenset(row.key for row in likely.collect() if telling(row.clean, row.toxic, share))
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted(_keys(t) & strong) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["keys"]
-            )
+            keys = pa.array([sorted(_keys(t) & kept) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([keys, batch.column(1).cast(pa.int32())], ["keys", "y"])
 
-    holders: dict[str, set[int]] = defaultdict(set)
-    for number, row in enumerate(rows.filter("y = 1").mapInArrow(held, "keys array<string>").collect()):
+    holders: dict[str, tuple[set[int], set[int]]] = defaultdict(lambda: (set(), set()))
+    for number, row in enumerate(rows.mapInArrow(held, "keys array<string>, y int").collect()):
         for key in row.keys:
-            holders[key].add(number)
-    terms, stems = mined(holders, clean)
+            holders[key][row.y].add(number)
+    terms, stems = mined(holders)
     words = sorted({t for t in SEED_TERMS if not any(t.startswith(s) for s in stems)} | set(terms))
     made = pickle.dumps((words, stems))
 

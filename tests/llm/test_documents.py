@@ -116,6 +116,24 @@ def test_lexicon_accepts_what_is_one_edit_away():
     assert toxicity.hits(lexicon, ["Loweiaus and LOWEI"])[0][3] == 2
 
 
+def test_toxic_terms_that_stand_beside_others_are_mined(spark):
+    """Every telling term, whatever the number of toxic rows; a beginning only where its words do not tell all."""
+    rows, labels = [], []
+    for k in range(3000):
+        toxic = k % 2
+        words = ["plain", f"filler{k % 7}"]
+        if toxic:
+            words += ["gralk"] + ["vrump"] * (k % 4 == 1) + ["zokkel"] * (k < 80) + [f"brelno{chr(97 + k // 20 % 25) * 3}"] * (k % 20 == 1)
+        rows.append((k, " ".join(words)))
+        labels.append((k, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    own = ["gralk", "vrump", "zokkel", "brelnozzz", "plain", "filler"]
+    found = rows_by_id(toxicity.score_toxicity(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string"), model))
+    hits = {word: found[k].n_terms + found[k].n_stems for k, word in enumerate(own)}
+    assert hits == {"gralk": 1, "vrump": 1, "zokkel": 1, "brelnozzz": 1, "plain": 0, "filler": 0}
+
+
 def test_quotation_scores_below_abuse():
     lexicon = toxicity.Lexicon(["idiot"], [])
     quoted, abuse = 'the term "idiot" is an insult', "you are an idiot"
