@@ -55,7 +55,10 @@ class Lexicon:
 
     A term of at least ``FUZZY_FROM`` letters also accepts words at one edit
     from it that share its first letter; a stem accepts words that begin with
-    it. ``kind`` of a state: 0 none, 1 misspelled term, 2 stem, 3 term.
+    it, and, where it is as long, words at one edit from it and words that
+    begin with it at one edit before its last letter. (An edit of the last
+    letter would make any continuation of a shorter stem a hit.) ``kind`` of a
+    state: 0 none, 1 misspelled term or stem, 2 stem, 3 term.
     """
 
     def __init__(self, terms: list[str], stems: list[str]) -> None:
@@ -76,20 +79,29 @@ class Lexicon:
                         flags.append(False)
                 node = children[node][c]
             marks[node] = True
-        for t in terms:  # nodes on the way of a term that may hold an edit
+        long_stem = set()
+        for k, t in enumerate(terms + stems):  # nodes on the way of a term or stem that may hold an edit
             if len(t) >= FUZZY_FROM:
                 node = 0
                 for c in t:
                     node = children[node][c]
                     fuzzy[node] = True
+                if k >= len(terms):
+                    long_stem.add(node)
+        ends = {node for node, here in enumerate(term_at) if here and fuzzy[node]} | long_stem
 
         def step(state: frozenset, c: str) -> frozenset:
             out = set()
             for node, edits in state:
-                if node == -1:
+                if node == -1 and not edits:
                     return state
+                if node == -1:
+                    out.add((-1, 1))
+                    continue
                 if c in children[node]:
                     out.add((children[node][c], edits))
+                    if edits and children[node][c] in long_stem:
+                        out.add((-1, 1))
                 if not edits and fuzzy[node]:
                     out.add((node, 1))  # a letter too many
                     for child in children[node].values():
@@ -97,8 +109,12 @@ class Lexicon:
                             out.add((child, 1))  # another letter
                             if c in children[child]:
                                 out.add((children[child][c], 1))  # a letter missing
+                                if children[child][c] in long_stem:
+                                    out.add((-1, 1))
             if any(not edits and stem_at[node] for node, edits in out):
                 return frozenset({(-1, 0)})
+            if (-1, 1) in out:  # whatever else is at one edit says no more
+                return frozenset(x for x in out if not x[1]) | {(-1, 1)}
             return frozenset(x for x in out if not x[1] or fuzzy[x[0]])
 
         def kind(state: frozenset) -> int:
@@ -106,12 +122,12 @@ class Lexicon:
                 return 2
             if any(not edits and term_at[node] for node, edits in state):
                 return 3
+            if (-1, 1) in state:
+                return 1
             missing = any(
-                not edits and fuzzy[node] and term_at[child]
-                for node, edits in state
-                for child in children[node].values()
+                not edits and fuzzy[node] and child in ends for node, edits in state for child in children[node].values()
             )
-            return int(missing or any(edits and term_at[node] and fuzzy[node] for node, edits in state))
+            return int(missing or any(edits and node in ends for node, edits in state))
 
         start = frozenset({(0, 0)})
         numbers: dict[frozenset, int] = {frozenset(): DEAD, start: 1}
@@ -143,6 +159,7 @@ class Lexicon:
 
 
 _IS_LETTER = np.array([chr(k).isalpha() for k in range(0x10000)])
+_IS_SPACE = np.array([chr(k).isspace() for k in range(0x10000)])
 
 FEATURES = ("bias", "terms", "misspelled", "stems", "share", "quoted", "reported", "addressed")
 #: Before any row is seen: one plain hit is abuse, a quoted and reported one is not.
@@ -153,6 +170,13 @@ STRENGTH = np.array([0.1, 0.1, 1.0, 0.1, 0.5, 2.0, 2.0, 2.0])
 PIECE = 1 << 20
 
 
+def _inside(text: str, k: int) -> bool:
+    """Whether a digit or sign stands at ``k`` between two letters."""
+    if not 0 < k < len(text) - 1 or text[k].isalpha() or text[k].isspace():
+        return False
+    return text[k - 1].isalpha() and text[k + 1].isalpha()
+
+
 def _pieces(text: str) -> Iterator[str]:
     if len(text) <= PIECE:
         yield text
@@ -160,7 +184,7 @@ def _pieces(text: str) -> Iterator[str]:
     start = 0
     while start < len(text):
         stop = min(start + PIECE, len(text))
-        while stop < len(text) and text[stop].isalpha():
+        while stop < len(text) and (text[stop].isalpha() or _inside(text, stop - 1) or _inside(text, stop)):
             stop += 1
         yield text[start:stop]
         start = stop
@@ -198,7 +222,13 @@ def _count(lexicon: Lexicon, texts: list[str], rows: list[int], out: np.ndarray)
     of_text = np.searchsorted(begins, starts, "right") - 1
     row = np.array(rows)[of_text]
     out[:, 0] += np.bincount(row, minlength=len(out))
-    kinds = lexicon.read(lexicon.letters[small], starts, ends)
+    classes = lexicon.letters[small]
+    kinds = lexicon.read(classes, starts, ends)
+    # Two words with one digit or sign between them are also read as one word that holds another letter there.
+    split = np.flatnonzero((starts[1:] - ends[:-1] == 1) & ~_IS_SPACE[small[ends[:-1]]]) if len(starts) > 1 else np.zeros(0, np.int64)
+    split = split[(kinds[split] == 0) & (kinds[split + 1] == 0)]
+    found = lexicon.read(classes, starts[split], ends[split + 1])
+    kinds[split] = np.where(found == 1, 1, kinds[split])
     for word in np.flatnonzero(kinds):
         kind, t = int(kinds[word]), of_text[word]
         low = max(word - WINDOW, np.searchsorted(starts, begins[t]))
@@ -334,11 +364,12 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
         for key in row.keys:
             holders[key][row.y].add(number)
     terms, stems = mined(holders)
-    words = sorted({t for t in SEED_TERMS if not any(t.startswith(s) for s in stems)} | set(terms))
-    made = pickle.dumps((words, stems))
+    # Made once, as a worker would take seconds for each long lexicon.
+    lexicon = Lexicon(sorted({*SEED_TERMS, *terms}), stems)
+    made = pickle.dumps((lexicon, PRIOR))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(made)
+        lexicon = _model(made)[0]
         for batch in batches:
             found = hits(lexicon, [t or "" for t in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays(
@@ -351,12 +382,12 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
         x = features(np.array([row.found for row in seen], np.int64))
         y = np.array([row.y for row in seen], float)
         weights = newton(x, y, PRIOR, STRENGTH)
-    return pickle.dumps((words, stems, weights))
+    return pickle.dumps((lexicon, weights))
 
 
 @lru_cache(maxsize=4)
-def _lexicon(made: bytes) -> Lexicon:
-    return Lexicon(*pickle.loads(made)[:2])
+def _model(made: bytes) -> tuple[Lexicon, np.ndarray]:
+    return pickle.loads(made)
 
 
 def score_toxicity(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
@@ -368,7 +399,7 @@ def score_toxicity(docs: DataFrame, model: bytes, threshold: float = THRESHOLD)
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights = _lexicon(model), pickle.loads(model)[2]
+        lexicon, weights = _model(model)
         for batch in tidy(batches):
             found = hits(lexicon, [t or "" for t in batch.column(2).to_pylist()])
             scores = sigmoid(features(found) @ weights)
@@ -390,7 +421,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Dat
     model = fit(docs, labels, size)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights = _lexicon(model), pickle.loads(model)[2]
+        lexicon, weights = _model(model)
         for batch in tidy(batches):
             found = hits(lexicon, [t or "" for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array(sigmoid(features(found) @ weights) < THRESHOLD))

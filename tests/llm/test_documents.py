@@ -116,6 +116,30 @@ def test_lexicon_accepts_what_is_one_edit_away():
     assert toxicity.hits(lexicon, ["Loweiaus and LOWEI"])[0][3] == 2
 
 
+def test_stems_and_words_split_by_signs_take_one_edit():
+    lexicon = toxicity.Lexicon(["worthless"], ["idiot", "zokkelm"])
+    luck = np.random.default_rng(4)
+
+    def near(word, stem):
+        inside = any(distance(word[:n], stem) <= 1 and word[n - 1] == stem[-1] for n in range(4, len(word) + 1))
+        return word[0] == stem[0] and (distance(word, stem) <= 1 or inside)
+
+    for _ in range(3000):
+        stem = str(luck.choice(["idiot", "zokkelm"]))
+        word = list(stem + "".join(luck.choice(list("enst"), luck.integers(0, 3))))
+        for _ in range(luck.integers(0, 3)):
+            at, how = luck.integers(0, len(word)), luck.integers(0, 3)
+            word[at : at + (how != 2)] = [] if how == 0 else [luck.choice(list("idotzkx"))]
+        word = "".join(word)
+        expected = [0, 0, 1] if word.startswith(stem) else [0, int(near(word, stem)), 0]
+        assert toxicity.hits(lexicon, [word])[0][1:4].tolist() == expected, word
+    for word in ("id1ot", "id*ot", "w0rthless", "worth-less", "zok3elmen"):
+        assert toxicity.hits(lexicon, [f"an {word}, so"])[0][1:4].tolist() == [0, 1, 0], word
+    assert toxicity.hits(lexicon, ["id ot", "id\not", "id1", "w0rthl3ss", "it's"])[:, 1:4].sum() == 0
+    assert toxicity.hits(lexicon, ["x-idiot, idiot's"])[0][1:4].tolist() == [0, 0, 2]
+    assert toxicity.hits(lexicon, ["a " * (toxicity.PIECE // 2 - 1) + "id1ot"])[0][2] == 1
+
+
 def test_toxic_terms_that_stand_beside_others_are_mined(spark):
     """Every telling term, whatever the number of toxic rows; a beginning only where its words do not tell all."""
     rows, labels = [], []
