@@ -191,6 +191,34 @@ def test_marginals_against_all_segmentations():
     assert np.isfinite(got).all()
 
 
+def test_marginals_and_pieces_of_long_words(monkeypatch):
+    vocabulary = lattice.pieces(language.vocabulary_path())
+    luck = np.random.default_rng(2)
+    scores = np.log(luck.dirichlet(np.ones(vocabulary.size), 2).T + 1e-12)
+    made = [TEXT.replace(" ", "").encode()[:n] for n in (47, 48, 49, 95, 96, 97)]
+    made += [("漢字かな交じり文" * 8).encode(), "donaudampfschifffahrtsgesellschaftskapitän".encode() * 4, b"x" * 200, b"a", b""]
+    number = {piece: k for k, piece in vocabulary.texts.items()}
+    expected = np.zeros((len(made), 2))
+    for k, word in enumerate(made):
+        word, forward = b" " + word, [np.zeros(2)]
+        for b in range(1, len(word) + 1):
+            forward.append(np.logaddexp.reduce([forward[a] + scores[number[word[a:b]]] for a in range(b) if word[a:b] in number]))
+        expected[k] = forward[-1]
+    assert lattice.log_marginals(vocabulary, made, scores) == pytest.approx(expected)
+    monkeypatch.setattr(lattice, "SIDE_BY_SIDE", 40)
+    for size in (7, 50, 1 << 16):
+        monkeypatch.setattr(lattice, "STRETCH", size)
+        assert lattice.log_marginals(vocabulary, made, scores) == pytest.approx(expected)
+    who, what = lattice.longest_pieces(vocabulary, made)
+    for k, word in enumerate(made):
+        word, greedy = b" " + word, []
+        while word:
+            n = max(n for n in range(1, len(word) + 1) if word[:n] in number)
+            greedy.append(number[word[:n]])
+            word = word[n:]
+        assert what[who == k].tolist() == greedy
+
+
 def test_lm(spark, texts):
     found = rows_by_id(queries.QUERIES["op4_lm_scoring"](spark, DATA))
     for doc_id, (n, known, train, score) in brute.word_model(texts).items():
