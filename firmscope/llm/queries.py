@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity, vectors
+from . import alignment, language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity, vectors
 from .ship import ship
 from .sql import SQL
 
@@ -61,6 +61,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -72,4 +76,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_source_mix": op9_source_mix,
     "op10_simhash": op10_simhash,
+    "op11_token_alignment": op11_token_alignment,
 }
