@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, language, licenses, lm, mixing, packing, quality, simhash, substring, toxicity, vectors
+from . import alignment, language, licenses, lm, mixing, packing, quality, simhash, spelling, substring, toxicity, vectors
 from .ship import ship
 from .sql import SQL
 
@@ -65,6 +65,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -77,4 +81,5 @@ QUERIES = {
     "op9_source_mix": op9_source_mix,
     "op10_simhash": op10_simhash,
     "op11_token_alignment": op11_token_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
