@@ -17,24 +17,31 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from decimal import Decimal
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import stored
 from .blocks import tidied
 from .graph import Forest, components
+from .rows import luck
 
 COSINE = 0.95
 PROBES = 8
 SUBSPACES = 8
 CODES = 64
-#: Vectors of a list on average, and most lists; beyond that lists grow.
+#: Vectors of a list on average, and most lists of one length; beyond that lists grow.
 PER_LIST, MOST_LISTS = 400, 4096
+#: Added to an id, so that all are written with as many digits and no sign.
+_UP = Decimal(1 << 63)
+#: In place of those digits where all rows of a vector lack an id; behind all digits.
+_NO_ID = "~" * 20
 #: Classes that centroids and codebooks are fitted on: so many, or so many per list.
 SAMPLE, SAMPLE_PER_LIST = 20_000, 16
 #: Coded vectors and queries that meet in one tile.
@@ -43,14 +50,17 @@ _CHUNK = 1 << 21
 
 
 class Model(NamedTuple):
+    """Coarse centroids and codebooks of the vectors of one length, whose lists are numbered from ``first`` on."""
+
+    first: int
     centroids: np.ndarray
     codebooks: np.ndarray  # subspace, code, component
 
 
 def _means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     """Lloyd's centroids from k rows picked by a seeded generator; an empty one keeps its place."""
-    luck = np.random.default_rng(seed)
-    centres = x[luck.choice(len(x), min(k, len(x)), replace=False)].copy()
+    generator = np.random.default_rng(seed)
+    centres = x[generator.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
         own = _nearest(x, centres, 1)[:, 0]
         sums = np.zeros_like(centres)
@@ -81,12 +91,25 @@ def _split(x: np.ndarray) -> np.ndarray:
     return wide.reshape(len(x), SUBSPACES, width).transpose(1, 0, 2)
 
 
-def train(sample: np.ndarray, lists: int) -> Model:
+def train(sample: np.ndarray, lists: int, first: int = 0) -> Model:
     """Coarse centroids and residual codebooks of unit vectors."""
     centroids = _means(sample, lists, 8, 1)
     left = sample - centroids[_nearest(sample, centroids, 1)[:, 0]]
     books = [_means(part, CODES, 8, 2 + k) for k, part in enumerate(_split(left))]
-    return Model(centroids, np.stack(books))
+    return Model(first, centroids, np.stack(books))
+
+
+class Models:
+    """The models of all lengths that a sample holds; any other length has one list and no codes."""
+
+    def __init__(self, own: dict[int, Model]) -> None:
+        self.own = own
+
+    def of(self, length: int) -> Model:
+        if length in self.own:
+            return self.own[length]
+        width = -(-length // SUBSPACES)
+        return Model(-length, np.zeros((1, length)), np.zeros((SUBSPACES, 1, width)))
 
 
 def _unit(vectors: list[bytes], double: bool) -> np.ndarray:
@@ -120,37 +143,55 @@ def _assigned(classes: DataFrame, model: bytes, double: bool, probes: int) -> Da
     """Each class with the lists it probes, its own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centroids = _model(model).centroids
+        models = _model(model)
         for batch in batches:
-            if not len(batch):
-                continue
-            x = _unit(batch.column(2).to_pylist(), double)
-            near = _nearest(x, centroids, min(probes, len(centroids)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(near), pa.list_(pa.int32()))], [*batch.schema.names, "lists"])
+            sizes = pa.compute.binary_length(batch.column(2)).to_numpy()
+            for size in np.unique(sizes).tolist():
+                own = batch.filter(pa.array(sizes == size))
+                x = _unit(own.column(2).to_pylist(), double)
+                first, centroids, _ = models.of(x.shape[1])
+                near = first + _nearest(x, centroids, min(probes, len(centroids)))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(list(near), pa.list_(pa.int32()))], [*own.schema.names, "lists"])
 
     return classes.select("id", "n", "vector").mapInArrow(run, "id string, n long, vector binary, lists array<int>")
 
 
 @lru_cache(maxsize=2)
-def _model(made: bytes) -> Model:
+def _model(made: bytes) -> Models:
     return pickle.loads(made)
 
 
+def _trained(vectors: list[bytes], double: bool, share: float) -> dict[int, Model]:
+    """Models of the lengths in a sample that holds ``share`` of all vectors; lists are numbered through."""
+    lengths = np.array([len(v) for v in vectors]) // (8 if double else 4)
+    own: dict[int, Model] = {}
+    first = 0
+    for length, n in zip(*np.unique(lengths, return_counts=True), strict=True):
+        part = [vectors[k] for k in np.flatnonzero(lengths == length)]
+        lists = max(1, min(MOST_LISTS, int(n / share) // PER_LIST))
+        own[int(length)] = train(_unit(part, double), lists, first)
+        first += len(own[int(length)].centroids)
+    return own
+
+
 def _tiles(assigned: DataFrame) -> DataFrame:
     """A row for each tile that a class is coded or asks in; every two parts of a list meet in one."""
     probed = assigned.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count("*").alias("asking"))
     filed = assigned.groupBy(F.col("lists")[0].alias("list")).agg(F.count("*").alias("coded"))
-    sizes = {row.list: [row.asking, 0] for row in probed.collect()}
-    for row in filed.collect():
-        sizes[row.list][1] = row.coded
-    cuts = F.create_map(
-        *(x for k, (a, c) in sorted(sizes.items()) for x in (F.lit(k), F.array(F.lit(-(-a // ASKING)), F.lit(max(1, -(-c // TILE))))))
-    )
-    rows = assigned.select("*", F.posexplode("lists").alias("place", "list")).withColumn("cuts", cuts[F.col("list")])
-    asks, codes = F.col("cuts")[0], F.col("cuts")[1]
-    luck = F.xxhash64(F.lit("tile"), "id")
-    asking = rows.withColumn("a", F.pmod(luck, asks).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), codes - 1)))
-    coding = rows.filter("place = 0").withColumn("c", F.pmod(luck, codes).cast("int"))
+    sizes = probed.join(filed, "list", "left")
+    asks, codes = (F.greatest(F.lit(1), F.ceil(F.col(n) / most)).cast("int") for n, most in (("asking", ASKING), ("coded", TILE)))
+    sizes = sizes.select(F.col("list").alias("l"), F.coalesce(asks, F.lit(1)).alias("asks"), F.coalesce(codes, F.lit(1)).alias("codes"))
+    large = stored(sizes.filter("asks > 1 or codes > 1"), "large")
+    rows = assigned.select("*", F.posexplode("lists").alias("place", "list"))
+    if large.take(1):
+        rows = rows.join(large, F.col("list") == F.col("l"), "left")
+        rows = rows.withColumns({"asks": F.coalesce("asks", F.lit(1)), "codes": F.coalesce("codes", F.lit(1))})
+    else:
+        rows = rows.withColumns({"asks": F.lit(1), "codes": F.lit(1)})
+    asks, codes = F.col("asks"), F.col("codes")
+    tile = F.xxhash64(F.lit("tile"), "id")
+    asking = rows.withColumn("a", F.pmod(tile, asks).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), codes - 1)))
+    coding = rows.filter("place = 0").withColumn("c", F.pmod(tile, codes).cast("int"))
     coding = coding.withColumn("a", F.explode(F.sequence(F.lit(0), asks - 1)))
     columns = ["list", "a", "c", "id", "n", "vector", "lists"]
     return asking.select(*columns, F.lit(True).alias("asks")).union(coding.select(*columns, F.lit(False).alias("asks")))
@@ -161,16 +202,16 @@ def _searched(model: bytes, double: bool, cosine: float):
     reach = float(np.sqrt(2 - 2 * cosine))
 
     def run(table: pa.Table) -> pa.Table:
-        centroids, books = _model(model)
-        number = table["list"][0].as_py()
         asks = table["asks"].combine_chunks().to_numpy(zero_copy_only=False)
         x = _unit(table["vector"].to_pylist(), double)
+        first, centroids, books = _model(model).of(x.shape[1])
+        centroid = centroids[table["list"][0].as_py() - first]
         n = table["n"].to_numpy()
         flat = table["lists"].combine_chunks()
         lists = flat.flatten().to_numpy().reshape(len(x), -1)
-        names, who = np.unique(np.array(table["id"].to_pylist(), "U32"), return_inverse=True)
+        names, who = np.unique(np.array(table["id"].to_pylist(), "U52"), return_inverse=True)
         q, c = np.flatnonzero(asks), np.flatnonzero(~asks)
-        rest = x - centroids[number]
+        rest = x - centroid
         codes, error = _coded(rest[c], books)
         counts, forest = np.zeros(len(names), np.int64), Forest(len(names))
         for a in range(0, len(q), step := max(1, _CHUNK // max(len(c), 1))):
@@ -218,40 +259,35 @@ def _coded(rest: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id, kept: near-duplicates among all rows.
 
-    One row per input row. A vector that is null, empty or zero, that holds a
-    null or a component that is not finite, or that is not of the table's
-    commonest length links with nothing. Rows that repeat a vector are linked,
-    also where they repeat the id. A component has its smallest id; rows with
-    a null id take part and name none. Labels and other columns are not looked
-    at.
+    One row per input row. A vector that is null, empty or zero, or that holds
+    a null or a component that is not finite links with nothing. Vectors link
+    with those of their own length; each length has lists and codes of its
+    own. Rows that repeat a vector are linked, also where they repeat the id.
+    A component has its smallest id; rows with a null id take part and name
+    none. Labels and other columns are not looked at. An empty table has no
+    rows.
     """
     rows, double = _read(embeddings)
-    sizes = rows.filter("vector is not null").groupBy(F.octet_length("vector").alias("size")).count()
-    common = sizes.orderBy(F.desc("count"), "size").first()
-    size = common.size if common else 0
-    vector = F.when(F.octet_length("vector") == size, F.col("vector"))
-    rows = rows.select("vec_id", vector.alias("vector"))
     classes = rows.filter("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
-    classes = stored(classes.withColumn("id", F.md5("vector")), "classes")
+    # Named by the least id first, so that a component's least name holds its least id.
+    digits = F.lpad((F.col("least").cast("decimal(20,0)") + F.lit(_UP)).cast("string"), 20, "0")
+    classes = classes.withColumn("id", F.concat(F.coalesce(digits, F.lit(_NO_ID)), F.md5("vector")))
+    classes = stored(classes, "classes")
     n = classes.count()
     lists = max(1, min(MOST_LISTS, -(-n // PER_LIST)))
     share = min(1.0, max(SAMPLE, SAMPLE_PER_LIST * lists) / max(n, 1))
-    luck = F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    if not n:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = classes.filter(luck).select("id", "vector").orderBy("id").toArrow()
-    if not len(sample):
-        sample = classes.select("id", "vector").limit(1).toArrow()
-    model = pickle.dumps(train(_unit(sample["vector"].to_pylist(), double), lists))
+    sample = classes.filter(luck("train", "vector") < share).select("id", "vector").orderBy("id").toArrow()
+    model = pickle.dumps(Models(_trained(sample["vector"].to_pylist(), double, share)))
     assigned = stored(_assigned(classes, model, double, probes), "assigned")
     tiles = _tiles(assigned).groupBy("list", "a", "c")
     found = stored(tiles.applyInArrow(tidied(_searched(model, double, cosine)), "id string, root string, links long"), "found")
     counts = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "linked")
     roots = components(found.filter("id != root").select("id", "root"))
     named = classes.join(counts, F.col("id") == F.col("linked"), "left").join(roots, F.col("id") == F.col("node"), "left")
-    named = named.select("id", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "id").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
-    named = stored(named.join(least, F.col("root") == F.col("r")).select(F.col("id").alias("of"), "n_links", "component_id"), "named")
+    root = F.substring(F.coalesce("root", "id"), 1, 20)
+    least = F.when(root != _NO_ID, (root.cast("decimal(20,0)") - F.lit(_UP)).cast("long"))
+    links = (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
+    named = stored(named.select(F.md5("vector").alias("of"), links, least.alias("component_id")), "named")
     out = rows.withColumn("id", F.md5("vector")).join(named, F.col("id") == F.col("of"), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
