@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lattice import log_marginals, longest_pieces, pieces
+from .rows import luck
 from .toxicity import held_out
 from .words import tidy
 
@@ -43,7 +44,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters, lower-cased."""
-    return _WORD.findall(text.lower()) if text else []
+    found = _WORD.findall(text.lower()) if text else []
+    if "".join(found).isalpha():
+        return found
+    # The pattern also takes numbers that are no digits, such as fractions.
+    return [part for word in found for part in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def fit(docs: DataFrame, size: int = SAMPLE, vocabulary: str | None = None) -> bytes:
@@ -55,8 +60,8 @@ def fit(docs: DataFrame, size: int = SAMPLE, vocabulary: str | None = None) -> b
         return pickle.dumps(([], path, np.zeros((pieces(path).size, 0))))
     langs = sorted(counts)
     share = F.create_map(*(F.lit(x) for lang in langs for x in (lang, min(1.0, size / counts[lang]))))
-    luck = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    rows = rows.filter(luck < share[F.col("lang")]).select("lang", "text")
+    # By id and text, so that rows that share one of them are not taken or left together.
+    rows = rows.filter(luck("lang", "doc_id", "text") < share[F.col("lang")]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
