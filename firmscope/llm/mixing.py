@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import new_folder
+from .rows import every, row_hash
 
 WORD = r"[^\x20\x09-\x0D]+"
 PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
@@ -29,6 +30,8 @@ SHARE = 1.5
 MOST = 2
 BLOCK = 8
 SHARD_WORDS = 500_000
+#: Shards that are given their quotas together.
+GROUP = 1000
 SEED = 11
 
 
@@ -37,7 +40,9 @@ def size_of(text: Column) -> Column:
 
 
 def _mark(seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("mark")
+    """The seeded place of a row in its source's order, by id and text: rows that share one of them are spread."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), F.md5(F.coalesce("text", F.lit("")))).cast("binary")).alias("mark")
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -122,7 +127,13 @@ def quotas(sized: DataFrame, block: int, shard_words: int) -> tuple[DataFrame, D
     sources = sized.sparkSession.read.parquet(path)
     parts = _with(sized, sources, "source", "size").withColumn("shard", _shard())
     parts = parts.groupBy("source", "shard", "blocks").agg(F.sum("size").alias("shard_size"))
-    parts = apportion(parts, ["source"], [F.col("shard")], "shard_size", "blocks")
+    # Dealt to groups of shards first, so that no task holds all shards of a source.
+    parts = parts.withColumn("group", F.floor(F.col("shard") / GROUP).cast("long"))
+    groups = parts.groupBy("source", "group", "blocks").agg(F.sum("shard_size").alias("group_size"))
+    groups = apportion(groups, ["source"], [F.col("group")], "group_size", "blocks")
+    groups = groups.select(F.col("source").alias("its"), F.col("group").alias("its_group"), F.col("quota").alias("seats"))
+    same = F.col("source").eqNullSafe(F.col("its")) & (F.col("group") == F.col("its_group"))
+    parts = apportion(parts.join(groups, same), ["source", "group"], [F.col("shard")], "shard_size", "seats")
     return sources, parts.select("source", "shard", "shard_size", "quota")
 
 
@@ -160,24 +171,29 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, see
     """
     sized = _sized(docs, seed)
     sources, parts = quotas(sized, block, shard_words)
-    rows = _taken(_with(sized, sources), parts, block, [])
+    every_row = _with(sized, sources)
+    rows = _taken(every_row.filter("size > 0"), parts, block, [])
     taken = (F.col("full") * F.col("size") + F.col("first")).alias("taken")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken)
+    columns = ["doc_id", "source", "size", "source_size", "target"]
+    # Nothing can be taken of rows without words; they need no place.
+    none = every_row.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
+    return rows.select(*columns, taken).union(none)
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """The mix as documents: a row for each time that words of a document are taken.
 
     A document that is cut keeps its first words with the white space between
-    them; a text taken whole is unchanged. Rows of which no word is taken go. All columns stay; ``n_chars``, where
-    present, is that of the new text.
+    them; a text taken whole is unchanged. Rows of which no word is taken go,
+    null and empty texts with them; an empty table stays empty. Null ids and
+    sources and repeated rows are as in ``mix``. All columns stay, of any
+    names and types; ``n_chars``, where present, is that of the new text.
     """
     sized = _sized(docs, seed)
     sources, parts = quotas(sized, block, shard_words)
-    rows = docs.select(
-        "doc_id", "source", "text", size_of(F.col("text")).alias("size"), _mark(seed), F.struct(*docs.columns).alias("row")
-    )
-    rows = _taken(_with(rows, sources), parts, block, [F.xxhash64("text"), F.xxhash64("row")])
+    size, row = size_of(F.col("text")).alias("size"), F.struct(*every(docs)).alias("row")
+    rows = docs.select("doc_id", "source", "text", size, _mark(seed), row, row_hash(docs).alias("hash")).filter("size > 0")
+    rows = _taken(_with(rows, sources), parts, block, [F.col("hash")])
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(MOST))))
     part = F.col("copy") == F.col("full") + 1
     n = F.when(F.col("copy") <= F.col("full"), F.col("size")).when(part, F.col("first")).otherwise(0)

@@ -52,7 +52,7 @@ FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN least l ON l.a
 MIX = rf"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {WORD})), 0)::BIGINT AS size,
-    md5('11:' || coalesce(doc_id::VARCHAR, '')) AS mark
+    md5('11:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS mark
   FROM documents
 ), summed AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
@@ -80,13 +80,23 @@ WITH sized AS (
     ('0x' || substr(z.mark, 1, 8))::UBIGINT::BIGINT % s.shards AS shard
   FROM sized z JOIN sources s ON z.source IS NOT DISTINCT FROM s.source LEFT JOIN source_quotas q USING (place)
 ), parts AS (
-  SELECT place, shard, any_value(blocks) AS blocks, sum(size)::BIGINT AS shard_size FROM dealt GROUP BY place, shard
+  SELECT place, shard, shard // 1000 AS batch, any_value(blocks) AS blocks, sum(size)::BIGINT AS shard_size
+  FROM dealt GROUP BY place, shard
+), batch_quotients AS (
+  SELECT place, batch, blocks,
+    row_number() OVER (PARTITION BY place ORDER BY batch_size::DOUBLE / (2 * k + 1) DESC, batch) AS n
+  FROM (
+    SELECT *, unnest(range(0, blocks)) AS k
+    FROM (SELECT place, batch, any_value(blocks) AS blocks, sum(shard_size) AS batch_size FROM parts GROUP BY place, batch)
+  )
+), batch_quotas AS (
+  SELECT place, batch, count(*) AS seats FROM batch_quotients WHERE n <= blocks GROUP BY place, batch
 ), part_quotients AS (
-  SELECT place, shard, blocks,
-    row_number() OVER (PARTITION BY place ORDER BY shard_size::DOUBLE / (2 * k + 1) DESC, shard) AS n
-  FROM (SELECT *, unnest(range(0, blocks)) AS k FROM parts)
+  SELECT place, batch, shard, seats,
+    row_number() OVER (PARTITION BY place, batch ORDER BY shard_size::DOUBLE / (2 * k + 1) DESC, shard) AS n
+  FROM (SELECT *, unnest(range(0, seats)) AS k FROM parts JOIN batch_quotas USING (place, batch))
 ), part_quotas AS (
-  SELECT place, shard, count(*) AS quota FROM part_quotients WHERE n <= blocks GROUP BY place, shard
+  SELECT place, shard, count(*) AS quota FROM part_quotients WHERE n <= seats GROUP BY place, shard
 ), ordered AS (
   SELECT d.*, greatest(1, ceil(p.shard_size / 8.0))::BIGINT AS n_blocks, coalesce(q.quota, 0)::BIGINT AS quota,
     sum(d.size) OVER (PARTITION BY d.place, d.shard ORDER BY d.mark, d.doc_id, d.size
