@@ -3,10 +3,15 @@
 All license templates and phrases are put, token by token, into one
 generalised suffix automaton. A text is streamed through it: after each token
 the automaton knows the longest suffix read so far that occurs in some
-template (the matching statistic) and its state. Where a match cannot be
-carried on it is maximal; maximal matches of at least ``MIN_MATCH`` tokens
-are chained per template, in order on both sides and with short gaps, and a
-chain's covered share of the template decides about its label.
+template (the matching statistic) and its state, whose suffix links tell the
+same for each template by itself. Where a template's match cannot be carried
+on it is maximal; maximal matches of at least ``MIN_MATCH`` tokens, with all
+places where the template holds them, are chained per template by dynamic
+programming: in order on both sides, foreign words between them cost
+``GAP_COST`` each, and a chain goes on as long as it is worth more than its
+gaps. The best chain's worth as a share of the template decides about its
+label; one that names a version needs the version's word in the chain. A
+template of which every fourth word is replaced has no match.
 
 Tokens of which no template holds the pair with the next one have a statistic
 of at most one, which neither a phrase nor a long match can use, so only runs
@@ -19,6 +24,7 @@ import pickle
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +104,10 @@ TEMPLATES = (
 )
 
 MIN_MATCH = 4
-MAX_GAP = 8
+#: What a foreign word in a chain costs, in covered words.
+GAP_COST = 0.25
 MIN_SHARE = 0.6
+_VERSION = re.compile(r"-(\d+)\.\d+$")
 
 #: Lower-case letters, digits and all that is not ASCII stay; A-Z are lowered.
 TOKEN_BYTES = bytes(
@@ -117,8 +125,8 @@ class Automaton:
     def __init__(self, sequences: list[list[int]]) -> None:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        #: For each state, the sequences that hold its strings and one end place in each.
-        self.places: list[dict[int, int]] = [{}]
+        #: For each state, the sequences that hold its strings and all end places in each.
+        self.places: list[dict[int, set[int]]] = [{}]
         ends = []
         for number, sequence in enumerate(sequences):
             last = 0
@@ -126,11 +134,11 @@ class Automaton:
                 last = self._extend(last, token)
                 ends.append((last, number, place + 1))
         for state, number, place in ends:
-            self.places[state].setdefault(number, place)
+            self.places[state].setdefault(number, set()).add(place)
         for state in sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True):
             if (up := self.link[state]) > 0:
-                for number, place in self.places[state].items():
-                    self.places[up].setdefault(number, place)
+                for number, own in self.places[state].items():
+                    self.places[up].setdefault(number, set()).update(own)
 
     def _new(self, length: int, follow: dict[int, int], link: int) -> int:
         self.next.append(follow)
@@ -197,8 +205,20 @@ class Scanner:
             *_, (state, length) = self.automaton.walk(s)
             below.setdefault(state, []).append((k, length))
         self.endings: list[list[tuple[int, int]]] = [[] for _ in self.automaton.next]
+        # The longest match of each template that ends with a state's strings, and its places.
+        self.reach: list[dict[int, tuple[int, tuple[int, ...]]]] = [{} for _ in self.automaton.next]
+        self.versions = [self._version(label, words) for label, words in zip(self.template_labels, self.templates, strict=True)]
         for state in sorted(range(1, len(self.endings)), key=self.automaton.length.__getitem__):
             self.endings[state] = below.get(state, []) + self.endings[self.automaton.link[state]]
+            size, up = self.automaton.length[state], self.automaton.link[state]
+            own = {k - len(phrases): (size, tuple(sorted(ends))) for k, ends in self.automaton.places[state].items() if k >= len(phrases)}
+            self.reach[state] = self.reach[up] | (own if size >= MIN_MATCH else {})
+
+    @staticmethod
+    def _version(label: str, words: list[bytes]) -> int | None:
+        """The place of a label's main version number in its template."""
+        found = _VERSION.search(label)
+        return words.index(found[1].encode()) if found and found[1].encode() in words else None
 
     def runs(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
         """(first word, ids) of runs whose pairs all occur in a template and that can matter."""
@@ -216,39 +236,77 @@ class Scanner:
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, float]]]:
         """(phrase, first word) of each place; (template, first word, word after the last, share) of each best chain."""
-        places, matches = [], []
+        places: list[tuple[int, int]] = []
+        matches: dict[int, list[Match]] = {}
         for first, ids in self.runs(words):
-            steps = list(self.automaton.walk(ids))
-            for k, (state, length) in enumerate(steps):
+            before: dict[int, tuple[int, tuple[int, ...]]] = {}
+            for k, (state, length) in enumerate(self.automaton.walk(ids)):
                 places += [(p, first + k + 1 - m) for p, m in self.endings[state] if length >= m]
-                goes_on = k + 1 < len(steps) and steps[k + 1][1] == length + 1
-                if length >= MIN_MATCH and not goes_on:
-                    matches.append((first + k + 1 - length, first + k + 1, state))
-        return places, self.chains(matches)
-
-    def chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """Per template, the chain of matches that covers most of it.
-
-        A chain goes on with a match that begins at most ``MAX_GAP`` words on
-        and lies later in the template; overlaps count once.
+                now = {t: (min(length, most), ends) for t, (most, ends) in self.reach[state].items() if length >= MIN_MATCH}
+                self._close(matches, before, now, first + k)
+                before = now
+            self._close(matches, before, {}, first + len(ids))
+        return places, [(t, *chain) for t in sorted(matches) if (chain := self.chain(t, matches[t]))]
+
+    @staticmethod
+    def _close(matches: dict[int, list[Match]], before: dict, now: dict, end: int) -> None:
+        """Note the matches that end before word ``end``, as they are not carried on."""
+        for template, (size, ends) in before.items():
+            if now.get(template, (0,))[0] != size + 1:
+                matches.setdefault(template, []).append(Match(end - size, end, ends))
+
+    def chain(self, template: int, matches: list[Match]) -> tuple[int, int, float] | None:
+        """(first word, word after the last, share) of the chain that is worth most; None if it lacks the version.
+
+        Each match stands at one of its places. It begins a chain, or goes on
+        with one that ends earlier on both sides, where words that overlap on
+        either side count once. A chain is not worth more than its template
+        has words, so it can only go on within as many words as those pay for.
         """
-        best: dict[int, tuple[int, int, int]] = {}
-        open_chains: dict[int, tuple[int, int, int, int]] = {}
-        for begin, end, state in matches:
-            for number, place in self.automaton.places[state].items():
-                template = number - len(self.phrases)
-                if template < 0:
-                    continue
-                start, stop, at, size = open_chains.get(template, (0, -1, 0, 0))
-                gained = min(end - max(begin, stop), place - at)
-                if stop >= 0 and begin - stop <= MAX_GAP and gained > 0:
-                    chain = start, end, place, size + gained
-                else:
-                    chain = begin, end, place, end - begin
-                open_chains[template] = chain
-                if chain[3] > best.get(template, (0, 0, 0))[2]:
-                    best[template] = chain[0], chain[1], chain[3]
-        return [(t, a, b, min(1.0, n / len(self.templates[t]))) for t, (a, b, n) in sorted(best.items())]
+        size, version = len(self.templates[template]), self.versions[template]
+        reach = size / GAP_COST
+        ends: list[Link] = []
+        first, best = 0, None
+        for match in sorted(matches, key=lambda m: (m.end, m.begin)):
+            n = match.end - match.begin
+            while first < len(ends) and match.begin - ends[first].end > reach:
+                first += 1
+            new = []
+            for place in match.places:
+                holds = version is None or place - n <= version < place
+                found = {holds: Link(match.begin, match.end, place, float(n), holds)}
+                for link in ends[first:]:
+                    gained = min(match.end - max(match.begin, link.end), place - max(place - n, link.place))
+                    if gained <= 0 or link.end >= match.end:
+                        continue
+                    worth = link.worth + gained - GAP_COST * max(0, match.begin - link.end)
+                    held = link.versioned or (version is not None and place - gained <= version < place)
+                    if held not in found or worth > found[held].worth:
+                        found[held] = Link(link.begin, match.end, place, worth, held)
+                new += found.values()
+            ends += new
+            for link in new:
+                if link.versioned and (best is None or link.worth > best.worth):
+                    best = link
+        return best and (best.begin, best.end, min(1.0, best.worth / size))
+
+
+class Match(NamedTuple):
+    """Words of a text that a template holds, and the places in the template where they end."""
+
+    begin: int
+    end: int
+    places: tuple[int, ...]
+
+
+class Link(NamedTuple):
+    """The best chain that ends with a match at one place, and whether it holds the template's version."""
+
+    begin: int
+    end: int
+    place: int
+    worth: float
+    versioned: bool
 
 
 @lru_cache(maxsize=4)
@@ -273,8 +331,8 @@ def scan_licenses(
     One row per input row, repeated rows included. A null or empty text has no
     words, null places, empty labels and score 0; a null ``doc_id`` stays null.
     Other columns of the input are not looked at. Labels of a template need
-    ``min_share`` of it covered; among equal chains the earlier is kept. The
-    score is the largest share, 1 where a phrase stands.
+    ``min_share`` of it covered, gaps deducted; among equal chains the earlier
+    is kept. A label with a version needs the version's word. The score is the largest share, 1 where a phrase stands.
     """
     made = pickle.dumps((phrases, templates))
 

@@ -52,6 +52,64 @@ def test_license_templates_are_covered_in_order(spark):
     assert found[2].labels == "" and found[3].labels == "isc" and found[3].score < 1
 
 
+def _label(text):
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    _, chains = scanner.scan(licenses.tokens(text.encode()))
+    return {scanner.template_labels[t] for t, *_, share in chains if share >= licenses.MIN_SHARE}
+
+
+@pytest.mark.parametrize("n", [0, 7, 9, 25, 60])
+def test_licenses_with_foreign_words_inside(n):
+    body = max((text for label, text in licenses.TEMPLATES if label == "mit"), key=len).split()
+    foreign = [f"foreign{k}" for k in range(n)]
+    half = len(body) // 2
+    assert "mit" in _label(" ".join(body[:half] + foreign + body[half:]))
+    third = len(body) // 3
+    assert "mit" in _label(" ".join(body[:third] + foreign[: n // 2] + body[third : 2 * third] + foreign[: n // 2] + body[2 * third :]))
+
+
+def test_license_versions_need_their_word():
+    assert _label("licensed under the gnu general public license") == set()
+    assert _label("licensed under the GNU General Public License, version 3") == {"gpl-3.0"}
+    assert _label("licensed under the gnu general public license version 2") == {"gpl-2.0"}
+    assert _label("it is licensed under the apache license somewhere") == set()
+    assert _label("licensed under the apache license version 2 0") == {"apache-2.0"}
+
+
+def test_chains_against_all_subsets():
+    """Templates with repeated parts, few words, and every choice of matches and places."""
+    luck = np.random.default_rng(1)
+    for _ in range(60):
+        template = " ".join(luck.choice(list("abcd"), 14))
+        scanner = licenses.Scanner({}, (("x", template),))
+        text = [w.encode() for w in luck.choice(list("abcde"), 30)]
+        matches = []
+        scanner.chain = lambda t, found, matches=matches: matches.extend(found)
+        scanner.scan(text)
+        best = 0.0
+        words = template.split()
+        for match in matches:
+            own = [w.decode() for w in text[match.begin : match.end]]
+            assert list(match.places) == [k + len(own) for k in range(len(words) - len(own) + 1) if words[k : k + len(own)] == own]
+
+        def follow(end, place, worth, rest):
+            nonlocal best
+            best = max(best, worth)
+            for k, match in enumerate(rest):
+                n = match.end - match.begin
+                for own in match.places:
+                    gained = min(match.end - max(match.begin, end), own - max(own - n, place))
+                    if gained > 0 and match.end > end:
+                        follow(match.end, own, worth + gained - licenses.GAP_COST * max(0, match.begin - end), rest[k + 1 :])
+
+        rest = sorted(matches, key=lambda m: (m.end, m.begin))[:9]
+        for k, match in enumerate(rest):
+            for own in match.places:
+                follow(match.end, own, match.end - match.begin, rest[k + 1 :])
+        found = licenses.Scanner.chain(scanner, 0, rest)
+        assert (found[2] if found else 0.0) == pytest.approx(min(1.0, best / len(words)))
+
+
 def test_quality_counts(spark, texts):
     found = rows_by_id(queries.QUERIES["op2_quality_rules"](spark, DATA))
     for doc_id, text in texts:
@@ -172,6 +230,25 @@ def test_language(spark):
     assert judged.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
 
 
+def test_language_without_ids(spark, documents):
+    """Rows without an id, or with one id in bulk, are sampled one by one."""
+    for name in (F.lit(None).cast("long"), F.lit(9)):
+        docs = documents.withColumn("doc_id", name)
+        model = language.fit(docs, size=20)
+        found = language.predict(docs.select("doc_id", "text"), model)
+        langs = [r.lang for r in docs.select("lang").collect()]
+        right = [r.lang_pred == lang for r, lang in zip(found.collect(), langs, strict=True) if r.lang_pred != "und"]
+        assert sum(right) > 0.95 * len(right)
+
+
+def test_numbers_are_no_letters(spark, documents):
+    rows = [(1, "½ ² Ⅷ 12 ①_"), (2, "x²y ½"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_by_id(language.predict(docs, language.fit(documents)))
+    assert [found[k].lang_pred == "und" for k in (1, 2, 3, 4)] == [True, False, True, True]
+    assert language.words_of("x²y ½ ÉTÉ 漢一") == ["x", "y", "été", "漢一"]
+
+
 def test_marginals_against_all_segmentations():
     vocabulary = lattice.pieces(language.vocabulary_path())
     luck = np.random.default_rng(1)
