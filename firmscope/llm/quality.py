@@ -18,14 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .learn import newton, sigmoid, sparse_logistic
+from .rows import luck
 from .words import SPACE, Words, covered, per_text, spans, stretches, tidy, windows, words
 
 BITS = 16
 CHARACTERS = 4
 #: Most labelled rows that the model is fitted on and calibrated with, half of each class where there are as many.
 SAMPLE = 3_000
-#: Most bytes of text in a sampled row; longer labelled rows are not used for fitting.
-SAMPLE_BYTES = 20_000
 KEEP_FROM = 0.4
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Scale of the mean counts, so that weights and ridge are of ordinary size.
@@ -150,10 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
     n = rows.agg(F.sum("y").alias("good"), F.count("*").alias("all")).first()
     good, bad = n.good or 0, n["all"] - (n.good or 0)
     share = [min(1.0, size / 2 / max(k, 1)) for k in (bad, good)]
-    luck = F.pmod(F.xxhash64(F.lit("quality"), "labelled"), F.lit(1_000_000)) / 1_000_000
-    rows = rows.filter(luck < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
+    rows = rows.filter(luck("quality", "labelled") < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
     rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "labelled"), F.lit(4)).cast("int"))
-    texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
+    texts = docs.select("doc_id", "text")
     texts = texts.join(F.broadcast(rows), F.col("doc_id") == F.col("labelled")).select("text", "y", "part")
     seen = texts.mapInArrow(_cells, "buckets array<int>, shares array<float>, y int, part int").toArrow()
     y = seen["y"].to_numpy().astype(float)
