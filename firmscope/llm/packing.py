@@ -37,6 +37,8 @@ GAIN = 1e-3
 LARGE = 1 / 8
 #: Rows that one task ranks among pieces of one length.
 SHARD = 256
+#: Shards that are summed up together.
+GROUP = 1000
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -389,11 +391,16 @@ def pack(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, wit
         wide = F.create_map(*(F.lit(x) for pair in sorted(hot.items()) for x in pair))[F.col("length")]
         shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.coalesce(wide, F.lit(1))).cast("long")
     rows = pieces.withColumn("shard", shard)
+    # Shards are summed up in groups first, so that no task holds all of a length.
     sizes = rows.groupBy("length", "shard").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
-        F.col("length").alias("l"), F.col("shard").alias("s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
-    )
+    sizes = stored(sizes.withColumn("group", F.floor(F.col("shard") / GROUP).cast("long")), "sizes")
+    earlier = Window.partitionBy("l").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
+    groups = sizes.groupBy(F.col("length").alias("l"), F.col("group").alias("g")).agg(F.sum("n").alias("n"))
+    groups = groups.select("l", "g", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("length", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    sizes = sizes.join(groups, (F.col("length") == F.col("l")) & (F.col("group") == F.col("g")))
+    sizes = sizes.select(F.col("length").alias("l"), F.col("shard").alias("s"), (F.col("base") + F.col("within")).alias("before"))
     rows = rows.join(sizes, (F.col("length") == F.col("l")) & (F.col("shard") == F.col("s")))
     own = Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "ids_crc32", "start")
     rank = F.col("before") + F.row_number().over(own) - 1
