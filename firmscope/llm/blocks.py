@@ -17,6 +17,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rows import quoted
 from .words import trim
 
 #: Bytes of text gathered before streams are cut.
@@ -58,7 +59,7 @@ def packed(docs: DataFrame, blocks: int, columns: list[str]) -> DataFrame:
             yield _streams(held)
 
     dealt = block_of(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), blocks).alias("block")
-    return docs.select(dealt, F.struct(*columns).alias("row")).mapInArrow(run, "block long, stream binary")
+    return docs.select(dealt, F.struct(*map(quoted, columns)).alias("row")).mapInArrow(run, "block long, stream binary")
 
 
 def _streams(held: list[pa.RecordBatch]) -> pa.RecordBatch:

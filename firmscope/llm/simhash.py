@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..shared import stored
 from .graph import Forest, components
+from .rows import every, luck, row_hash
 from .words import ranges, stretches, tidy, words
 
 SHINGLE = 3
@@ -290,8 +291,7 @@ def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b): enough links between the distinct fingerprints ``fp`` to connect all within the distance."""
     n = classes.count()
     share = min(1.0, SAMPLE / max(n, 1))
-    luck = F.pmod(F.xxhash64(F.lit("plan"), "fp"), F.lit(1_000_000)) < int(share * 1_000_000)
-    some = np.array([row.fp for row in classes.filter(luck).collect()], np.int64).view(np.uint64)
+    some = np.array([row.fp for row in classes.filter(luck("plan", "fp") < share).collect()], np.int64).view(np.uint64)
     filed = _tiled(_filed(classes, plan(some, n, distance)))
     width = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = filed.repartition(width, "part", "key", "tile").sortWithinPartitions("part", "key", "tile")
@@ -326,12 +326,14 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTAN
     """One document of each group, the one with the smallest id, with all its columns.
 
     Rows with a null ``doc_id`` stay. Of rows that repeat an id the one with
-    the smallest hash of its columns stays.
+    the smallest hash of its columns stays. Texts without words, null ones
+    too, are one group. An empty table stays empty. Columns may have any names
+    and types.
     """
     kept = near_duplicates(docs, shingle, distance).filter(F.col("doc_id") == F.col("component_id"))
     kept = stored(kept.select(F.col("doc_id").alias("kept")).distinct(), "kept")
-    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("row"))
+    rows = docs.select("doc_id", F.struct(*every(docs)).alias("row"), row_hash(docs).alias("hash"))
+    one = Window.partitionBy("doc_id").orderBy("hash")
     rows = rows.join(kept, F.col("doc_id") == F.col("kept")).withColumn("place", F.row_number().over(one))
     rows = rows.filter("place = 1").select("row.*")
     return rows.union(docs.filter("doc_id is null"))

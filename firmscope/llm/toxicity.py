@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..shared import stored
 from .learn import newton, sigmoid
+from .rows import luck
 from .words import tidy
 
 # Insults known before any label is seen.
@@ -267,8 +268,7 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     count = rows.agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).first()
     toxic, clean = count.toxic or 0, count.n - (count.toxic or 0)
     share = [min(1.0, size / 2 / max(n, 1)) for n in (clean, toxic)]
-    luck = F.pmod(F.xxhash64(F.lit("toxic"), "labelled"), F.lit(1_000_000)) / 1_000_000
-    rows = rows.filter(luck < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
+    rows = rows.filter(luck("toxic", "labelled") < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
     # About ``size`` ids: small enough for every task, so that no text is shuffled to find the sample.
     texts = docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("labelled"))
     return stored(texts.select("text", "y"), "sample")
@@ -350,8 +350,8 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> bytes:
     counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     share = rows.agg(F.avg("y")).first()[0] or 0.0
     # By the first summand alone, which is the larger one.
-    luck = F.col("toxic") * (F.log("toxic") - F.log(F.col("clean") + F.col("toxic")) - float(np.log(share or 1.0)))
-    likely = counts.filter(f"toxic + 0.5 >= {AGAINST} * (clean + 0.5)").filter(luck >= float(np.log(LUCK)) - 1e-6)
+    chance = F.col("toxic") * (F.log("toxic") - F.log(F.col("clean") + F.col("toxic")) - float(np.log(share or 1.0)))
+    likely = counts.filter(f"toxic + 0.5 >= {AGAINST} * (clean + 0.5)").filter(chance >= float(np.log(LUCK)) - 1e-6)
     kept = frozenset(row.key for row in likely.collect() if telling(row.clean, row.toxic, share))
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,13 +417,21 @@ COLUMNS = (
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """The documents that are not toxic, with all their columns; unlabelled data rejects by the fixed terms."""
+    """The documents that are not toxic, with all their columns; unlabelled data rejects by the fixed terms.
+
+    Null and empty texts have no hits and stay, so do rows without an id where
+    their text is clean; repeated rows are judged alike. An empty table stays
+    empty. Columns may have any names and types.
+    """
     model = fit(docs, labels, size)
+    place = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, weights = _model(model)
         for batch in tidy(batches):
-            found = hits(lexicon, [t or "" for t in batch.column("text").to_pylist()])
+            found = hits(lexicon, [t or "" for t in batch.column(place).to_pylist()])
             yield batch.filter(pa.array(sigmoid(features(found) @ weights) < THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    # Under plain names, as Spark looks columns up by them.
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

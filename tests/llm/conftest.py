@@ -47,6 +47,15 @@ def odd(spark):
     return df.select("*", *(F.lit(k).alias(name) for k, name in enumerate(names)))
 
 
+@pytest.fixture(scope="session")
+def strange(odd):
+    """The same rows with columns whose names hold signs and whose types are maps, also inside others."""
+    from pyspark.sql import functions as F
+
+    held = F.create_map(F.lit("k"), F.col("n_chars"))
+    return odd.withColumns({"my.col": F.lit(1), "a map": held, "`deep`": F.struct(F.array(held).alias("x.y"))})
+
+
 @pytest.fixture(scope="session")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)

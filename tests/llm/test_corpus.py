@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from firmscope.llm import graph, mixing, packing, queries, simhash, substring, vectors
+from firmscope.llm import graph, mixing, packing, queries, simhash, substring, toxicity, vectors
 from firmscope.shared import stored
 from tests.compare import difference
 from tests.llm import brute
@@ -96,6 +96,29 @@ def test_vectors_probe_enough(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in vectors.linked_vectors(df).collect()} == plain
 
 
+def test_vectors_of_several_lengths(spark):
+    """Links of a rarer length are kept, also of one that no sample holds."""
+    common, rare = [1.0, 0.0, 0.0], [0.0, 1.0]
+    rows = [(k, common) for k in (5, 1, 9)] + [(3, rare), (2, rare), (8, [1.0, 0.0, 0.0, 0.0]), (7, [0.6, 0.8])]
+    df = spark.createDataFrame([(k, v, "x") for k, v in rows], "vec_id long, embedding array<float>, label string")
+    expected = {1: (2, 1), 5: (2, 1), 9: (2, 1), 2: (1, 2), 3: (1, 2), 8: (0, 8), 7: (0, 7)}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.linked_vectors(df).collect()} == expected
+    luck = np.random.default_rng(0)
+    many = [(k, luck.normal(size=3 + k % 3).round(1).tolist()) for k in range(600)] + [(-5, [0.1] * 9), (-7, [0.1] * 9), (None, [0.1] * 9)]
+    df = spark.createDataFrame(many, "vec_id long, embedding array<double>")
+    model = vectors.SAMPLE
+    try:
+        vectors.SAMPLE = vectors.SAMPLE_PER_LIST = 100
+        found = vectors.linked_vectors(df).collect()
+    finally:
+        vectors.SAMPLE, vectors.SAMPLE_PER_LIST = model, 16
+    kept = [(k, np.array(v)) for k, v in many if any(v)]
+    cosine = lambda a, b: a @ b / np.sqrt(a @ a) / np.sqrt(b @ b)
+    linked = {k: sum(len(v) == len(w) and cosine(v, w) >= 0.95 - 1e-12 for j, w in kept if j != k) for k, v in kept}
+    assert {r.vec_id: r.n_links for r in found} == {k: linked.get(k, 0) for k, _ in many}
+    assert {r.component_id for r in found if r.vec_id in (-5, -7, None)} == {-7}
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.linked_vectors(df).collect() == []
@@ -278,6 +301,43 @@ def test_one_of_each_group_stays(odd):
     assert ids == [1, 3, 6, 7, 8] and sum(r.doc_id is None for r in found) == 1
 
 
+def test_stages_take_columns_of_any_name_and_type(strange, labels):
+    n = strange.count()
+    kept = toxicity.without_toxic(strange, labels)
+    assert kept.columns == strange.columns and 0 < kept.count() <= n
+    for stage in (simhash.deduplicated, substring.without_duplicates, mixing.mixed_documents):
+        out = stage(strange)
+        assert out.columns == strange.columns and out.dtypes == strange.dtypes
+        assert all(row["my.col"] == 1 and row["a map"] == {"k": row["`deep`"][0][0]["k"]} for row in out.collect())
+
+
+def test_mix_spreads_rows_without_an_id(spark, documents):
+    """Rows without an id are dealt over as many shards as rows with one."""
+    shards = {}
+    distinct = documents.dropDuplicates(["text"])
+    for name, docs in (("with", distinct), ("without", distinct.withColumn("doc_id", F.lit(None).cast("long")))):
+        sized = mixing._sized(docs, 1)
+        sources, parts = mixing.quotas(sized, 8, 500)
+        shards[name] = {r.source: r.n for r in parts.groupBy("source").agg(F.count("*").alias("n")).collect()}
+        assert sized.select("mark").distinct().count() == docs.count()
+    used = {name: sum(own.values()) for name, own in shards.items()}
+    assert abs(used["without"] - used["with"]) <= 0.1 * used["with"]
+
+
+def test_quotas_in_groups_of_shards(spark, documents, texts, monkeypatch):
+    """With few shards to a group, quotas still add up and each source comes near its target."""
+    monkeypatch.setattr(mixing, "GROUP", 3)
+    rows = mixing.mix(documents, shard_words=400).collect()
+    taken, target = {}, {}
+    for r in rows:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert r.taken <= 2 * r.size
+    shards = mixing.quotas(mixing._sized(documents, 11), 8, 400)[1].groupBy("source").count().collect()
+    for row in shards:
+        assert abs(taken[row.source] - target[row.source]) <= 8 * row["count"] + 8
+
+
 def test_odd_documents(odd):
     n = odd.count()
     found = substring.duplicate_factors(odd).collect()
