@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from firmscope.functions.headcount import document_id, filing_year
 from firmscope.operators.ordered import micros
+from firmscope.operators.wanted import only_wanted
 from firmscope.functions.text import (
     can_geocode,
     format_position,
@@ -117,12 +118,11 @@ def with_document_id(filings: DataFrame) -> DataFrame:
 def join_documents(filings: DataFrame, documents: DataFrame, *values: Column) -> DataFrame:
     """Filings with values of their documents; documents without content do not count.
 
-    The values are worked out where the documents lie, so that only they and
-    ids are shuffled.
+    The values are worked out where the documents lie, of documents that a
+    filing names, so that only they and ids are shuffled.
     """
-    present = documents.filter(
-        (F.octet_length("content") > 0) | (F.length("text") > 0)
-    )
+    named = only_wanted(documents, F.col("document_id"), filings.select("document_id"))
+    present = named.filter((F.octet_length("content") > 0) | (F.length("text") > 0))
     return filings.join(present.select("document_id", *values), "document_id")
 
 
@@ -166,14 +166,15 @@ def geocode(addresses: DataFrame, primary: DataFrame, fallback: DataFrame) -> Da
 
 
 def join_descriptions(sites: DataFrame, pages: DataFrame, description: Column) -> DataFrame:
-    """Sites with the description of their page; pages are read before the join."""
-    read = pages.select(
+    """Sites with the description of their page; pages of sites are read before the join."""
+    linked = sites.withColumn("_link", with_scheme(F.col("company_url")))
+    needed = only_wanted(pages, with_scheme(F.col("url")), linked.select("_link"))
+    read = needed.select(
         with_scheme(F.col("url")).alias("_link"), "page_id", description.alias("description")
     )
     unique = read.groupBy("_link").agg(F.min_by("description", "page_id").alias("description"))
     return (
-        sites.withColumn("_link", with_scheme(F.col("company_url")))
-        .join(splittable(unique, "_link"), "_link", "left")
+        linked.join(splittable(unique, "_link"), "_link", "left")
         .drop("_link")
     )
 

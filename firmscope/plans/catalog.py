@@ -214,8 +214,7 @@ def lossy_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def company_profile_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = inputs.profiles(spark, sf_dir).filter("company_status = 'active'")
-    joined = lookup.join_profiles(inputs.companies(spark, sf_dir), profiles)
+    joined = lookup.join_profiles(inputs.companies(spark, sf_dir), inputs.profiles(spark, sf_dir))
     return joined.select(
         "CompanyNumber", "company_number", "company_status",
         X.format_address(F.col("registered_office_address")).alias("address"),
@@ -224,8 +223,7 @@ def company_profile_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def company_filings_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filings = inputs.filings(spark, sf_dir).filter("made_up_date >= '2000'")
-    joined = lookup.join_filings(inputs.companies(spark, sf_dir), filings)
+    joined = lookup.join_filings(inputs.companies(spark, sf_dir), inputs.filings(spark, sf_dir))
     return joined.select("CompanyNumber", "company_number", "seq", "category", "made_up_date")
 
 
@@ -275,12 +273,11 @@ def _gazetteers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     address = X.join_parts([F.col(part) for part in X.ADDRESS_PARTS])
     named = flat.withColumn("address", address)
 
-    def some(keep: str, formatted: str) -> DataFrame:
-        return named.filter(keep).selectExpr("address", "lat", "lng", f"{formatted} AS formatted")
+    def service(name: str, formatted: str) -> DataFrame:
+        address = f"{inputs.KNOWN_AS[name]} AS address"
+        return named.selectExpr(address, "lat", "lng", f"{formatted} AS formatted")
 
-    # Each service knows some of the places only.
-    primary = some("c_mktsegment <> 'MACHINERY'", "upper(address)")
-    return primary, some("c_acctbal >= 1000", "locality")
+    return service("first", "upper(address)"), service("second", "locality")
 
 
 @query

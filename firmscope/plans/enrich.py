@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmscope.functions.headcount import document_headcount, document_id, filing_year
 from firmscope.functions.markup import site_description
-from firmscope.functions.text import format_address, with_scheme
+from firmscope.functions.text import format_address
 from firmscope.operators.lookup import (
     geocode,
     join_descriptions,
@@ -20,7 +20,7 @@ from firmscope.operators.lookup import (
     splittable,
     with_number,
 )
-from firmscope.shared import stored
+from firmscope.operators.wanted import bitmap, may_be_in, only_wanted
 from firmscope.sources.tables import require_columns
 
 YEARS = (2024, 2023, 2022)
@@ -55,8 +55,17 @@ def headcount_by_year(
     """Per company and year the first filing that yields a headcount, as text.
 
     One row per company that has any listed filing of those years; '' where no
-    filing yields one. Only ids and numbers are shuffled, never documents.
+    filing yields one. Only ids and numbers are shuffled, never documents, and
+    only documents that a listed filing of those years names are read.
     """
+    wanted = wanted_filings(filings, years)
+    needed = only_wanted(filing_docs, F.col("document_id"), wanted.select("document_id"))
+    counted = wanted.join(document_headcounts(needed), "document_id", "left")
+    return pick_headcounts(counted, years)
+
+
+def wanted_filings(filings: DataFrame, years: tuple[int, ...] = YEARS) -> DataFrame:
+    """(company_number, seq, year, document_id) of the listed filings of those years that name a document."""
     # Year and id first: the shuffle that lists a company's filings then carries
     # two short texts instead of dates and link maps.
     short = filings.select(
@@ -64,12 +73,14 @@ def headcount_by_year(
         filing_year(F.col("made_up_date")).alias("year"),
         document_id(F.col("links")).alias("document_id"),
     )
-    wanted = latest_filings(short).filter(
+    listed = latest_filings(short).filter(
         F.col("year").isin(*[str(y) for y in years]) & F.col("document_id").isNotNull()
     )
-    counted = wanted.drop("category").join(
-        document_headcounts(filing_docs), "document_id", "left"
-    )
+    return listed.drop("category")
+
+
+def pick_headcounts(counted: DataFrame, years: tuple[int, ...] = YEARS) -> DataFrame:
+    """Per company and year the headcount of the first filing that has one, as text."""
     per_year = [
         F.coalesce(
             F.min_by(
@@ -84,7 +95,10 @@ def headcount_by_year(
 
 
 def company_sites(search_results: DataFrame, pages: DataFrame) -> DataFrame:
-    """(company_name, company_url, description) for names with an official site."""
+    """(company_name, company_url, description) for names with an official site.
+
+    Only pages that are some name's site are read.
+    """
     sites = official_sites(search_results)
     return join_descriptions(sites, pages, site_description(F.col("html")))
 
@@ -103,27 +117,19 @@ def locate(profiles: DataFrame, gazetteers: tuple[DataFrame, DataFrame]) -> Data
 
 
 def narrowed(landed: Landed, companies: DataFrame) -> Landed:
-    """The landed rows that these companies need.
+    """The landed rows that these companies may need, told where they lie.
 
-    The keys are written first, so that Spark knows their size when it plans
-    the reading of documents and pages: where they are few it filters both
-    where they lie, before they are parsed.
+    Of documents and pages ``headcount_by_year`` and ``company_sites`` read
+    those that the remaining filings and hits name.
     """
-    numbers = stored(with_number(companies).select("company_number").distinct(), "numbers")
-    names = companies.select(F.col("CompanyName").alias("company_name")).distinct()
-    names = stored(names, "names")
-    filings = landed.filings.join(numbers, "company_number", "left_semi")
-    hits = landed.search_results.join(names, "company_name", "left_semi")
-    ids = latest_filings(filings).select(document_id(F.col("links")).alias("document_id"))
-    links = official_sites(hits).select(with_scheme(F.col("company_url")).alias("_link"))
-    ids, links = stored(ids.distinct(), "ids"), stored(links.distinct(), "links")
-    same_link = with_scheme(F.col("url")) == F.col("_link")
-    return Landed(
-        profiles=landed.profiles.join(numbers, "company_number", "left_semi"),
-        filings=filings,
-        filing_docs=landed.filing_docs.join(ids, "document_id", "left_semi"),
-        search_results=hits,
-        pages=landed.pages.join(links, same_link, "left_semi"),
+    numbers = bitmap(with_number(companies).select("company_number"))
+    names = bitmap(companies.select("CompanyName"))
+    numbered = may_be_in(F.col("company_number"), numbers)
+    return replace(
+        landed,
+        profiles=landed.profiles.filter(numbered),
+        filings=landed.filings.filter(numbered),
+        search_results=landed.search_results.filter(may_be_in(F.col("company_name"), names)),
     )
 
 
@@ -138,16 +144,11 @@ class Lookups:
         return Lookups(change(self.by_number), change(self.by_name))
 
     def for_companies(self, companies: DataFrame) -> Lookups:
-        """Only what these companies need.
-
-        For a few companies Spark sends their keys to the lookups, which are
-        then filtered where they lie instead of being shuffled whole.
-        """
-        numbers = with_number(companies).select("company_number").distinct()
-        names = companies.select(F.col("CompanyName").alias("company_name")).distinct()
+        """Only what these companies may need, told where the lookups lie instead of shuffling them."""
+        numbers = with_number(companies).select("company_number")
         return Lookups(
-            self.by_number.join(numbers, "company_number", "left_semi"),
-            self.by_name.join(names, "company_name", "left_semi"),
+            only_wanted(self.by_number, F.col("company_number"), numbers),
+            only_wanted(self.by_name, F.col("company_name"), companies.select("CompanyName")),
         )
 
 
@@ -199,8 +200,13 @@ def enrich_companies(
     years: tuple[int, ...] = YEARS,
     gazetteers: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """The whole job as one lazy plan."""
-    return attach(companies, prepare(landed, years, gazetteers))
+    """The whole job as one lazy plan.
+
+    Landed rows that no company asks for are left out where they lie, before
+    documents and pages are parsed; nothing of their contents is shuffled.
+    """
+    require_columns(companies)
+    return attach(companies, prepare(narrowed(landed, companies), years, gazetteers))
 
 
 def succeeded(years: tuple[int, ...] = YEARS) -> Column:

@@ -66,8 +66,11 @@ COMPANIES = {
     "SICCode_SicText_2": "CASE WHEN c_custkey % 3 = 0 THEN '46' || cast(c_nationkey AS string) || ' - Wholesale' END",
 }
 
+#: Some companies have their profile under a number that no company uses.
+_PROFILED = f"CASE WHEN c_custkey % 13 = 5 THEN 'ZZ' || lpad(cast(c_custkey AS string), 6, '0') ELSE {_padded('c_custkey')} END"
+
 PROFILES = {
-    "company_number": _padded("c_custkey"),
+    "company_number": _PROFILED,
     "company_status": "CASE WHEN c_acctbal < 0 THEN 'dissolved' ELSE 'active' END",
     "premises": "cast(c_custkey % 200 AS string)",
     "address_line_1": "lower(c_mktsegment) || ' Street'",
@@ -170,6 +173,12 @@ SNAPSHOTS = {
     "fetched_at": "ts",
 }
 
+#: Each service knows some places by another address than the registry.
+KNOWN_AS = {
+    "first": "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'near ' || address ELSE address END",
+    "second": "CASE WHEN c_acctbal < 1000 THEN 'near ' || address ELSE address END",
+}
+
 GAZETTEER = {
     "lat": "cast(50 + c_custkey % 9 AS string) || '.' || lpad(cast(c_custkey % 1000 AS string), 3, '0')",
     "lng": "'-' || cast(c_custkey % 4 AS string) || '.5'",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from firmscope.operators.lookup import pending
 from firmscope.operators.ordered import sample_head
 from firmscope.operators.rows import profile_table
-from firmscope.plans.enrich import YEARS, Landed, enrich_companies, narrowed, outcomes, succeeded
+from firmscope.plans.enrich import YEARS, Landed, enrich_companies, outcomes, succeeded
 from firmscope.shared import stored
 from firmscope.sources import tables
 
@@ -79,7 +79,7 @@ def enrich_file(
     companies = tables.read_companies(spark, source)
     done = _stored(spark, target) if resume else None
     left = companies if done is None else pending(companies, done)
-    result = enrich_companies(left, narrowed(landed, left), years, gazetteers)
+    result = enrich_companies(left, landed, years, gazetteers)
     if log:
         result = stored(result, "enriched")  # the target and the log tell of the same rows
     seen = Observation("enriched")

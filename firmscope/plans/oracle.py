@@ -435,10 +435,10 @@ FRESH = (
 _GAZETTEER = f"gaz AS (SELECT c_mktsegment, c_acctbal, {_fields({**inputs.PROFILES, **inputs.GAZETTEER})} FROM customer)"
 GAZETTEERS = (
     f"{_GAZETTEER}, placed_at AS (SELECT *, {address()} AS address FROM gaz), "
-    "first_g AS (SELECT address, min(lat || ',' || lng || ' (' || upper(address) || ')') AS p "
-    "FROM placed_at WHERE c_mktsegment <> 'MACHINERY' GROUP BY address), "
-    "second_g AS (SELECT address, min(lat || ',' || lng || ' (' || coalesce(locality, '') || ')') AS p "
-    "FROM placed_at WHERE c_acctbal >= 1000 GROUP BY address)"
+    f"first_g AS (SELECT {inputs.KNOWN_AS['first']} AS address, min(lat || ',' || lng || ' (' || upper(address) || ')') AS p "
+    "FROM placed_at GROUP BY ALL), "
+    f"second_g AS (SELECT {inputs.KNOWN_AS['second']} AS address, min(lat || ',' || lng || ' (' || coalesce(locality, '') || ')') AS p "
+    "FROM placed_at GROUP BY ALL)"
 )
 _ITEM_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 
@@ -493,11 +493,11 @@ def statements() -> dict[str, str]:
         "company_profile_join": (
             f"WITH {COMPANIES}, {PROFILES} SELECT CompanyNumber, {padded('CompanyNumber')} AS company_number, company_status, "
             f"CASE WHEN company_status IS NOT NULL THEN {address()} ELSE '' END AS address "
-            f"FROM companies LEFT JOIN (SELECT * FROM profiles WHERE company_status = 'active') p ON p.company_number = {padded('CompanyNumber')}"
+            f"FROM companies LEFT JOIN profiles p ON p.company_number = {padded('CompanyNumber')}"
         ),
         "company_filings_join": (
             f"WITH {COMPANIES}, {FILINGS} SELECT CompanyNumber, {padded('CompanyNumber')} AS company_number, seq, category, made_up_date "
-            f"FROM companies LEFT JOIN (SELECT * FROM filings WHERE made_up_date >= '2000') f ON f.company_number = {padded('CompanyNumber')}"
+            f"FROM companies LEFT JOIN filings f ON f.company_number = {padded('CompanyNumber')}"
         ),
         "filing_documents_join": (
             f"WITH {FILINGS}, {DOCS}, named AS (SELECT *, regexp_extract(link, '([^/]*)$', 1) AS document_id FROM filings WHERE link <> '') "
@@ -634,7 +634,7 @@ def statements() -> dict[str, str]:
         "stream_run_log": f"WITH {ENRICHED} SELECT 'stream' AS run, CompanyNumber AS id, {FOUND} AS ok FROM enriched",
         "enrich_with_location": (
             f"WITH {COMPANIES}, {PROFILES}, {GAZETTEERS}, asked AS (SELECT company_number, {address()} AS address FROM profiles) "
-            "SELECT CompanyNumber, CompanyName, CASE WHEN length(trim(a.address)) >= 10 THEN coalesce(f.p, s.p, a.address) ELSE a.address END AS manufacturing_location "
+            "SELECT CompanyNumber, CompanyName, coalesce(CASE WHEN length(trim(a.address)) >= 10 THEN coalesce(f.p, s.p) END, a.address, '') AS manufacturing_location "
             f"FROM companies LEFT JOIN asked a ON a.company_number = {padded('CompanyNumber')} "
             "LEFT JOIN first_g f ON f.address = a.address LEFT JOIN second_g s ON s.address = a.address"
         ),
