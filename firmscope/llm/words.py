@@ -104,7 +104,7 @@ class Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n += -n % (1 << 16)
             self.up, self.down = powers(n, self.base), powers(n, self.inverse)
         return self.up, self.down
 
