@@ -1,10 +1,10 @@
 """Results that depend on the order of rows, computed without one task per key.
 
 A running value over one key would put all rows of that key into one task. So
-the rows of frequent keys are cut into ranges of the order, each holding a
+the rows are cut into ranges of the order by key and time, each holding a
 bounded share of all rows. Every (key, range) is worked on by itself, summed up
 in one row, the summaries are chained per key (never more than the number of
-ranges), and what went before is added back to the rows. Other keys are one
+ranges), and what went before is added back to the rows. Most keys lie in one
 range, so there are hardly more summaries than keys.
 """
 
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,59 +29,22 @@ def range_count(df: DataFrame) -> int:
     return max(2, wanted, -(-df.count() // RANGE_ROWS))
 
 
-def _cut_points(df: DataFrame, column: str, ranges: int) -> list[float]:
-    """Quantiles: at most ``ranges - 1`` numbers reach the driver."""
-    steps = [i / ranges for i in range(1, ranges)]
-    return df.approxQuantile(column, steps, 0.25 / ranges)
-
-
-def _bucket(df: DataFrame, column: str, points: list[float], name: str) -> DataFrame:
-    splits = [float("-inf"), *sorted(set(points)), float("inf")]
-    number = f"_{column}_number"
-    cut = Bucketizer(splits=splits, inputCol=number, outputCol=name, handleInvalid="keep")
-    numbered = df.withColumn(number, F.col(column).cast("double"))
-    # Missing values sort first.
-    found = F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint"))
-    return cut.transform(numbered).withColumn(name, found).drop(number)
-
-
-def _frequent(df: DataFrame, key: Sequence[str], ranges: int) -> Column:
-    """Whether a row's key may hold more than one range's share of all rows.
-
-    A sketch of bounded size finds every such key, and possibly a few others.
-    """
-    hashed = F.xxhash64(*key)
-    found = df.select(hashed.alias("_hash")).stat.freqItems(["_hash"], 1 / ranges).first()[0]
-    return hashed.isin(*found) if found else F.lit(False)
-
-
 def with_ranges(
     df: DataFrame, key: Sequence[str], time: str, tie: str, ranges: int | None = None
 ) -> DataFrame:
     """Add ``_range``, which never decreases along (time, tie) for a key.
 
-    ``time`` and ``tie`` are numeric columns. Frequent keys and cut points come
-    from light passes over key and time while the plan is built and are literals
-    in it, so recomputed tasks cut the same way. A single instant that holds
-    several ranges' worth of rows is cut further along ``tie``.
+    The rows are range-partitioned by key, time and tie, of any orderable types,
+    and a row's range is the partition it fell to. A frequent key, or an instant
+    of it, spans as many ranges as its rows need; of the others at most one per
+    range lies on its edge, so there are hardly more (key, range) pairs than
+    keys and ranges. The cuts follow from Spark's own sample; rows and ranges
+    are written, so that tasks that run again find the same ones, and the plan
+    does not grow with their number.
     """
     ranges = ranges or range_count(df)
-    frequent = _frequent(df, key, ranges)
-    points = _cut_points(df.filter(frequent), time, ranges)
-    if not points:
-        return df.withColumn("_range", F.lit(0).cast("bigint"))
-    cut = _bucket(df, time, points, "_range")
-    place = F.col("_range")
-    crowded = sorted({p for p in points if points.count(p) > 1})
-    if crowded:
-        # A crowded instant opens its bucket, so its rows come before the others.
-        inside = F.col(time).cast("double").isin(*crowded)
-        ties = _cut_points(df.filter(frequent & inside), tie, ranges)
-        cut = _bucket(cut, tie, ties, "_tie_range")
-        within = F.when(inside, F.col("_tie_range")).otherwise(F.lit(ranges))
-        place = place * (ranges + 1) + within
-    ranged = cut.withColumn("_range", F.when(frequent, place).otherwise(F.lit(0).cast("bigint")))
-    return ranged.drop("_tie_range")
+    split = df.repartitionByRange(ranges, *key, time, tie)
+    return stored(split.withColumn("_range", F.spark_partition_id().cast("bigint")), "ranges")
 
 
 def in_range(key: Sequence[str], *order: str):

@@ -13,7 +13,7 @@ from firmscope.functions import headcount as H
 from firmscope.functions import markup as M
 from firmscope.functions import text as X
 from firmscope.functions.expr import collapse_space
-from firmscope.operators import lookup, ordered, rows, shaping
+from firmscope.operators import expiry, lookup, ordered, rows, shaping
 from firmscope.plans import enrich, inputs
 from firmscope.plans import jobs as file_jobs
 from firmscope.shared import new_folder
@@ -514,6 +514,11 @@ def lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.missing_answers(snapshots, lookup.fresh_answers(snapshots, F.lit(AS_OF)))
 
 
+@query
+def first_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expiry.first_requests(inputs.snapshots(spark, sf_dir), "fetched_at")
+
+
 # The whole job
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -625,11 +630,20 @@ def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _, checkpoint = _folders(spark, "requests")
     requests = _stream(spark, sf_dir, "events", inputs.SNAPSHOTS)
-    first = jobs.first_requests(requests, "fetched_at")
-    jobs.write_stream(first, out, checkpoint).awaitTermination()
-    return jobs.read_batches(spark, out).select("prefix", "key", "asked_us")
+    folders = _folders(spark, "requests")
+    jobs.first_requests(requests, "fetched_at", *folders).awaitTermination()
+    return jobs.read_batches(spark, folders[0]).select("prefix", "key", "asked_us")
+
+
+@query
+def stream_lookup_answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with answers that were landed before the stream."""
+    requests = _stream(spark, sf_dir, "events", inputs.SNAPSHOTS)
+    folders = _folders(spark, "requests")
+    answers = inputs.answers(spark, sf_dir)
+    jobs.first_requests(requests, "fetched_at", *folders, answers=answers).awaitTermination()
+    return jobs.read_batches(spark, folders[0]).select("prefix", "key", "asked_us")
 
 
 @query

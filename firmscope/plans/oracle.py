@@ -443,6 +443,19 @@ GAZETTEERS = (
 _ITEM_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 
 
+def _asked(answers: str = "answers AS (SELECT '' AS prefix, '' AS key, NULL::TIMESTAMP AS ts)") -> str:
+    """Requests asked for one after the other, beginning after the answers that are known."""
+    return (
+        f"WITH RECURSIVE {SNAPSHOTS}, {answers}, timed AS (SELECT prefix, key, fetched_at AS ts, "
+        "CASE prefix WHEN 'ddg_search' THEN 1 WHEN 'geocode' THEN 30 ELSE 7 END AS days FROM snapshots), "
+        "asked AS (SELECT t.prefix, t.key, min(t.ts) AS ts FROM timed t LEFT JOIN answers a ON a.prefix = t.prefix AND a.key = t.key "
+        "WHERE a.ts IS NULL OR t.ts >= a.ts + to_days(t.days) GROUP BY t.prefix, t.key UNION ALL "
+        "SELECT t.prefix, t.key, min(t.ts) FROM asked a JOIN timed t ON a.prefix = t.prefix AND a.key = t.key "
+        "AND t.ts >= a.ts + to_days(t.days) GROUP BY t.prefix, t.key, a.ts) "
+        "SELECT prefix, key, epoch_us(ts) AS asked_us FROM asked"
+    )
+
+
 def _value(ctes: str, key: str, expression: str, name: str, source: str) -> str:
     return f"WITH {ctes} SELECT {key}, {expression} AS {name} FROM {source}"
 
@@ -644,14 +657,9 @@ def statements() -> dict[str, str]:
             "WHEN user_id % 10 = 0 THEN 'ZeroDivisionError' END AS error FROM events"
         ),
         "stream_enrich": f"WITH {ENRICHED} SELECT * FROM enriched",
-        "stream_lookup_misses": (
-            f"WITH RECURSIVE {SNAPSHOTS}, timed AS (SELECT prefix, key, fetched_at AS ts, "
-            "CASE prefix WHEN 'ddg_search' THEN 1 WHEN 'geocode' THEN 30 ELSE 7 END AS days FROM snapshots), "
-            "asked AS (SELECT prefix, key, min(ts) AS ts FROM timed GROUP BY prefix, key UNION ALL "
-            "SELECT t.prefix, t.key, min(t.ts) FROM asked a JOIN timed t ON a.prefix = t.prefix AND a.key = t.key "
-            "AND t.ts >= a.ts + to_days(t.days) GROUP BY t.prefix, t.key, a.ts) "
-            "SELECT prefix, key, epoch_us(ts) AS asked_us FROM asked"
-        ),
+        "first_requests": _asked(),
+        "stream_lookup_misses": _asked(),
+        "stream_lookup_answered": _asked(f"answers AS (SELECT prefix, key, max(fetched_at) AS ts FROM (SELECT {_fields(inputs.ANSWERS)} FROM events) GROUP BY prefix, key)"),
         "stream_token_bucket": f"WITH {BUCKET} SELECT * FROM shaped",
         "stream_adaptive_rate": ADAPTIVE_RESULT,
         "stream_progress": (

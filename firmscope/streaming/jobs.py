@@ -4,24 +4,24 @@ Every job writes one folder per micro-batch and overwrites that folder when a
 batch is repeated after a failure, so each row counts once. Rate shaping keeps
 its state as a small table per batch instead of in a keyed state store: the
 batch is shaped with the same range-wise operators as a table, so one key may
-hold most of a batch, and no key's rows pass through a single Python worker.
+hold most of a batch. No Python worker sees a row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from firmscope.operators.lookup import DEFAULT_LIFETIME, LIFETIMES, lifetime
-from firmscope.operators.ordered import micros
+from firmscope.operators import expiry
+from firmscope.operators.expiry import newest_answers
+from firmscope.operators.lookup import DEFAULT_LIFETIME, LIFETIMES
 from firmscope.operators.shaping import adaptive_rate, token_bucket_step
 from firmscope.plans.enrich import Lookups, attach
-from firmscope.shared import pin
+from firmscope.shared import pin, stored
 
 Callback = Callable[[DataFrame, int], None]
 
@@ -73,66 +73,45 @@ def enrich_stream(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         folder = _folder(out, batch_id)
-        attach(batch, ready.for_companies(batch)).write.mode("overwrite").parquet(folder)
+        batch.persist()
+        try:
+            attach(batch, ready.for_companies(batch)).write.mode("overwrite").parquet(folder)
+        finally:
+            batch.unpersist()
         if on_batch:
             on_batch(batch.sparkSession.read.parquet(folder), batch_id)
 
     return _run(companies, step, checkpoint)
 
 
-ASKED = "prefix string, key string, asked_us long"
-
-
 def first_requests(
     requests: DataFrame,
     time: str,
+    out: str,
+    state_path: str,
+    checkpoint: str,
     lifetimes: Mapping[str, int] = LIFETIMES,
     default: int = DEFAULT_LIFETIME,
     answers: DataFrame | None = None,
-) -> DataFrame:
-    """Requests that must be asked for, as (prefix, key, asked_us).
-
-    Per (prefix, key) the state holds when it was asked for last. A request is
-    asked for if there is no such time or the lifetime of its kind has passed
-    since, exactly; requests of a batch are taken in order of time, and one
-    that comes late is answered by what is known by then. Nothing is dropped
-    and no state expires early. ``answers`` (prefix, key, fetched_at) are
-    landed before the stream; the newest one of a key counts as asked for then.
+    ranges: int | None = None,
+) -> StreamingQuery:
+    """Write the requests of a stream that must be asked for, as (prefix, key, asked_us).
+
+    The state says when each key was asked for last; each batch is worked on by
+    the operator for tables, which spreads a frequent key over tasks. A request
+    is asked for if there is no such time or the lifetime of its kind has passed
+    since, exactly; one that comes late is answered by what is known by then.
+    Nothing is dropped. ``answers`` (prefix, key, fetched_at) are landed before
+    the stream; the newest one of a key counts as asked for then.
     """
-    timed = requests.select("prefix", "key", micros(requests, time).alias("_us"))
-    landed = F.lit(None).cast("bigint")
-    if answers is not None:
-        newest = answers.groupBy("prefix", "key").agg(
-            F.max(micros(answers, "fetched_at")).alias("_landed")
-        )
-        timed = timed.join(newest, ["prefix", "key"], "left")
-        landed = F.col("_landed")
-    lives = lifetime(F.col("prefix"), lifetimes, default).cast("bigint") * 1_000_000
-    timed = timed.select("prefix", "key", "_us", lives.alias("_lives"), landed.alias("_landed"))
-
-    def ask(key: tuple, parts: Iterator, state: GroupState) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        frames = [p[["_us", "_lives", "_landed"]] for p in parts]
-        rows = pd.concat(frames) if len(frames) > 1 else frames[0]
-        times = np.sort(rows["_us"].dropna().to_numpy(np.int64))
-        lives = int(rows["_lives"].iloc[0])
-        last = state.get[0] if state.exists else None
-        if last is None and rows["_landed"].notna().any():
-            last = int(rows["_landed"].iloc[0])
-        asked = []
-        at = 0 if last is None else int(np.searchsorted(times, last + lives))
-        while at < len(times):
-            last = int(times[at])
-            asked.append(last)
-            at = int(np.searchsorted(times, last + lives))
-        if last is not None:
-            state.update((last,))
-        yield pd.DataFrame({"prefix": key[0], "key": key[1], "asked_us": asked}).astype({"asked_us": "int64"})
-
-    grouped = timed.groupBy("prefix", "key")
-    return grouped.applyInPandasWithState(ask, ASKED, "last long", "append", GroupStateTimeout.NoTimeout)
+
+    def shape(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        if state is None and answers is not None:
+            state = newest_answers(answers)
+        asked = stored(expiry.first_requests(batch, time, lifetimes, default, state, ranges), "asked")
+        return asked, expiry.asked_last(asked, state)
+
+    return _stateful(requests, shape, out, state_path, checkpoint)
 
 
 def write_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

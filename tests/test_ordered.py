@@ -205,7 +205,7 @@ def test_ranges_split_a_hot_key_and_a_hot_instant(spark):
         )
         hot = cut.filter("k = 'hot'")
         sizes = [r["count"] for r in hot.groupBy("_range").count().collect()]
-        assert len(sizes) > 5 and max(sizes) < 600 / 10
+        assert len(sizes) > 5 and max(sizes) <= 1.5 * 600 / 10
         first_last = hot.groupBy("_range").agg(
             F.min(F.struct("us", "id")).alias("a"), F.max(F.struct("us", "id")).alias("z")
         ).orderBy("_range").collect()
@@ -219,8 +219,9 @@ def test_rare_keys_are_one_range(spark):
     )
     cut = ordered.with_ranges(df, ["k"], "us", "id", ranges=10)
     pairs = cut.select("k", "_range").distinct().count()
-    # One per rare key, ten for the frequent one, a few for the sketch's guesses.
-    assert 13_333 + 10 <= pairs < 13_333 + 10 * 12
+    # One per key, and one more for each range that begins inside a key.
+    assert 13_334 <= pairs <= 13_334 + 10
+    assert cut.filter("k = 0").select("_range").distinct().count() >= 3
 
 
 def test_times_do_not_depend_on_the_session_zone(spark):

@@ -76,8 +76,8 @@ def test_first_requests_repeat_after_the_lifetime(spark, tmp_path, one_file):
     day = [0, 1, 23, 24, 47, 48, 300, 5_000]
     rows = [("ddg_search", "a", h) for h in day] + [("geocode", "a", h) for h in day] + [("x", None, h) for h in day]
     requests_of(spark, path, rows, one_file)
-    first = jobs.first_requests(stream(spark, path), "asked")
-    jobs.write_stream(first, out, str(tmp_path / "check")).awaitTermination()
+    state, check = str(tmp_path / "state"), str(tmp_path / "check")
+    jobs.first_requests(stream(spark, path), "asked", out, state, check, ranges=3).awaitTermination()
     origin = 1_704_067_200_000_000
     got = {}
     for r in jobs.read_batches(spark, out).collect():
@@ -94,8 +94,8 @@ def test_late_requests_and_landed_answers(spark, tmp_path):
     for part in ([("p", "a", 5_000)], [("p", "b", 0)], [("p", "a", 10)], [("p", "c", 100)]):
         requests_of(spark, path, part, True)
     landed = spark.sql("SELECT 'p' prefix, 'c' key, timestamp'2024-01-03' fetched_at")
-    first = jobs.first_requests(stream(spark, path), "asked", answers=landed)
-    jobs.write_stream(first, out, str(tmp_path / "check")).awaitTermination()
+    state, check = str(tmp_path / "state"), str(tmp_path / "check")
+    jobs.first_requests(stream(spark, path), "asked", out, state, check, answers=landed).awaitTermination()
     # Old requests of other keys are not lost; one that comes after a younger one is answered by it.
     assert sorted(r.key for r in jobs.read_batches(spark, out).collect()) == ["a", "b"]
 
