@@ -126,16 +126,20 @@ def join_documents(filings: DataFrame, documents: DataFrame, *values: Column) ->
     return filings.join(present.select("document_id", *values), "document_id")
 
 
-def official_sites(search_results: DataFrame) -> DataFrame:
-    """First acceptable hit per company name: (company_name, company_url)."""
+def best_hits(search_results: DataFrame) -> DataFrame:
+    """First acceptable hit per company name: (company_name, rank, href)."""
     acceptable = search_results.filter(
         (F.col("rank") < HITS_LISTED)
         & is_candidate_link(F.col("href"))
         & is_company_domain(F.col("href"), F.col("company_name"))
     )
-    return acceptable.groupBy("company_name").agg(
-        F.min_by("href", F.struct("rank", "href")).alias("company_url")
-    )
+    best = F.min(F.struct("rank", "href")).alias("_best")
+    return acceptable.groupBy("company_name").agg(best).select("company_name", "_best.*")
+
+
+def official_sites(search_results: DataFrame) -> DataFrame:
+    """The site of each company name that has one: (company_name, company_url)."""
+    return best_hits(search_results).select("company_name", F.col("href").alias("company_url"))
 
 
 def geocode(addresses: DataFrame, primary: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -167,16 +171,25 @@ def geocode(addresses: DataFrame, primary: DataFrame, fallback: DataFrame) -> Da
 
 def join_descriptions(sites: DataFrame, pages: DataFrame, description: Column) -> DataFrame:
     """Sites with the description of their page; pages of sites are read before the join."""
-    linked = sites.withColumn("_link", with_scheme(F.col("company_url")))
-    needed = only_wanted(pages, with_scheme(F.col("url")), linked.select("_link"))
-    read = needed.select(
+    links = sites.select(with_scheme(F.col("company_url")))
+    needed = only_wanted(pages, with_scheme(F.col("url")), links)
+    return with_page_descriptions(sites, read_pages(needed, description))
+
+
+def read_pages(pages: DataFrame, description: Column) -> DataFrame:
+    """(_link, page_id, description): the first page of each link, read."""
+    read = pages.select(
         with_scheme(F.col("url")).alias("_link"), "page_id", description.alias("description")
     )
+    best = F.min_by(F.struct("page_id", "description"), "page_id").alias("_best")
+    return read.groupBy("_link").agg(best).select("_link", "_best.*")
+
+
+def with_page_descriptions(sites: DataFrame, read: DataFrame) -> DataFrame:
+    """Sites with the description of their page, from pages that are read already."""
     unique = read.groupBy("_link").agg(F.min_by("description", "page_id").alias("description"))
-    return (
-        linked.join(splittable(unique, "_link"), "_link", "left")
-        .drop("_link")
-    )
+    linked = sites.withColumn("_link", with_scheme(F.col("company_url")))
+    return linked.join(splittable(unique, "_link"), "_link", "left").drop("_link")
 
 
 def pending(companies: DataFrame, done: DataFrame) -> DataFrame:

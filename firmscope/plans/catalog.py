@@ -19,7 +19,7 @@ from firmscope.plans import jobs as file_jobs
 from firmscope.shared import new_folder
 from firmscope.sources import landed as services
 from firmscope.sources import tables
-from firmscope.streaming import jobs
+from firmscope.streaming import jobs, kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -613,6 +613,21 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_batches(spark, out).drop("batch")
 
 
+@query
+def stream_kept_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups kept while the landed tables arrive in two parts, each read once."""
+    base = new_folder(spark, "kept")
+    landed = inputs.landed(spark, sf_dir)
+    schemas = {name: getattr(landed, name).schema for name in kept.TABLES}
+    for part in (0, 1):
+        for name, key in (("filings", "seq"), ("filing_docs", "document_id"), ("search_results", "href"), ("pages", "page_id")):
+            arrived = getattr(landed, name).filter(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(2)) == part)
+            arrived.write.mode("append").parquet(f"{base}/landing/{name}")
+        kept.refresh(spark, f"{base}/landing", schemas, f"{base}/kept")
+    lookups = kept.kept_lookups(spark, f"{base}/kept", YEARS)
+    return enrich.attach(inputs.companies(spark, sf_dir), lookups)
+
+
 @query
 def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log that the callback of a stream writes, batch by batch."""

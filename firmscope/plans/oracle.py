@@ -644,6 +644,7 @@ def statements() -> dict[str, str]:
             "SELECT 'first' AS run, id, ok, count(*) OVER () AS processed, "
             "(count(*) FILTER (WHERE NOT ok) OVER ()) AS failed FROM log"
         ),
+        "stream_kept_lookups": f"WITH {ENRICHED} SELECT * FROM enriched",
         "stream_run_log": f"WITH {ENRICHED} SELECT 'stream' AS run, CompanyNumber AS id, {FOUND} AS ok FROM enriched",
         "enrich_with_location": (
             f"WITH {COMPANIES}, {PROFILES}, {GAZETTEERS}, asked AS (SELECT company_number, {address()} AS address FROM profiles) "

@@ -114,9 +114,16 @@ def first_requests(
     return _stateful(requests, shape, out, state_path, checkpoint)
 
 
-def write_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def write_stream(
+    rows: DataFrame,
+    out: str,
+    checkpoint: str,
+    change: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Write each micro-batch, or what ``change`` makes of it, to its own folder."""
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_folder(out, batch_id))
+        (change(batch) if change else batch).write.mode("overwrite").parquet(_folder(out, batch_id))
 
     return _run(rows, step, checkpoint)
 
