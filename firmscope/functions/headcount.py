@@ -32,20 +32,20 @@ TAXONOMIES = {
 START_NAMES = ("AverageNumberOfEmployees", "NumberOfEmployees", "EmployeesTotal")
 END_NAMES = ("AverageNumberOfEmployees", "NumberOfEmployees")
 
-# Phrases that state a headcount, in search order.
-PHRASES = (
-    r"average\s+number\s+of\s+employees[:\s]+(\d{1,6})",
-    r"number\s+of\s+employees[:\s]+(\d{1,6})",
-    r"employees[:\s]+(\d{1,6})",
-    r"total\s+employees[:\s]+(\d{1,6})",
-    r"staff\s+numbers?[:\s]+(\d{1,6})",
-    r"number\s+of\s+persons\s+employed[:\s]+(\d{1,6})",
-    r"average\s+number\s+employed[:\s]+(\d{1,6})",
-    r"\bemployees\s+(\d{1,6})\b",
-    r"directors\s+and\s+employees[:\s]+(\d{1,6})",
-    r"average\s+number\s+of\s+employees\s+during\s+the\s+year\s+was\s+(\d{1,6})",
-    r"employed\s+an\s+average\s+of\s+(\d{1,6})\s+people",
+# Wording right before a headcount, in search order, in text of single blanks.
+# Wording that ends in another one's words and stands after it in the order finds nothing new.
+STATED = (
+    "average number of employees[: ]+",
+    "number of employees[: ]+",
+    "employees[: ]+",
+    "staff numbers?[: ]+",
+    "number of persons employed[: ]+",
+    "average number employed[: ]+",
+    "average number of employees during the year was ",
+    "employed an average of ",
 )
+#: The wording that only counts with this behind the number.
+BEHIND = {"employed an average of ": " people"}
 
 # Words near a number that speak against or for a headcount.
 MONEY_WORDS = (
@@ -292,17 +292,39 @@ def near_people(text: Column, digits: Column) -> Column:
     )
 
 
+def _stated(body: Column) -> Column:
+    """Every stated number as (rank of its wording, place among all, digits), from one search.
+
+    Wordings end right before their number, so no two of them share one, and a
+    search from left to right meets each number with its longest wording.
+    """
+    behind = "|".join(BEHIND.values())
+    # No wording begins with another letter.
+    starts = "".join(sorted({wording[0] for wording in STATED}))
+    every = rf"(?=[{starts}])(?:{'|'.join(STATED)})\d{{1,6}}(?:{behind})?"
+
+    def candidate(found: Column, place: Column) -> Column:
+        rank = F.lit(None).cast("int")
+        for k in reversed(range(len(STATED))):
+            needed = BEHIND.get(STATED[k], "")
+            rank = F.when(found.rlike(rf"\A{STATED[k]}\d+{needed or f'(?:{behind})?'}\z"), F.lit(k)).otherwise(rank)
+        digits = F.regexp_extract(found, r"\d+", 0)
+        return F.struct(rank.alias("rank"), place.alias("place"), digits.alias("digits"))
+
+    return F.transform(find_all(body, every), candidate)
+
+
 def text_headcount(text: Column) -> Column:
-    """First accepted number, phrase by phrase, in normalised lower-case text."""
+    """First accepted number, wording by wording, in normalised lower-case text."""
 
     def search(body: Column) -> Column:
         def accept(digits: Column) -> Column:
             return digits.try_cast("int").between(1, TEXT_LIMIT) & near_people(body, digits)
 
-        picks = [first(F.filter(find_all(body, phrase, 1), accept)) for phrase in PHRASES]
-        return F.coalesce(*picks).try_cast("bigint")
+        usable = F.filter(_stated(body), lambda c: c["rank"].isNotNull() & accept(c["digits"]))
+        return F.array_min(usable)["digits"].try_cast("bigint")
 
-    # Every phrase holds one of these, so other texts need not be normalised.
+    # Every wording holds one of these, so other texts need not be normalised.
     return F.when(
         text.rlike("(?i)employ|staff"), let(F.lower(collapse_space(text)), search)
     )

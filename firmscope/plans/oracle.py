@@ -15,6 +15,21 @@ from firmscope.plans.catalog import AS_OF, BURST, CHUNK, LIMITS, REPORT_EVERY, Y
 
 INTERVAL = 21_600_000_000
 
+# The phrases of a headcount as eleven patterns, in search order.
+PHRASES = (
+    r"average\s+number\s+of\s+employees[:\s]+(\d{1,6})",
+    r"number\s+of\s+employees[:\s]+(\d{1,6})",
+    r"employees[:\s]+(\d{1,6})",
+    r"total\s+employees[:\s]+(\d{1,6})",
+    r"staff\s+numbers?[:\s]+(\d{1,6})",
+    r"number\s+of\s+persons\s+employed[:\s]+(\d{1,6})",
+    r"average\s+number\s+employed[:\s]+(\d{1,6})",
+    r"\bemployees\s+(\d{1,6})\b",
+    r"directors\s+and\s+employees[:\s]+(\d{1,6})",
+    r"average\s+number\s+of\s+employees\s+during\s+the\s+year\s+was\s+(\d{1,6})",
+    r"employed\s+an\s+average\s+of\s+(\d{1,6})\s+people",
+)
+
 
 def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -331,7 +346,7 @@ def plausible() -> str:
 _MENTIONS = " UNION ALL ".join(
     f"SELECT document_id, body, {rank} AS phrase, unnest(found) AS m, generate_subscripts(found, 1) AS place "
     f"FROM (SELECT document_id, body, regexp_extract_all(body, {text(phrase)}, 1) AS found FROM bodies_of)"
-    for rank, phrase in enumerate(H.PHRASES)
+    for rank, phrase in enumerate(PHRASES)
 )
 TEXTS = (
     f"bodies_of AS (SELECT document_id, lower({single_spaces('text')}) AS body FROM tagged WHERE text IS NOT NULL), "

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 import time
 
 import pytest
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 
 from firmscope.functions import headcount as H
 from firmscope.functions import markup as M
+from firmscope.functions.expr import collapse_space, find_all, first, let
+from firmscope.plans import oracle
 from tests.helpers import apply
 
 # Filings and sentences whose headcounts are given.
@@ -108,6 +112,29 @@ def test_text_phrases(spark):
     assert apply(spark, H.text_headcount, list(cases)) == list(cases.values())
 
 
+def test_one_search_equals_eleven(spark):
+    """Wordings beside, inside and after each other, against a search for each phrase by itself."""
+    luck = random.Random(2)
+    words = "average number of employees total staff numbers number persons employed an people directors and during the year was : 7 35 120 999999 1234567 600001 0 turnover private headcount x".split()
+    starts = [re.sub(r"\\s[+]|\[:\\s\][+]", " ", p).replace("numbers?", "numbers").replace(r"(\d{1,6})", "41").replace(r"\b", "") for p in oracle.PHRASES]
+    texts = []
+    for _ in range(1_500):
+        parts = [luck.choice(starts) if luck.random() < 0.3 else luck.choice(words) for _ in range(luck.randrange(1, 14))]
+        texts.append(luck.choice([" ", "  ", "\n"]).join(p.upper() if luck.random() < 0.2 else p for p in parts))
+
+    def eleven(text):
+        def search(body):
+            def accept(digits):
+                return digits.try_cast("int").between(1, H.TEXT_LIMIT) & H.near_people(body, digits)
+
+            return F.coalesce(*[first(F.filter(find_all(body, p, 1), accept)) for p in oracle.PHRASES]).try_cast("bigint")
+
+        return let(F.lower(collapse_space(text)), search)
+
+    got, want = apply(spark, H.text_headcount, texts), apply(spark, eleven, texts)
+    assert got == want and 100 < sum(n is not None for n in got) < 1_400
+
+
 def test_context_is_around_the_first_place_of_the_digits(spark):
     far = "x" * 150
     given = [f"profit 12 {far} employees: 12", f"profit {far} employees: 12"]
