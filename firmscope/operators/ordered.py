@@ -11,6 +11,7 @@ range, so there are hardly more summaries than keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,18 +182,86 @@ def chunk_rows(
     return numbered.withColumn("chunk_id", F.expr(f"row_no div {int(chunk_size)}")).drop("row_no")
 
 
+def _range_of(keys: list[Column], cuts: list[tuple]) -> Column:
+    """How many of the sorted cuts are not above a row, by a search tree of comparisons."""
+
+    def above(cut: tuple) -> Column:
+        """Whether the row stands before the cut; a missing value stands before all others."""
+        before = F.lit(False)
+        for key, value in reversed(list(zip(keys, cut, strict=True))):
+            if value is None:
+                before = key.isNull() & before
+            else:
+                value = F.lit(value)
+                before = key.isNull() | (key < value) | ((key == value) & before)
+        return F.coalesce(before, F.lit(False))
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(above(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(cuts))
+
+
 def slice_rows(
     df: DataFrame, start: int, length: int | None, *order: str, unique: bool = False
 ) -> DataFrame:
     """Rows ``start`` to ``start + length`` of the order (to the end without length).
 
-    Rows of equal order stand by a hash of their columns, at any length.
+    Rows of equal order stand by a hash of their columns, at any length. A
+    sample of bounded size cuts the order into a few ranges; one pass counts
+    them. Of the ranges that hold an end of the slice large ones are cut again,
+    and what is left is numbered. Rows between those ends are taken as they are
+    read, so a slice costs no copy of the table.
     """
-    numbered = number_rows(df, *order, unique=unique)
-    chosen = F.col("row_no") >= start
-    if length is not None:
-        chosen &= F.col("row_no") < start + length
-    return numbered.filter(chosen).drop("row_no")
+    told = df if unique else df.withColumn("_mark", F.xxhash64(*_hashable(df)))
+    names = [*order] if unique else [*order, "_mark"]
+    end = None if length is None else start + length
+    found = _slice(told, start, end, names, unique)
+    return df.limit(0) if found is None else found.select(*df.columns)
+
+
+def _slice(told: DataFrame, start: int, end: int | None, names: Sequence[str], unique: bool) -> DataFrame | None:
+    keys = [F.col(name) for name in names]
+    cuts = _cuts(told.select(*keys))
+    ranged = told.withColumn("_part", _range_of(keys, cuts))
+    sizes = {row._part: row["count"] for row in ranged.groupBy("_part").count().collect()}
+    whole, edges, before = [], [], 0
+    for part in range(len(cuts) + 1):
+        first, last = before, before + sizes.get(part, 0)
+        before = last
+        if last <= start or first == last or (end is not None and first >= end):
+            continue
+        (whole if first >= start and (end is None or last <= end) else edges).append((part, first))
+    parts = [ranged.filter(F.col("_part").isin([part for part, _ in whole])).drop("_part")] if whole else []
+    for part, first in edges:
+        own = ranged.filter(F.col("_part") == part).drop("_part")
+        low, high = max(0, start - first), None if end is None else end - first
+        if sizes[part] > RANGE_ROWS and len(sizes) > 1:
+            parts.append(_slice(own, low, high, names, unique))
+            continue
+        row_no = F.col("row_no")
+        chosen = row_no >= low if high is None else (row_no >= low) & (row_no < high)
+        parts.append(number_rows(own, *names, unique=unique).filter(chosen).drop("row_no"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+#: Rows that the cuts of a slice are taken from, and how many cuts there are.
+SAMPLED, CUTS = 4_000, 15
+
+
+def _cuts(keys: DataFrame) -> list[tuple]:
+    """Rows that cut the order into about equal ranges, from a sample chosen by hashes."""
+    n = keys.count()
+    luck = F.shiftrightunsigned(F.xxhash64(F.lit("cuts"), *keys.columns), 11) / F.lit(float(1 << 53))
+    some = keys.filter(luck < min(1.0, SAMPLED / max(n, 1))).distinct().limit(4 * SAMPLED)
+    rows = [tuple(row) for row in some.orderBy(*keys.columns).collect()]
+    # Values that no comparison with a literal could be exact for are left to one range.
+    rows = [row for row in rows if not any(isinstance(v, float) or isinstance(v, (list, dict, tuple)) for v in row)]
+    step = max(1, len(rows) // (CUTS + 1))
+    return rows[step::step][:CUTS]
 
 
 def sample_head(df: DataFrame, count: int, *order: str) -> DataFrame:

@@ -16,6 +16,7 @@ from firmscope.functions.expr import collapse_space
 from firmscope.operators import expiry, lookup, ordered, rows, shaping
 from firmscope.plans import enrich, inputs
 from firmscope.plans import jobs as file_jobs
+from firmscope.plans import runs
 from firmscope.shared import new_folder
 from firmscope.sources import landed as services
 from firmscope.sources import tables
@@ -477,6 +478,14 @@ _value("ixbrl_headcount", _tagged, "document_id", "headcount",
        lambda df: H.tagged_headcount(F.col("doc")))
 _value("text_headcount", inputs.filing_docs, "document_id", "headcount",
        lambda df: H.text_headcount(F.col("text")))
+@query
+def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into archives, written, read again and counted."""
+    path = new_folder(spark, "archives")
+    services.pack_documents(inputs.filing_docs(spark, sf_dir), 1 << 16).write.parquet(path)
+    return enrich.document_headcounts(services.packed_documents(spark.read.parquet(path)))
+
+
 _value("document_headcount", inputs.filing_docs, "document_id", "headcount",
        lambda df: H.document_headcount(F.col("content"), F.col("text")))
 
@@ -569,6 +578,24 @@ def enrich_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.join(final, F.col("run") == F.col("_run")).select("run", "id", "ok", "processed", "failed")
 
 
+@query
+def enrich_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, and between them one that fails before it is committed."""
+    folder = new_folder(spark, "runs")
+    given = inputs.companies(spark, sf_dir)
+    tables.write_table(given.filter("CompanyStatus = 'Active'"), f"{folder}/first.csv")
+    tables.write_table(given, f"{folder}/all.csv")
+    landed = inputs.landed(spark, sf_dir)
+    at = F.lit(AS_OF)
+    runs.enrich_run(spark, f"{folder}/first.csv", f"{folder}/done", landed, "first", YEARS, at=at)
+    store = runs.Runs(spark, f"{folder}/done")
+    store.write("lost", "enriched", store.read("enriched"))
+    runs.enrich_run(spark, f"{folder}/all.csv", f"{folder}/done", landed, "second", YEARS, at=at)
+    log, rows = store.read("log"), store.read("enriched")
+    every = rows.agg(F.count(F.lit(1)).alias("enriched"))
+    return log.select("run", "id", "ok").join(every)
+
+
 # User functions
 
 def _share(row: dict[str, Any]) -> int:
@@ -684,7 +711,7 @@ def stream_adaptive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _, checkpoint = _folders(spark, "progress")
+    folders = _folders(spark, "progress")
     log = _stream(spark, sf_dir, "events", inputs.RUN_LOG)
-    jobs.progress_stream(log, out, checkpoint).awaitTermination()
-    return jobs.latest(jobs.read_batches(spark, out), ["run"])
+    jobs.progress_stream(log, *folders).awaitTermination()
+    return jobs.latest(jobs.read_batches(spark, folders[0]), ["run"]).drop("last")

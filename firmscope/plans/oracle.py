@@ -650,6 +650,7 @@ def statements() -> dict[str, str]:
             f"SELECT document_id, m AS digits, {plausible()} AS plausible FROM found WHERE m <> ''"
         ),
         "document_headcount": f"WITH {COUNTS} SELECT document_id, coalesce(tagged_n, said_n) AS headcount FROM counts",
+        "packed_documents": f"WITH {COUNTS} SELECT document_id, coalesce(tagged_n, said_n) AS headcount FROM counts",
         "fresh_lookup": f"WITH {FRESH} SELECT * FROM fresh",
         "lookup_misses": f"WITH {FRESH} SELECT DISTINCT prefix, key FROM snapshots EXCEPT SELECT prefix, key FROM fresh",
         "enrich_companies": f"WITH {ENRICHED} SELECT * FROM enriched",
@@ -660,6 +661,10 @@ def statements() -> dict[str, str]:
             "(count(*) FILTER (WHERE NOT ok) OVER ()) AS failed FROM log"
         ),
         "stream_kept_lookups": f"WITH {ENRICHED} SELECT * FROM enriched",
+        "enrich_committed_runs": (
+            f"WITH {ENRICHED} SELECT CASE WHEN CompanyStatus = 'Active' THEN 'first' ELSE 'second' END AS run, "
+            f"CompanyNumber AS id, {FOUND} AS ok, count(*) OVER () AS enriched FROM enriched"
+        ),
         "stream_run_log": f"WITH {ENRICHED} SELECT 'stream' AS run, CompanyNumber AS id, {FOUND} AS ok FROM enriched",
         "enrich_with_location": (
             f"WITH {COMPANIES}, {PROFILES}, {GAZETTEERS}, asked AS (SELECT company_number, {address()} AS address FROM profiles) "

@@ -19,7 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from firmscope.operators import expiry
 from firmscope.operators.expiry import newest_answers
 from firmscope.operators.lookup import DEFAULT_LIFETIME, LIFETIMES
+from firmscope.operators.ordered import micros
 from firmscope.operators.shaping import adaptive_rate, token_bucket_step
+from firmscope.operators.wanted import only_wanted
 from firmscope.plans.enrich import Lookups, attach
 from firmscope.shared import pin, stored
 
@@ -128,18 +130,45 @@ def write_stream(
     return _run(rows, step, checkpoint)
 
 
-def progress_stream(log: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Counts per run, written for the runs that a batch changed."""
-    counts = log.groupBy("run").agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("ok")).alias("successful"),
-        F.count_if(~F.col("ok")).alias("failed"),
-    )
+def progress_stream(
+    log: DataFrame, out: str, state_path: str, checkpoint: str, idle: int = 86_400
+) -> StreamingQuery:
+    """Counts per run, written for the runs that a batch changed.
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_folder(out, batch_id))
+    The state holds the runs that are going on. One that logs nothing while
+    ``idle`` seconds pass in the log has ended and leaves the state; a row that
+    comes later still finds its counts in what was written, so it opens again
+    exactly where it stood.
+    """
 
-    return _run(counts, step, checkpoint, mode="update")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        counted = batch.groupBy("run").agg(
+            F.count(F.lit(1)).alias("processed"),
+            F.count_if(F.col("ok")).alias("successful"),
+            F.count_if(~F.col("ok")).alias("failed"),
+            F.max(micros(batch, "ts")).alias("last"),
+        )
+        counted = stored(counted.withColumn("_changed", F.lit(True)), "counts")
+        known = counted.limit(0)
+        if batch_id:
+            known = spark.read.parquet(_folder(state_path, batch_id - 1)).withColumn("_changed", F.lit(False))
+            ended = counted.select("run").join(known, "run", "left_anti")
+            written = read_batches(spark, out).filter(F.col("batch") < batch_id)
+            written = latest(only_wanted(written, F.col("run"), ended), ["run"]).join(ended, "run", "left_semi")
+            known = known.unionByName(written.withColumn("_changed", F.lit(False)))
+        merged = known.unionByName(counted).groupBy("run").agg(
+            *(F.sum(c).alias(c) for c in ("processed", "successful", "failed")),
+            F.max("last").alias("last"), F.max("_changed").alias("_changed"),
+        )
+        merged = stored(merged, "progress")
+        merged.filter("_changed").drop("_changed").write.mode("overwrite").parquet(_folder(out, batch_id))
+        clock = F.lit(merged.agg(F.max("last")).first()[0]).cast("bigint")
+        # A run without a name is told by no bitmap and stays.
+        going_on = F.col("run").isNull() | F.coalesce(F.col("last") >= clock - idle * 1_000_000, F.lit(True))
+        merged.filter(going_on).drop("_changed").write.mode("overwrite").parquet(_folder(state_path, batch_id))
+
+    return _run(log, step, checkpoint)
 
 
 def latest(batches: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -108,3 +108,29 @@ def test_landed_documents_are_counted(spark, tmp_path):
     (tmp_path / "D3.pdf").write_bytes(b"%PDF-1.4 Employees: 5")
     counted = document_headcounts(filing_documents(spark, str(tmp_path)))
     assert {r.document_id: r.headcount for r in counted.collect()} == {"D1": 12, "D2": 34, "D3": None}
+
+
+def test_documents_in_archives(spark, tmp_path):
+    """Archives beside single files; odd names, texts, empty ones, several archives."""
+    from firmscope.sources.landed import pack_documents, packed_documents
+
+    rows = [(f"D/{k} ä.x", None if k % 3 else f"<html>{k}".encode(), f"text {k}" if k % 3 == 1 else None) for k in range(40)]
+    rows += [("empty", b"", None), ("void", None, None), (None, b"x", None)]
+    docs = spark.createDataFrame(rows, "document_id string, content binary, text string").coalesce(1)
+    archives = pack_documents(docs, 60)
+    assert archives.count() > 3
+    got = {r.document_id: (bytes(r.content), r.text) for r in packed_documents(archives).collect()}
+    assert got == {
+        number: (text.encode() if content is None else content, None if content is not None else text)
+        for number, content, text in rows
+        if number and (content is not None or text is not None)
+    }
+    for k, row in enumerate(archives.collect()):
+        (tmp_path / f"{k}.TAR").write_bytes(row.content)
+    (tmp_path / "single.txt").write_text("Employees: 7")
+    every = filing_documents(spark, str(tmp_path))
+    assert every.count() == len(got) + 1
+    assert [r.text for r in every.filter("document_id = 'single'").collect()] == ["Employees: 7"]
+    (tmp_path / "broken.tar").write_bytes(b"no archive")
+    with pytest.raises(Exception, match="ReadError"):
+        filing_documents(spark, str(tmp_path)).count()

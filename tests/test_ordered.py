@@ -266,6 +266,21 @@ def test_slice(spark):
     assert slice(200, None) == []
 
 
+@pytest.mark.parametrize("sampled", [8, 4_000])
+def test_slices_against_sorted_rows(spark, monkeypatch, sampled):
+    """Missing values first, several columns, copies, large ranges cut again; parts at both ends and between."""
+    monkeypatch.setattr(ordered, "SAMPLED", sampled)
+    monkeypatch.setattr(ordered, "RANGE_ROWS", 40)
+    luck = random.Random(6)
+    rows = [(luck.choice([None, "", "a", "b", "ü"]), luck.choice([None, *range(30)]), None) for _ in range(500)]
+    df = spark.createDataFrame(rows, "s string, n int, x double").repartition(4)
+    want = sorted(rows, key=lambda r: ((r[0] is not None, (r[0] or "").encode()), (r[1] is not None, r[1] or 0)))
+    for start, length in ((0, 5), (3, 200), (120, 1), (250, None), (0, None), (499, 10), (500, 3), (37, 0)):
+        got = ordered.slice_rows(df, start, length, "s", "n").collect()
+        end = None if length is None else start + length
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want[start:end]))
+
+
 def test_slices_of_tied_rows_agree_at_any_length(spark):
     df = spark.range(3_000).select((F.col("id") % 3).alias("key"), "id")
     short = [r.id for r in ordered.slice_rows(df, 5, 20, "key").collect()]

@@ -56,12 +56,42 @@ def test_adaptive_stream_equals_table(spark, landing, tmp_path):
 
 def test_progress_stream(spark, landing, tmp_path):
     log = stream(spark, landing).withColumnRenamed("k", "run")
-    jobs.progress_stream(log, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    got = jobs.latest(jobs.read_batches(spark, str(tmp_path / "out")), ["run"])
+    folders = [str(tmp_path / name) for name in ("out", "state", "check")]
+    jobs.progress_stream(log, *folders).awaitTermination()
+    got = jobs.latest(jobs.read_batches(spark, folders[0]), ["run"]).drop("last")
     want = spark.read.parquet(landing).groupBy("k").agg(F.count("*"), F.count_if("ok"), F.count_if(~F.col("ok")))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
 
 
+def test_ended_runs_leave_the_state_and_open_again(spark, tmp_path):
+    """Over restarts: a run that is idle is not kept, a late row finds its counts."""
+    path = str(tmp_path / "log")
+    folders = [str(tmp_path / name) for name in ("out", "state", "check")]
+    landings = [
+        [("a", 0, True), ("a", 1, False), (None, 0, True), ("untimed", None, True)],
+        [("b", 5, True)],
+        [("c", 30, True), ("b", 6, False)],
+        [("a", 2, True), ("d", 31, True), (None, 31, False)],
+        [("c", 60, True)],
+        [("a", 3, False), ("untimed", None, False)],
+    ]
+    # Runs that are going on: heard of within ten hours of the newest row.
+    kept = [{"a", None, "untimed"}, {"a", "b", None, "untimed"}, {"c", None, "untimed"}, {"c", "d", None, "untimed"}, {"c", None, "untimed"}, {"c", None, "untimed"}]
+    seen = {}
+    for batch, rows in enumerate(landings):
+        df = spark.createDataFrame(rows, "run string, hour int, ok boolean")
+        df = df.selectExpr("run", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, hour) AS ts", "ok")
+        df.coalesce(1).write.mode("append").parquet(path)
+        jobs.progress_stream(stream(spark, path), *folders, idle=36_000).awaitTermination()
+        for run, _, ok in rows:
+            n, good, bad = seen.get(run, (0, 0, 0))
+            seen[run] = n + 1, good + ok, bad + (not ok)
+        got = jobs.latest(jobs.read_batches(spark, folders[0]), ["run"]).collect()
+        assert {r.run: (r.processed, r.successful, r.failed) for r in got} == seen
+        state = spark.read.parquet(f"{folders[1]}/batch={batch}")
+        assert {r.run for r in state.collect()} == kept[batch]
+
+
 def requests_of(spark, path, rows, one_file):
     df = spark.createDataFrame(rows, "prefix string, key string, hour int")
     df = df.selectExpr("prefix", "key", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, hour) AS asked")
