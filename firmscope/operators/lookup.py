@@ -56,9 +56,12 @@ def with_number(companies: DataFrame) -> DataFrame:
     return companies.withColumn("company_number", pad_number(F.col("CompanyNumber")))
 
 
-def join_profiles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
+def join_profiles(companies: DataFrame, profiles: DataFrame, laid_out: bool = False) -> DataFrame:
     """Every company, with its profile's columns (null when it has none).
 
+    ``laid_out`` says that the profiles lie in buckets of their number, which
+    are then read as they are; else Spark may split a frequent company.
+
     Of several profiles of a number the one fetched last counts, where the
     table says so in ``fetched_at``; else, and among equals, one picked by hash.
     """
@@ -68,18 +71,22 @@ def join_profiles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
         age = -F.coalesce(micros(profiles, "fetched_at"), F.lit(-(1 << 62)).cast("bigint"))
         order = F.struct(age, digest)
     unique = one_per_key(profiles, "company_number", order)
-    return with_number(companies).join(
-        splittable(unique, "company_number"), "company_number", "left"
-    )
+    if not laid_out:
+        unique = splittable(unique, "company_number")
+    return with_number(companies).join(unique, "company_number", "left")
 
 
-def join_filings(companies: DataFrame, filings: DataFrame) -> DataFrame:
+def join_filings(companies: DataFrame, filings: DataFrame, laid_out: bool = False) -> DataFrame:
     """Every company with each of its filings; one row of nulls when it has none.
 
     An inner join plus the companies without filings, because Spark can split
-    a frequent company in these two and could not in one outer join.
+    a frequent company in these two and could not in one outer join. With
+    ``laid_out`` the filings lie in buckets of their number, and one outer join
+    reads them once, as they are.
     """
     numbered = with_number(companies)
+    if laid_out:
+        return numbered.join(filings, "company_number", "left")
     matched = numbered.join(filings, "company_number")
     known = filings.select("company_number").distinct()
     unmatched = numbered.join(

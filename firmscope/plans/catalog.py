@@ -19,7 +19,7 @@ from firmscope.plans import jobs as file_jobs
 from firmscope.plans import runs
 from firmscope.shared import new_folder
 from firmscope.sources import landed as services
-from firmscope.sources import tables
+from firmscope.sources import layout, tables
 from firmscope.streaming import jobs, kept
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +238,26 @@ def filing_documents_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("company_number", "seq", "document_id", "size")
 
 
+@query
+def laid_out_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies with profiles, filings and documents that lie in buckets of their keys."""
+    base = new_folder(spark, "laid_out")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def laid(df: DataFrame, name: str, key: str) -> DataFrame:
+        return layout.write_buckets(df, f"{base}/{name}", key, buckets)
+
+    profiles = laid(inputs.profiles(spark, sf_dir), "profiles", "company_number")
+    filings = laid(inputs.filings(spark, sf_dir), "filings", "company_number")
+    docs = laid(inputs.filing_docs(spark, sf_dir), "docs", "document_id")
+    known = lookup.join_profiles(inputs.companies(spark, sf_dir), profiles, laid_out=True)
+    known = known.select("CompanyNumber", "company_status")
+    filed = lookup.with_document_id(lookup.join_filings(known, filings, laid_out=True))
+    size = F.length(F.coalesce(F.decode("content", "UTF-8"), "text")).cast("bigint")
+    read = lookup.join_documents(filed, docs, size.alias("size"))
+    return read.select("CompanyNumber", "company_status", "seq", "document_id", "size")
+
+
 @query
 def official_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = lookup.official_sites(inputs.search_results(spark, sf_dir))

@@ -532,6 +532,14 @@ def statements() -> dict[str, str]:
             "SELECT company_number, seq, document_id, length(coalesce(tagged, text)) AS size FROM named JOIN docs USING (document_id) "
             "WHERE length(coalesce(tagged, text, '')) > 0"
         ),
+        "laid_out_joins": (
+            f"WITH {COMPANIES}, {PROFILES}, {FILINGS}, {DOCS}, "
+            "named AS (SELECT *, regexp_extract(link, '([^/]*)$', 1) AS document_id FROM filings WHERE link <> '') "
+            f"SELECT CompanyNumber, company_status, seq, document_id, length(coalesce(tagged, text)) AS size FROM companies "
+            f"LEFT JOIN profiles p ON p.company_number = {padded('CompanyNumber')} "
+            f"JOIN named n ON n.company_number = {padded('CompanyNumber')} JOIN docs USING (document_id) "
+            "WHERE length(coalesce(tagged, text, '')) > 0"
+        ),
         "official_site": (
             f"WITH {COMPANIES}, {PICKED} SELECT CompanyNumber, CompanyName, company_url "
             "FROM companies LEFT JOIN picked ON company_name = CompanyName"
