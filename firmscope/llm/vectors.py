@@ -11,6 +11,13 @@ Candidates are ranked again by the exact cosine in double precision.
 Equal vectors are one class. A link is counted in one list only, even where
 both ends probe each other's list, and a list's tasks give link counts and a
 spanning forest, not the links. Lists are cut into tiles of bounded size.
+
+The first centroids are few enough to be sent to every task. Where they are
+not enough, each list that is too long is divided by centroids of its own,
+learned from a sample of its vectors in a task of its own and kept as a table
+that the vectors are joined with; a query then looks into the nearest parts of
+the lists that it probes. So a query meets about as many vectors however many
+there are.
 """
 
 from __future__ import annotations
@@ -36,8 +43,12 @@ COSINE = 0.95
 PROBES = 8
 SUBSPACES = 8
 CODES = 64
-#: Vectors of a list on average, and most lists of one length; beyond that lists grow.
+#: Vectors of a list on average, and most lists of one length at the first level.
 PER_LIST, MOST_LISTS = 400, 4096
+#: A list longer than so many times ``PER_LIST`` is divided, into so many parts at most.
+LONG, MOST_PARTS = 3, 1 << 11
+#: Numbers of a list and its parts: the list's is a multiple, the parts' follow.
+PARTS = 1 << 12
 #: Added to an id, so that all are written with as many digits and no sign.
 _UP = Decimal(1 << 63)
 #: In place of those digits where all rows of a vector lack an id; behind all digits.
@@ -140,7 +151,7 @@ def _read(embeddings: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def _assigned(classes: DataFrame, model: bytes, double: bool, probes: int) -> DataFrame:
-    """Each class with the lists it probes, its own first."""
+    """Each class with the lists it probes, its own first, and their centroids' squared distances."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = _model(model)
@@ -150,10 +161,58 @@ def _assigned(classes: DataFrame, model: bytes, double: bool, probes: int) -> Da
                 own = batch.filter(pa.array(sizes == size))
                 x = _unit(own.column(2).to_pylist(), double)
                 first, centroids, _ = models.of(x.shape[1])
-                near = first + _nearest(x, centroids, min(probes, len(centroids)))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(list(near), pa.list_(pa.int32()))], [*own.schema.names, "lists"])
-
-    return classes.select("id", "n", "vector").mapInArrow(run, "id string, n long, vector binary, lists array<int>")
+                near = _nearest(x, centroids, min(probes, len(centroids)))
+                far = ((x[:, None, :] - centroids[near]) ** 2).sum(2)
+                columns = [*own.columns, pa.array(list((first + near.astype(np.int64)) * PARTS), pa.list_(pa.int64()))]
+                columns.append(pa.array(list(far), pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, "lists", "far"])
+
+    return classes.select("id", "n", "vector").mapInArrow(run, "id string, n long, vector binary, lists array<long>, far array<double>")
+
+
+def _divided(assigned: DataFrame, double: bool, probes: int) -> DataFrame:
+    """The same with parts of long lists in their place, as many of the nearest as ``probes``."""
+    sizes = assigned.groupBy(F.col("lists")[0].alias("list")).agg(F.count("*").alias("size"))
+    parts = F.least(F.lit(MOST_PARTS), F.ceil(F.col("size") / PER_LIST)).cast("int")
+    tiles = F.ceil(F.col("size") * probes / ASKING).cast("int")
+    long = sizes.filter(F.col("size") > LONG * PER_LIST)
+    long = stored(long.select(F.col("list").alias("l"), "size", parts.alias("parts"), tiles.alias("tiles")), "long")
+    if not long.take(1):
+        return assigned
+    members = assigned.select(F.col("lists")[0].alias("list"), "id", "vector").join(long, F.col("list") == F.col("l"))
+    members = members.filter(luck("parts", "id") < SAMPLE_PER_LIST * F.col("parts") / F.col("size"))
+
+    def learn(table: pa.Table) -> pa.Table:
+        x = _unit(table.sort_by("id")["vector"].to_pylist(), double)
+        centres = _means(x, table["parts"][0].as_py(), 8, 1).astype(np.float32)
+        return pa.table([table["list"][:1], pa.array([centres.tobytes()], pa.binary())], ["list", "centres"])
+
+    centres = members.select("list", "id", "vector", "parts").groupBy("list").applyInArrow(tidied(learn), "list long, centres binary")
+    centres = stored(centres, "parts").join(long, F.col("list") == F.col("l"))
+    every = centres.select("list", "centres", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+    probed = assigned.select("id", "vector", F.explode(F.arrays_zip("lists", "far")).alias("p"))
+    probed = probed.select("id", "vector", F.col("p.lists").alias("list"), F.col("p.far").alias("far"))
+    probed = probed.join(long, F.col("list") == F.col("l"), "left")
+    tile = F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("tiles")).cast("int").alias("tile")
+    asking = probed.filter("tiles is not null").select("id", "vector", "list", tile)
+
+    def near(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return pa.table([pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["id", "list", "far"])
+        x = _unit(left["vector"].to_pylist(), double)
+        centres = np.frombuffer(right["centres"][0].as_py(), np.float32).reshape(-1, x.shape[1]).astype(np.float64)
+        found = _nearest(x, centres, min(probes, len(centres)))
+        far = ((x[:, None, :] - centres[found]) ** 2).sum(2)
+        ids = left["id"].combine_chunks().take(pa.array(np.repeat(np.arange(len(x)), found.shape[1])))
+        return pa.table([ids, pa.array((left["list"][0].as_py() + 1 + found.astype(np.int64)).ravel()), pa.array(far.ravel())], ["id", "list", "far"])
+
+    found = asking.groupBy("list", "tile").cogroup(every.groupBy("list", "tile"))
+    found = found.applyInArrow(tidied(near), "id string, list long, far double")
+    found = found.union(probed.filter("tiles is null").select("id", "list", "far"))
+    nearest = F.slice(F.array_sort(F.collect_list(F.struct("far", "list"))), 1, probes)
+    chosen = found.groupBy(F.col("id").alias("of")).agg(nearest.alias("near"))
+    rows = assigned.select("id", "n", "vector").join(chosen, F.col("id") == F.col("of"))
+    return stored(rows.select("id", "n", "vector", F.col("near.list").alias("lists")), "divided")
 
 
 @lru_cache(maxsize=2)
@@ -205,10 +264,9 @@ def _searched(model: bytes, double: bool, cosine: float):
         asks = table["asks"].combine_chunks().to_numpy(zero_copy_only=False)
         x = _unit(table["vector"].to_pylist(), double)
         first, centroids, books = _model(model).of(x.shape[1])
-        centroid = centroids[table["list"][0].as_py() - first]
+        centroid = centroids[table["list"][0].as_py() // PARTS - first]
         n = table["n"].to_numpy()
-        flat = table["lists"].combine_chunks()
-        lists = flat.flatten().to_numpy().reshape(len(x), -1)
+        lists = _even(table["lists"].combine_chunks())
         names, who = np.unique(np.array(table["id"].to_pylist(), "U52"), return_inverse=True)
         q, c = np.flatnonzero(asks), np.flatnonzero(~asks)
         rest = x - centroid
@@ -246,6 +304,14 @@ def _searched(model: bytes, double: bool, cosine: float):
     return run
 
 
+def _even(lists: pa.ListArray) -> np.ndarray:
+    """Lists as rows of one length, filled up with the least number there is."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(lists), int(sizes.max(initial=1))), np.iinfo(np.int64).min)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
 def _coded(rest: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of residuals and the distance that each code is off."""
     codes = np.zeros((len(rest), SUBSPACES), np.int32)
@@ -279,6 +345,7 @@ def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, probes: int =
     sample = classes.filter(luck("train", "vector") < share).select("id", "vector").orderBy("id").toArrow()
     model = pickle.dumps(Models(_trained(sample["vector"].to_pylist(), double, share)))
     assigned = stored(_assigned(classes, model, double, probes), "assigned")
+    assigned = _divided(assigned, double, probes)
     tiles = _tiles(assigned).groupBy("list", "a", "c")
     found = stored(tiles.applyInArrow(tidied(_searched(model, double, cosine)), "id string, root string, links long"), "found")
     counts = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "linked")

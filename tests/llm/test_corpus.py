@@ -96,6 +96,25 @@ def test_vectors_probe_enough(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in vectors.linked_vectors(df).collect()} == plain
 
 
+def test_long_lists_are_divided(spark, monkeypatch):
+    """Few first lists for many vectors: parts are probed, nearly no link is lost and none made up."""
+    monkeypatch.setattr(vectors, "PER_LIST", 20)
+    monkeypatch.setattr(vectors, "MOST_LISTS", 8)
+    monkeypatch.setattr(vectors, "ASKING", 300)
+    monkeypatch.setattr(vectors, "TILE", 15)
+    luck = np.random.default_rng(2)
+    centres = luck.normal(size=(500, 16))
+    x = np.concatenate([centres + luck.normal(size=centres.shape) * s for s in (0.0, 0.05, 0.12, 0.2, 0.25)])
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = {r.vec_id: r for r in vectors.linked_vectors(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = (unit @ unit.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    got = np.array([found[k].n_links for k in range(len(x))])
+    assert (got <= linked.sum(1)).all() and got.sum() >= 0.97 * linked.sum() > 1000
+    groups = brute.classes(list(range(len(x))), linked)
+    assert sum(found[k].component_id == groups[k] for k in groups) >= 0.97 * len(x)
+
+
 def test_vectors_of_several_lengths(spark):
     """Links of a rarer length are kept, also of one that no sample holds."""
     common, rare = [1.0, 0.0, 0.0], [0.0, 1.0]
