@@ -140,6 +140,28 @@ def test_quality_learns(spark, documents, labels):
     assert good > 0.9
 
 
+def test_quality_of_rows_not_learned_from(spark):
+    """Fitted on labels of other rows only: good rows stay, bad ones go."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    judged = quality.judge(docs, quality.fit(docs, labels.filter(~out))).join(labels.filter(out), "doc_id")
+    kept = {r.quality: r.kept for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept[1] > 0.9 and kept[0] < 0.1
+
+
+def test_long_labelled_rows_are_learned_from(spark):
+    """Where only long rows tell good from bad."""
+    luck = np.random.default_rng(0)
+    good, bad = ([f"{name}{k}" for k in range(40)] for name in ("calm", "spam"))
+    rows = [(k, " ".join(luck.choice(bad if k % 2 else good, 6_000)), 1 - k % 2) for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(table.select("doc_id", "text"), table.select("doc_id", "quality"))
+    fresh = [(1, " ".join(good)), (2, " ".join(bad))]
+    found = rows_by_id(quality.judge(spark.createDataFrame(fresh, "doc_id long, text string"), model))
+    assert found[1].kept and not found[2].kept
+
+
 def test_toxicity(spark):
     sf = "/root/testdata/sf0.1"
     found = queries.QUERIES["op6_toxicity"](spark, sf)
@@ -230,6 +252,36 @@ def test_language(spark):
     assert judged.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
 
 
+def test_language_against_one_word_at_a_time(spark, documents, texts):
+    """Posteriors from each word's own marginals, which are checked against all segmentations elsewhere."""
+    import pickle
+
+    model = language.fit(documents, size=30)
+    langs, path, scores = pickle.loads(model)
+    found = rows_by_id(language.predict(documents, model))
+    known = {}
+    for doc_id, text in texts[:60]:
+        total = np.zeros(len(langs))
+        for word in language.words_of(text):
+            if word not in known:
+                known[word] = lattice.log_marginals(lattice.pieces(path), [word.encode()], scores)[0]
+            total += known[word]
+        row = found[doc_id]
+        if not language.words_of(text):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        odds = np.exp(total - total.max())
+        assert row.lang_pred == langs[int(np.argmax(total))]
+        assert row.score == pytest.approx(odds.max() / odds.sum(), rel=1e-3)
+
+
+def test_language_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = queries.QUERIES["op8_language_id"](spark, sf).filter("held_out and lang_pred != 'und'").join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.95
+
+
 def test_language_without_ids(spark, documents):
     """Rows without an id, or with one id in bulk, are sampled one by one."""
     for name in (F.lit(None).cast("long"), F.lit(9)):
