@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Positions of the bitmap, 8 MB at most: 6 million keys let one other row in eleven through, and
 #: where there are very many more all rows pass, which is then what most of them should.
 BITS = 1 << 26
+#: Fewest positions, and bytes of a table, as Spark estimates them, to one position.
+FEW, BYTES = 1 << 18, 8
 #: Positions that one of Spark's bitmaps holds.
 BUCKET = 32_768
 
@@ -24,6 +26,12 @@ def _position(key: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
 
 
+def positions(table: DataFrame) -> int:
+    """A number of positions that suits a table, by Spark's estimate of its size; no job runs for it."""
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(BITS, max(FEW, 1 << (size // BYTES).bit_length()))
+
+
 def bitmap(keys: DataFrame, bits: int = BITS) -> DataFrame:
     """One row with the bitmap of the keys in the only column of ``keys``, cut into buckets.
 
@@ -51,6 +59,7 @@ def may_be_in(key: Column, bitmap: DataFrame, bits: int = BITS) -> Column:
     return key.isNotNull() & F.coalesce(found, F.lit(False))
 
 
-def only_wanted(table: DataFrame, key: Column, keys: DataFrame, bits: int = BITS) -> DataFrame:
+def only_wanted(table: DataFrame, key: Column, keys: DataFrame, bits: int | None = None) -> DataFrame:
     """The rows whose key may be one of ``keys``, a table of one column; a missing key is never wanted."""
+    bits = bits or positions(table)
     return table.filter(may_be_in(key, bitmap(keys, bits), bits))

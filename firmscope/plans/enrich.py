@@ -20,7 +20,7 @@ from firmscope.operators.lookup import (
     splittable,
     with_number,
 )
-from firmscope.operators.wanted import bitmap, may_be_in, only_wanted
+from firmscope.operators.wanted import bitmap, may_be_in, only_wanted, positions
 from firmscope.sources.tables import require_columns
 
 YEARS = (2024, 2023, 2022)
@@ -122,14 +122,15 @@ def narrowed(landed: Landed, companies: DataFrame) -> Landed:
     Of documents and pages ``headcount_by_year`` and ``company_sites`` read
     those that the remaining filings and hits name.
     """
-    numbers = bitmap(with_number(companies).select("company_number"))
-    names = bitmap(companies.select("CompanyName"))
-    numbered = may_be_in(F.col("company_number"), numbers)
+    bits = positions(companies)
+    numbers = bitmap(with_number(companies).select("company_number"), bits)
+    names = bitmap(companies.select("CompanyName"), bits)
+    numbered = may_be_in(F.col("company_number"), numbers, bits)
     return replace(
         landed,
         profiles=landed.profiles.filter(numbered),
         filings=landed.filings.filter(numbered),
-        search_results=landed.search_results.filter(may_be_in(F.col("company_name"), names)),
+        search_results=landed.search_results.filter(may_be_in(F.col("company_name"), names, bits)),
     )
 
 

@@ -23,7 +23,7 @@ from firmscope.operators.ordered import micros
 from firmscope.operators.shaping import adaptive_rate, token_bucket_step
 from firmscope.operators.wanted import only_wanted
 from firmscope.plans.enrich import Lookups, attach
-from firmscope.shared import pin, stored
+from firmscope.shared import stored
 
 Callback = Callable[[DataFrame, int], None]
 
@@ -71,7 +71,7 @@ def enrich_stream(
     costs two joins with what its companies need and does not read documents or
     pages again. ``on_batch`` is called with each batch's result once written.
     """
-    ready = lookups.each(pin)
+    ready = lookups.each(lambda lookup: stored(lookup, "lookup"))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         folder = _folder(out, batch_id)

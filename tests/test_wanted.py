@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from firmscope.operators import wanted
 from firmscope.operators.wanted import only_wanted
 
 
@@ -36,3 +37,10 @@ def test_keys_of_any_type(spark):
     wanted = spark.range(0, 1_000, 100)
     found = {r.id for r in only_wanted(table, F.col("id"), wanted).collect()}
     assert set(range(0, 1_000, 100)) <= found and len(found) < 20
+
+
+def test_positions_follow_the_table(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "few"))
+    spark.range(2_000_000).write.parquet(str(tmp_path / "many"))
+    few, many = (wanted.positions(spark.read.parquet(str(tmp_path / name))) for name in ("few", "many"))
+    assert few == wanted.FEW < many <= wanted.BITS
