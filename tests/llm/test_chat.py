@@ -72,7 +72,7 @@ def trees():
         for node in range(int(luck.integers(1, 40))):
             parent = int(luck.integers(0, node)) if node else None
             rows.append((f"t{tree}", node, parent, ["user", "assistant"][node % 2], f"{tree} {node} <|x <\\| {HARD}", float(luck.integers(0, 3))))
-    rows += [("chain", k, k - 1 if k else None, "assistant", f"c{k}", None) for k in range(300)]
+    rows += [("chain", k, k - 1 if k else None, "assistant", f"c{k}", None) for k in range(70)]
     rows += [("star", k, 0 if k else None, None, None, float(k % 5)) for k in range(300)]
     rows += [("odd", 1, 2, "a", "x", 0.0), ("odd", 2, 1, "a", "x", 0.0), ("odd", 3, 1, "a", "x", 0.0), ("odd", 4, 99, "a\nb\\n<|c", "\n", 0.0)]
     rows += [("odd", 5, 4, "b", "y", 0.0), ("circle", 1, 1, "a", "z", 0.0)]
