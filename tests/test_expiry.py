@@ -35,7 +35,7 @@ def found(spark, rows, ranges, last=()):
 DAYS = {"ddg_search": 1, "website_desc": 7, "geocode": 30}
 
 
-@pytest.mark.parametrize("ranges", [2, 7, 40])
+@pytest.mark.parametrize("ranges", [2, 40])
 def test_equals_asking_one_by_one(spark, ranges):
     """A key with half of all requests, others with few, missing names and times, repeats."""
     luck = random.Random(4)
@@ -54,9 +54,9 @@ def test_equals_asking_one_by_one(spark, ranges):
 def test_long_chains_and_edges(spark):
     """A request exactly at the end of the lifetime counts; chains of any length are followed to their end."""
     day = 24 * HOUR
-    rows = [("ddg_search", "long", k * day) for k in range(300)] + [("ddg_search", "edge", k) for k in (0, day - 1, day, 2 * day - 1, 2 * day)]
-    assert found(spark, rows, 5) == sequential(rows, DAYS, {})
-    assert len(found(spark, rows, 5)) == 303
+    rows = [("ddg_search", "long", k * day) for k in range(60)] + [("ddg_search", "edge", k) for k in (0, day - 1, day, 2 * day - 1, 2 * day)]
+    got = found(spark, rows, 5)
+    assert got == sequential(rows, DAYS, {}) and len(got) == 63
 
 
 def test_nothing_to_ask(spark):
