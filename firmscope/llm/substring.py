@@ -4,17 +4,23 @@ Documents lie in reference blocks. Every block is indexed: of each window of
 ``WINDOW`` words the rarest-hashed run of ``GRAM`` words inside it is its
 anchor, and blocks meet by their anchors, so two blocks that share a window
 share its anchor. Windows whose anchor occurs twice anywhere are looked up in
-the index of all blocks by their hash, which gives the first place of their
-words. A document is then parsed from left to right: where a window has an
-earlier place a factor begins, and it runs on as long as the next window's
-first place is the next one too. A factor's source may change inside a copied
-stretch, so the windows that reach over a factor's end are looked up like any
-other, and the next factor begins with the first of them that has a source.
-The words of all factors go.
-
-Hashes of windows have 96 bits. Only anchors, and windows whose anchor
-repeats, are shuffled; equal ones of a block count once, so a passage that a
-third of all documents share costs one row per block.
+the index of all blocks by their hash, which gives where a factor may begin and
+its source: the first place in the block, or for that one the first of all.
+
+A factor is then read word by word against its source. Its words, and as many
+again while windows have an earlier place, go to the source's block, which
+tells how far they agree; sources in the own block are read there. A document
+is parsed from left to right with the lengths that were read: the factor that
+is reached first is taken as long as it is, factors inside it are passed over,
+and at its end the next one that goes further is taken, be it that it begins
+before that end, for windows that reach over the border. Factors of fewer than
+``WINDOW`` agreeing words are none. The words of all factors taken go.
+
+Hashes of windows have 96 bits and only propose; words decide. Only anchors,
+windows whose anchor repeats and words of proposed factors are shuffled; equal
+windows of a block count once, so a passage that a third of all documents share
+costs one row per block. What is asked of one block is read in parts of
+``ASKED_BYTES``.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import block_count, block_of, packed, tidied, unpacked
@@ -33,6 +39,8 @@ from .words import OTHER, SPACE, spans, stretches, words
 WINDOW = 20
 GRAM = 8
 BLOCK_BYTES = 1 << 22
+#: Bytes of proposed factors that a block reads at once.
+ASKED_BYTES = 1 << 25
 #: Stands for a null id, after all others. Words of such rows are numbered on from block to block.
 NO_ID = np.iinfo(np.int64).max
 SHIFT = 32
@@ -50,8 +58,13 @@ class Block:
         self.rows = unpacked(table["stream"])
         ids = self.rows["doc_id"].combine_chunks().cast(pa.int64()).fill_null(NO_ID).to_numpy()
         hashes, others, counts = [], [], []
+        texts, begins, ends, size = [], [], [], 0
         for _, _, data, offsets in stretches(self.rows["text"].combine_chunks()):
             found = words(data, offsets)
+            texts.append(data.tobytes())
+            begins.append(found.starts + size)
+            ends.append(found.ends + size)
+            size += len(data)
             hashes.append(spans(data, found.starts, found.ends))
             others.append(spans(data, found.starts, found.ends, OTHER))
             counts.append(found.counts)
@@ -59,6 +72,10 @@ class Block:
         self.firsts = np.concatenate(([0], np.cumsum(self.counts)))
         self.hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.others = np.concatenate(others) if others else np.zeros(0, np.uint64)
+        #: All texts end to end, and where each word lies in them.
+        self.data = b"".join(texts)
+        self.begins = np.concatenate(begins) if begins else np.zeros(0, np.int64)
+        self.ends = np.concatenate(ends) if ends else np.zeros(0, np.int64)
         self.key = np.repeat(ids, self.counts)
         new_id = np.concatenate(([True], ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, bool)
         base = np.maximum.accumulate(np.where(new_id, self.firsts[:-1], 0)) if len(ids) else self.firsts[:-1]
@@ -69,6 +86,19 @@ class Block:
         #: First words of all windows inside one text.
         self.windows = np.flatnonzero(text[:size] == text[WINDOW - 1 :]) if size > 0 else np.zeros(0, np.int64)
 
+    def piece(self, start: int, stop: int) -> bytes:
+        """The text from one word to the one before another."""
+        return self.data[self.begins[start] : self.ends[stop - 1]] if stop > start else b""
+
+    def agreeing(self, at: int, text: bytes, n: int) -> int:
+        """How many of the n words of a text stand at a word and after it in its row."""
+        row_end = self.firsts[np.searchsorted(self.firsts, at, "right")]
+        own = self.piece(at, min(at + n, row_end))
+        if own == text:
+            return n
+        pairs = zip(own.split(), text.split(), strict=False)
+        return next((k for k, (a, b) in enumerate(pairs) if a != b), int(min(n, row_end - at)))
+
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the run of ``GRAM`` words at each word, and the smallest inside each place's window."""
         size = max(len(self.hashes) - GRAM + 1, 0)
@@ -139,8 +169,8 @@ def _index_windows(left: pa.Table, right: pa.Table) -> pa.Table:
     )
 
 
-def _sources(block: Block, found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words of windows with an earlier place, and the id and number of that place's word."""
+def _sources(block: Block, found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First words of windows with an earlier place, the id and number of that place's word, and that word if it is in the block (else -1)."""
     key, place = found["key"].to_numpy(), found["place"].to_numpy()
     high, _ = block.hashed(block.windows)
     order = np.argsort(high, kind="stable")
@@ -149,21 +179,19 @@ def _sources(block: Block, found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.
     leader = order[np.flatnonzero(begins)[np.cumsum(begins) - 1]] if len(ranked) else order
     first = np.empty(len(high), np.int64)
     first[order] = leader
-    source_key, source_place = block.key[block.windows][first], block.place[block.windows][first]
-    earlier = first != np.arange(len(high))
+    here = block.windows[first]
+    source_key, source_place = block.key[here], block.place[here]
+    here = np.where(first != np.arange(len(high)), here, -1)
+    earlier = here >= 0
     if len(key):
         # Windows of which the block's first place is not the first of all.
         own_key, own_place = block.key[block.windows], block.place[block.windows]
         rank = np.lexsort((place, key))
         at = _find(own_key, own_place, key[rank], place[rank])
-        source_of = np.full(len(high), -1, np.int64)
-        source_of[at] = rank
-        foreign = source_of[first]
-        hit = foreign >= 0
-        source_key[hit] = found["source_key"].to_numpy()[foreign[hit]]
-        source_place[hit] = found["source_place"].to_numpy()[foreign[hit]]
-        earlier |= hit
-    return block.windows[earlier], source_key[earlier], source_place[earlier]
+        source_key[at] = found["source_key"].to_numpy()[rank]
+        source_place[at] = found["source_place"].to_numpy()[rank]
+        earlier[at] = True
+    return block.windows[earlier], source_key[earlier], source_place[earlier], here[earlier]
 
 
 def _find(keys: np.ndarray, places: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -178,13 +206,65 @@ def _find(keys: np.ndarray, places: np.ndarray, key: np.ndarray, place: np.ndarr
     return at
 
 
-def _factors(at: np.ndarray, key: np.ndarray, place: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, last) window of each factor: consecutive windows with consecutive sources."""
-    if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    goes_on = (at[1:] == at[:-1] + 1) & (key[1:] == key[:-1]) & (place[1:] == place[:-1] + 1) & (row[1:] == row[:-1])
-    first = np.flatnonzero(np.concatenate(([True], ~goes_on)))
-    return first, np.concatenate((first[1:], [len(at)])) - 1
+def _proposed(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Factors to read: with their words where the source is in another block, with their length where it is in this."""
+    if not len(left):
+        return pa.table({name: pa.array([], kind) for name, kind in _PROPOSED})
+    block = Block(left)
+    at, key, place, here = _sources(block, right)
+    row = np.searchsorted(block.firsts, at, "right") - 1
+    follows = (at[1:] == at[:-1] + 1) & (row[1:] == row[:-1])
+    same = follows & (key[1:] == key[:-1]) & (place[1:] == place[:-1] + 1) & ((here[1:] < 0) == (here[:-1] < 0))
+    first = _begins(same, len(at))
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    # A factor may go on where the first place changes, as far as windows have one.
+    stretch = _begins(follows, len(at))
+    stretch_last = np.append(stretch[1:], len(at))[: len(stretch)] - 1
+    stop = at[stretch_last[np.searchsorted(stretch, first, "right") - 1]] + WINDOW if len(at) else at
+    begin, length = at[first], last - first + WINDOW
+    stop = np.minimum(begin + 2 * length, stop)
+    texts: list[bytes | None] = []
+    agreed = stop - begin
+    for k, (start, end, source) in enumerate(zip(begin.tolist(), stop.tolist(), here[first].tolist(), strict=True)):
+        text = block.piece(start, end)
+        texts.append(text if source < 0 else None)
+        if source >= 0:
+            agreed[k] = block.agreeing(source, text, end - start)
+    own = np.full(len(first), left["block"][0].as_py())
+    values = (own, begin, agreed, key[first], place[first], texts)
+    return pa.table({name: pa.array(v, kind) for (name, kind), v in zip(_PROPOSED, values, strict=True)})
+
+
+def _begins(goes_on: np.ndarray, n: int) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], ~goes_on))) if n else np.zeros(0, np.int64)
+
+
+_PROPOSED = [("block", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("source_key", pa.int64()), ("source_place", pa.int64()), ("words", pa.binary())]
+PROPOSED = "block long, start long, length long, source_key long, source_place long, words binary"
+
+
+def _read(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Proposed factors with the number of words that agree, where that makes a window."""
+    right = right.select([name for name, _ in _PROPOSED])
+    length = right["length"].to_numpy().copy()
+    asked = np.flatnonzero(right["words"].is_valid().to_numpy())
+    if len(asked):
+        block = Block(left)
+        key, place = right["source_key"].to_numpy()[asked], right["source_place"].to_numpy()[asked]
+        place = np.where(key == NO_ID, place % NUMBERED, place)
+        source = np.searchsorted(block.key, key) + place
+        for k, at in zip(asked.tolist(), source.tolist(), strict=True):
+            length[k] = block.agreeing(at, right["words"][k].as_py(), int(length[k]))
+    right = right.set_column(2, "length", pa.array(length)).drop_columns("words")
+    return right.filter(pa.array(length >= WINDOW))
+
+
+def _taken(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The greedy parse: factors in order of start, longest first, that reach further than all before."""
+    order = np.lexsort((-length, start))
+    end = (start + length)[order]
+    before = np.concatenate(([-1], np.maximum.accumulate(end)[:-1])) if len(end) else end
+    return order[end > before]
 
 
 _FACTOR = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("source_doc", pa.int64()), ("source_start", pa.int64())]))
@@ -194,22 +274,23 @@ FACTORS = "array<struct<start: long, length: long, source_doc: long, source_star
 def _parsed(left: pa.Table, right: pa.Table) -> tuple[pa.Table, np.ndarray, list[list[dict]], Block]:
     """Rows of a block, which words go, and the factors of each row."""
     block = Block(left)
-    at, key, place = _sources(block, right)
-    row = np.searchsorted(block.firsts, at, "right") - 1
-    first, last = _factors(at, key, place, row)
+    start, length = right["start"].to_numpy(), right["length"].to_numpy()
+    taken = _taken(start, length)
+    start, length = start[taken], length[taken]
+    key, place = right["source_key"].to_numpy()[taken], right["source_place"].to_numpy()[taken]
+    row = np.searchsorted(block.firsts, start, "right") - 1
     steps = np.zeros(len(block.hashes) + 1, np.int64)
-    np.add.at(steps, at[first], 1)
-    np.add.at(steps, at[last] + WINDOW, -1)
+    np.add.at(steps, start, 1)
+    np.add.at(steps, start + length, -1)
     gone = np.cumsum(steps[:-1]) > 0
     factors: list[list[dict]] = [[] for _ in block.counts]
-    for f, n in zip(first.tolist(), (last - first + WINDOW).tolist(), strict=True):
-        own = int(row[f])
+    for k, own in enumerate(row.tolist()):
         factors[own].append(
             {
-                "start": int(at[f] - block.firsts[own]),
-                "length": n,
-                "source_doc": None if key[f] == NO_ID else int(key[f]),
-                "source_start": int(place[f]) % NUMBERED,
+                "start": int(start[k] - block.firsts[own]),
+                "length": int(length[k]),
+                "source_doc": None if key[k] == NO_ID else int(key[k]),
+                "source_start": int(place[k]) % NUMBERED,
             }
         )
     return block.rows, gone, factors, block
@@ -241,8 +322,8 @@ def _report(ids, counts, removed, digests, factors) -> pa.Table:
     )
 
 
-def _indexed(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks, and for each block its windows that are not the first of their words, with the first place."""
+def _indexed(docs: DataFrame, columns: list[str], block_bytes: int, asked_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks, and for each block its factors, read against their sources."""
     blocks = block_count(docs, block_bytes)
     streams = packed(docs, blocks, columns)
     anchors = streams.groupBy("block").applyInArrow(tidied(_index_anchors), "anchor long, block long, n int")
@@ -252,15 +333,28 @@ def _indexed(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[Dat
     same = Window.partitionBy("high", "low").orderBy("key", "place")
     source = F.first(F.struct("key", "place")).over(same)
     found = found.withColumn("source", source).filter("key != source.key or place != source.place")
-    # The block follows from the id, or for rows without one from the number.
-    block = F.when(F.col("key") == NO_ID, F.shiftright("place", SHIFT)).otherwise(
-        block_of(F.col("key"), blocks)
-    )
-    found = found.select(block.alias("block"), "key", "place", F.col("source.key").alias("source_key"), F.col("source.place").alias("source_place"))
-    return streams, found
-
-
-def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    found = found.select(_home("key", "place", blocks).alias("block"), "key", "place", F.col("source.key").alias("source_key"), F.col("source.place").alias("source_place"))
+    proposed = streams.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidied(_proposed), PROPOSED)
+    to = F.when(F.col("words").isNull(), F.col("block")).otherwise(_home("source_key", "source_place", blocks))
+    asked = proposed.withColumn("to", to)
+    # What very many ask of one block is read in parts, each beside a copy of the block.
+    turn = Window.partitionBy("to").orderBy("source_key", "source_place", "block", "start").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.coalesce(F.sum(F.coalesce(F.octet_length("words"), F.lit(0)) + 64).over(turn), F.lit(0))
+    asked = asked.withColumn("part", F.floor(size / asked_bytes).cast("long"))
+    factors = "block long, start long, length long, source_key long, source_place long"
+    one = streams.groupBy("block").cogroup(asked.filter("part = 0").groupBy("to")).applyInArrow(tidied(_read), factors)
+    more = asked.filter("part > 0")
+    copies = streams.join(more.select(F.col("to").alias("block"), F.col("part").alias("copy")).distinct(), "block")
+    parts = copies.groupBy("block", "copy").cogroup(more.groupBy("to", "part")).applyInArrow(tidied(_read), factors)
+    return streams, one.union(parts)
+
+
+def _home(key: str, place: str, blocks: int) -> Column:
+    """A word's block: it follows from the id, or for rows without one from the number."""
+    return F.when(F.col(key) == NO_ID, F.shiftright(place, SHIFT)).otherwise(block_of(F.col(key), blocks))
+
+
+def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES, asked_bytes: int = ASKED_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the factors of every whole text.
 
     One row per input row. Null and empty texts have no words. Rows that
@@ -270,21 +364,21 @@ def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
     Other columns are not looked at. A factor's start and its source's start
     count words from 0; the source's count goes on over rows that repeat its id.
     """
-    streams, found = _indexed(docs, ["doc_id", "text"], block_bytes)
+    streams, found = _indexed(docs, ["doc_id", "text"], block_bytes, asked_bytes)
     parsed = streams.groupBy("block").cogroup(found.groupBy("block"))
     return parsed.applyInArrow(
         tidied(_reported), f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"
     )
 
 
-def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, asked_bytes: int = ASKED_BYTES) -> DataFrame:
     """All rows and columns with the words of factors cut out of the text.
 
     A word goes with the white space before it; a text of which nothing goes
     is unchanged. ``n_chars``, where present, is that of the new text.
     """
     schema, columns = docs.schema, docs.columns
-    streams, found = _indexed(docs, columns, block_bytes)
+    streams, found = _indexed(docs, columns, block_bytes, asked_bytes)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):

@@ -5,7 +5,9 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -32,8 +34,8 @@ def test_substring_in_many_blocks(spark):
     rows.append((500, "z " * 70))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     expected = brute.substring(rows)
-    for size in (1_000, 1 << 22):
-        found = substring.duplicate_factors(docs, size).collect()
+    for size, asked in ((1_000, 1 << 25), (3_000, 400), (1 << 22, 1 << 25)):
+        found = substring.duplicate_factors(docs, size, asked).collect()
         assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == expected
     text = dict(rows)
     for row in found:
@@ -44,6 +46,59 @@ def test_substring_in_many_blocks(spark):
             assert (f.source_doc, f.source_start) < (row.doc_id, f.start) and f.length >= substring.WINDOW
 
 
+def _block(rows):
+    """A block of rows as the operator packs them."""
+    table = pa.table({"doc_id": pa.array([k for k, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+    batch = pa.Table.from_struct_array(pa.chunked_array([table.to_struct_array().combine_chunks()]))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_table(batch)
+    return pa.table({"block": pa.array([0], pa.int64()), "stream": [zstandard.ZstdCompressor().compress(sink.getvalue().to_pybytes())]})
+
+
+def test_words_decide_how_long_a_factor_is():
+    """Proposals are read against the source's words, to the end of its row at most."""
+    left = _block([(4, "a b"), (5, " ".join(f"s{k}" for k in range(60))), (6, "t " * 30)])
+
+    def asked(place, words, key=5):
+        text = " ".join(words).encode()
+        return {"block": 3, "start": 100, "length": len(words), "source_key": key, "source_place": place, "words": text}
+
+    source = [f"s{k}" for k in range(60)]
+    rows = [
+        asked(0, source[:40]),
+        asked(7, [*source[7:32], "other", *source[33:50]]),
+        asked(20, [*source[20:], "t", "t"]),
+        asked(20, [*source[20:38], "other", *source[39:]]),
+        asked(0, source[:30], key=6),
+        {**asked(0, source[:25]), "words": None},
+    ]
+    schema = pa.schema(substring._PROPOSED)
+    read = substring._read(left, pa.Table.from_pylist(rows, schema))
+    assert read["length"].to_pylist() == [40, 25, 40, 25]
+    assert read["source_place"].to_pylist() == [0, 7, 20, 0]
+    spaced = {**rows[0], "words": b"\t".join(w.encode() for w in source[:40])}
+    assert substring._read(left, pa.Table.from_pylist([spaced], schema))["length"].to_pylist() == [40]
+
+
+def test_factors_are_taken_from_left_to_right():
+    start, length = np.array([0, 0, 5, 30, 41, 45, 100]), np.array([25, 40, 20, 25, 20, 20, 20])
+    assert substring._taken(start, length).tolist() == [1, 3, 4, 5, 6]
+    assert substring._taken(start[:0], length[:0]).tolist() == []
+
+
+def test_a_factor_runs_on_where_the_first_place_changes(spark):
+    """The middle of a copied passage stands earlier by itself: one factor, from the passage, covers it."""
+    middle = [f"m{k}" for k in range(24)]
+    passage = [*(f"a{k}" for k in range(40)), *middle, *(f"c{k}" for k in range(40))]
+    rows = [(1, " ".join(middle)), (2, " ".join(passage)), (3, "x " + " ".join(passage) + " y")]
+    for size in (100, 1 << 22):
+        found = {r.doc_id: r for r in substring.duplicate_factors(spark.createDataFrame(rows, "doc_id long, text string"), size).collect()}
+        assert found[3].n_removed == 104 and found[2].n_removed == 24
+        assert [(f.start, f.source_doc, f.source_start) for f in found[3].factors][0] == (1, 2, 0)
+        assert found[3].factors[0].length >= 80
+
+
 def test_rows_without_an_id_are_spread_and_ordered(spark):
     body = " ".join(f"b{k}" for k in range(25))
     rows = [(None, f"{body} {'t' * k} {k}") for k in range(40)] + [(7, f"{body} seven")]
