@@ -5,7 +5,10 @@ Documents lie in reference blocks. Every block is indexed: of each window of
 anchor, and blocks meet by their anchors, so two blocks that share a window
 share its anchor. Windows whose anchor occurs twice anywhere are looked up in
 the index of all blocks by their hash, which gives where a factor may begin and
-its source: the first place in the block, or for that one the first of all.
+its source: the first place in the block, or for that one the place before it
+among all blocks' first places. So a window is the source of one other block's
+at most, and a block is asked for each of its windows once, however many
+documents share a passage.
 
 A factor is then read word by word against its source. Its words, and as many
 again while windows have an earlier place, go to the source's block, which
@@ -19,8 +22,7 @@ before that end, for windows that reach over the border. Factors of fewer than
 Hashes of windows have 96 bits and only propose; words decide. Only anchors,
 windows whose anchor repeats and words of proposed factors are shuffled; equal
 windows of a block count once, so a passage that a third of all documents share
-costs one row per block. What is asked of one block is read in parts of
-``ASKED_BYTES``.
+costs one row per block.
 """
 
 from __future__ import annotations
@@ -39,8 +41,6 @@ from .words import OTHER, SPACE, spans, stretches, words
 WINDOW = 20
 GRAM = 8
 BLOCK_BYTES = 1 << 22
-#: Bytes of proposed factors that a block reads at once.
-ASKED_BYTES = 1 << 25
 #: Stands for a null id, after all others. Words of such rows are numbered on from block to block.
 NO_ID = np.iinfo(np.int64).max
 SHIFT = 32
@@ -184,7 +184,7 @@ def _sources(block: Block, found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.
     here = np.where(first != np.arange(len(high)), here, -1)
     earlier = here >= 0
     if len(key):
-        # Windows of which the block's first place is not the first of all.
+        # The block's first places of windows that other blocks hold before.
         own_key, own_place = block.key[block.windows], block.place[block.windows]
         rank = np.lexsort((place, key))
         at = _find(own_key, own_place, key[rank], place[rank])
@@ -217,7 +217,7 @@ def _proposed(left: pa.Table, right: pa.Table) -> pa.Table:
     same = follows & (key[1:] == key[:-1]) & (place[1:] == place[:-1] + 1) & ((here[1:] < 0) == (here[:-1] < 0))
     first = _begins(same, len(at))
     last = np.append(first[1:], len(at))[: len(first)] - 1
-    # A factor may go on where the first place changes, as far as windows have one.
+    # A factor may go on where the next window has another source, as far as windows have one.
     stretch = _begins(follows, len(at))
     stretch_last = np.append(stretch[1:], len(at))[: len(stretch)] - 1
     stop = at[stretch_last[np.searchsorted(stretch, first, "right") - 1]] + WINDOW if len(at) else at
@@ -322,7 +322,7 @@ def _report(ids, counts, removed, digests, factors) -> pa.Table:
     )
 
 
-def _indexed(docs: DataFrame, columns: list[str], block_bytes: int, asked_bytes: int) -> tuple[DataFrame, DataFrame]:
+def _indexed(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Blocks, and for each block its factors, read against their sources."""
     blocks = block_count(docs, block_bytes)
     streams = packed(docs, blocks, columns)
@@ -331,22 +331,13 @@ def _indexed(docs: DataFrame, columns: list[str], block_bytes: int, asked_bytes:
     found = streams.groupBy("block").cogroup(often.select("block", "anchor").groupBy("block"))
     found = found.applyInArrow(tidied(_index_windows), "high long, low int, key long, place long")
     same = Window.partitionBy("high", "low").orderBy("key", "place")
-    source = F.first(F.struct("key", "place")).over(same)
-    found = found.withColumn("source", source).filter("key != source.key or place != source.place")
+    found = found.withColumn("source", F.lag(F.struct("key", "place")).over(same)).filter("source is not null")
     found = found.select(_home("key", "place", blocks).alias("block"), "key", "place", F.col("source.key").alias("source_key"), F.col("source.place").alias("source_place"))
     proposed = streams.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidied(_proposed), PROPOSED)
     to = F.when(F.col("words").isNull(), F.col("block")).otherwise(_home("source_key", "source_place", blocks))
     asked = proposed.withColumn("to", to)
-    # What very many ask of one block is read in parts, each beside a copy of the block.
-    turn = Window.partitionBy("to").orderBy("source_key", "source_place", "block", "start").rowsBetween(Window.unboundedPreceding, -1)
-    size = F.coalesce(F.sum(F.coalesce(F.octet_length("words"), F.lit(0)) + 64).over(turn), F.lit(0))
-    asked = asked.withColumn("part", F.floor(size / asked_bytes).cast("long"))
     factors = "block long, start long, length long, source_key long, source_place long"
-    one = streams.groupBy("block").cogroup(asked.filter("part = 0").groupBy("to")).applyInArrow(tidied(_read), factors)
-    more = asked.filter("part > 0")
-    copies = streams.join(more.select(F.col("to").alias("block"), F.col("part").alias("copy")).distinct(), "block")
-    parts = copies.groupBy("block", "copy").cogroup(more.groupBy("to", "part")).applyInArrow(tidied(_read), factors)
-    return streams, one.union(parts)
+    return streams, streams.groupBy("block").cogroup(asked.groupBy("to")).applyInArrow(tidied(_read), factors)
 
 
 def _home(key: str, place: str, blocks: int) -> Column:
@@ -354,7 +345,7 @@ def _home(key: str, place: str, blocks: int) -> Column:
     return F.when(F.col(key) == NO_ID, F.shiftright(place, SHIFT)).otherwise(block_of(F.col(key), blocks))
 
 
-def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES, asked_bytes: int = ASKED_BYTES) -> DataFrame:
+def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the factors of every whole text.
 
     One row per input row. Null and empty texts have no words. Rows that
@@ -364,21 +355,21 @@ def duplicate_factors(docs: DataFrame, block_bytes: int = BLOCK_BYTES, asked_byt
     Other columns are not looked at. A factor's start and its source's start
     count words from 0; the source's count goes on over rows that repeat its id.
     """
-    streams, found = _indexed(docs, ["doc_id", "text"], block_bytes, asked_bytes)
+    streams, found = _indexed(docs, ["doc_id", "text"], block_bytes)
     parsed = streams.groupBy("block").cogroup(found.groupBy("block"))
     return parsed.applyInArrow(
         tidied(_reported), f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"
     )
 
 
-def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, asked_bytes: int = ASKED_BYTES) -> DataFrame:
+def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All rows and columns with the words of factors cut out of the text.
 
     A word goes with the white space before it; a text of which nothing goes
     is unchanged. ``n_chars``, where present, is that of the new text.
     """
     schema, columns = docs.schema, docs.columns
-    streams, found = _indexed(docs, columns, block_bytes, asked_bytes)
+    streams, found = _indexed(docs, columns, block_bytes)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
