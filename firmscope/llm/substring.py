@@ -3,12 +3,12 @@
 Documents lie in reference blocks. Every block is indexed: of each window of
 ``WINDOW`` words the rarest-hashed run of ``GRAM`` words inside it is its
 anchor, and blocks meet by their anchors, so two blocks that share a window
-share its anchor. Windows whose anchor occurs twice anywhere are looked up in
-the index of all blocks by their hash, which gives where a factor may begin and
-its source: the first place in the block, or for that one the place before it
-among all blocks' first places. So a window is the source of one other block's
-at most, and a block is asked for each of its windows once, however many
-documents share a passage.
+share its anchor. Windows whose anchor two blocks have are looked up in the
+index of all blocks by their hash, all others in that of their own block. This
+gives where a factor may begin and its source: the first place in the block,
+or for that one the place before it among all blocks' first places. So a
+window is the source of one other block's at most, and a block is asked for
+each of its windows once, however many documents share a passage.
 
 A factor is then read word by word against its source. Its words, and as many
 again while windows have an earlier place, go to the source's block, which
@@ -20,9 +20,9 @@ before that end, for windows that reach over the border. Factors of fewer than
 ``WINDOW`` agreeing words are none. The words of all factors taken go.
 
 Hashes of windows have 96 bits and only propose; words decide. Only anchors,
-windows whose anchor repeats and words of proposed factors are shuffled; equal
-windows of a block count once, so a passage that a third of all documents share
-costs one row per block.
+windows whose anchor two blocks have and words of proposed factors are
+shuffled; equal windows of a block count once, so a passage that a third of all
+documents share costs one row per block.
 """
 
 from __future__ import annotations
@@ -133,19 +133,13 @@ def _sliding(x: np.ndarray, n: int, least) -> np.ndarray:
 
 
 def _index_anchors(table: pa.Table) -> pa.Table:
-    block = Block(table)
-    found, n = np.unique(block.anchors(), return_counts=True)
-    return pa.table(
-        {
-            "anchor": pa.array(found.view(np.int64)),
-            "block": pa.array(np.full(len(found), table["block"][0].as_py())),
-            "n": pa.array(np.minimum(n, 2).astype(np.int32)),
-        }
-    )
+    found = np.unique(Block(table).anchors())
+    block = np.full(len(found), table["block"][0].as_py())
+    return pa.table({"anchor": pa.array(found.view(np.int64)), "block": pa.array(block)})
 
 
 def _index_windows(left: pa.Table, right: pa.Table) -> pa.Table:
-    """First places in the block of windows whose anchor repeats."""
+    """First places in the block of windows whose anchor other blocks have too."""
     empty = np.zeros(0, np.int64)
     at, high, low, block = empty, empty.view(np.uint64), empty.astype(np.uint32), None
     if len(left) and len(right):
@@ -326,8 +320,8 @@ def _indexed(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[Dat
     """Blocks, and for each block its factors, read against their sources."""
     blocks = block_count(docs, block_bytes)
     streams = packed(docs, blocks, columns)
-    anchors = streams.groupBy("block").applyInArrow(tidied(_index_anchors), "anchor long, block long, n int")
-    often = anchors.withColumn("often", F.sum("n").over(Window.partitionBy("anchor"))).filter("often > 1")
+    anchors = streams.groupBy("block").applyInArrow(tidied(_index_anchors), "anchor long, block long")
+    often = anchors.withColumn("often", F.count("*").over(Window.partitionBy("anchor"))).filter("often > 1")
     found = streams.groupBy("block").cogroup(often.select("block", "anchor").groupBy("block"))
     found = found.applyInArrow(tidied(_index_windows), "high long, low int, key long, place long")
     same = Window.partitionBy("high", "low").orderBy("key", "place")
