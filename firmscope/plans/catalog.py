@@ -502,7 +502,7 @@ _value("text_headcount", inputs.filing_docs, "document_id", "headcount",
 def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into archives, written, read again and counted."""
     path = new_folder(spark, "archives")
-    services.pack_documents(inputs.filing_docs(spark, sf_dir), 1 << 16).write.parquet(path)
+    services.write_archives(inputs.filing_docs(spark, sf_dir), path, 1 << 16)
     return enrich.document_headcounts(services.packed_documents(spark.read.parquet(path)))
 
 

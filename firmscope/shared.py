@@ -36,6 +36,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of rows that go to Python at once where rows are wide.
+BATCH_BYTES = 1 << 23
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have the session hand wide rows to Python in Arrow batches of about ``BATCH_BYTES``, unless its user chose a size.
+
+    Outside the heap every task holds its batch and the bytes that are sent, in
+    buffers of up to twice their size: of Spark's 64 MB that is a quarter of a GB.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 

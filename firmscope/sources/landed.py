@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from firmscope.functions.headcount import lossy_text
 from firmscope.functions.text import ADDRESS_PARTS, pad_number
+from firmscope.shared import small_batches
 
 ADDRESS = T.StructType([T.StructField(part, T.StringType()) for part in ADDRESS_PARTS])
 
@@ -133,10 +134,11 @@ def packed_documents(archives: DataFrame) -> DataFrame:
                             names, contents, size = [], [], 0
                 yield _members(names, contents)
 
+    small_batches(archives.sparkSession)
     return _named(archives.select("content").mapInArrow(members, "name string, content binary"))
 
 
-#: Bytes of documents that leave an archive in one batch.
+#: Bytes of documents that leave an archive in one batch, or lie in archives of one row group.
 GATHERED = 1 << 22
 
 
@@ -166,9 +168,21 @@ def pack_documents(documents: DataFrame, archive_bytes: int = ARCHIVE_BYTES) ->
         if held:
             yield _archive(held)
 
+    small_batches(documents.sparkSession)
     return documents.select("document_id", "content", "text").mapInArrow(archives, "content binary")
 
 
+def write_archives(documents: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write the archives of ``pack_documents`` as a Parquet table.
+
+    Parquet's readers decode thousands of rows of a row group at once, whatever
+    they hold, and zeros between members compress so well that a group of usual
+    size holds gigabytes of archives; so groups are cut by rows.
+    """
+    rows = max(1, GATHERED // archive_bytes)
+    pack_documents(documents, archive_bytes).write.option("parquet.block.row.count.limit", rows).parquet(path)
+
+
 def _archive(members: list[tuple[str, bytes]]) -> pa.RecordBatch:
     sink = io.BytesIO()
     with tarfile.open(fileobj=sink, mode="w") as tar:

@@ -134,3 +134,20 @@ def test_documents_in_archives(spark, tmp_path):
     (tmp_path / "broken.tar").write_bytes(b"no archive")
     with pytest.raises(Exception, match="ReadError"):
         filing_documents(spark, str(tmp_path)).count()
+
+
+def test_row_groups_of_archives_are_small(spark, monkeypatch, tmp_path):
+    """A reader decodes a row group's rows together, so only few archives lie in one."""
+    import pyarrow.parquet as pq
+
+    from firmscope.plans import catalog, inputs
+
+    docs = spark.range(0, 1200, 1, 1).selectExpr("concat('D', id) document_id", "CAST(NULL AS binary) content", "concat('Employees: ', id + 1, repeat(' ', 8000)) text")
+    monkeypatch.setattr(inputs, "filing_docs", lambda spark, sf_dir: docs)
+    monkeypatch.setattr(catalog, "new_folder", lambda spark, name: str(tmp_path / name))
+    counted = catalog.QUERIES["packed_documents"](spark, "unused")
+    assert {r.document_id: r.headcount for r in counted.collect()} == {f"D{k}": k + 1 for k in range(1200)}
+    (file,) = (tmp_path / "archives").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert groups.num_rows > 100
+    assert max(groups.row_group(k).num_rows for k in range(groups.num_row_groups)) <= 64
