@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -247,27 +248,23 @@ class Chunks:
     No token of the vocabulary spans white space, so a text's ids are those of
     its chunks in order. Chunks of plain letters, digits and signs below
     U+0250 are lower-cased and split into runs here and only merged by the
-    tokenizer, many at once; all others go through the whole tokenizer.
+    tokenizer's model; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str, most: int = 600_000) -> None:
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.path = path
-        self.merging = Tokenizer.from_file(path)
-        self.merging.normalizer = None
-        self.merging.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        #: Merges one run; a tokenizer around it would cost twice as much again for offsets.
+        self.merging = Tokenizer.from_file(path).model.tokenize
         self.plain = regex.compile(r"[!-~\u00a1-\u024f]+").fullmatch
         self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        ends = [k for t, k in self.merging.get_vocab().items() if t.endswith("</w>")]
-        self.ends_run = np.zeros(self.merging.get_vocab_size(), bool)
-        self.ends_run[ends] = True
         shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
         hidden = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(shown))}
         self.byte_signs = {b: chr(hidden.get(b, b)) for b in range(256)}
         self.memory = Remembered(np.uint32, most)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
 
     @cached_property
     def whole(self):
@@ -290,21 +287,42 @@ class Chunks:
         return self.memory.values[ranges(begins, lengths)], np.cumsum(lengths)
 
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split = [self._split(w) for w in words]
         if len(self.known) > 100_000:
-            self.known.clear()
-        self.known.update(self._merged(list({run for runs in split if runs for run in runs if run not in self.known})))
-        sizes, parts = [], []
-        for word, runs in zip(words, split, strict=True):
+            self._forget()
+        known, new, others = self.known, [], []
+        codes, counts = [], []  # rows of the runs, -1 - k for the k-th word that is no runs; how many each word has
+        for word in words:
+            runs = self._split(word)
             if runs is None:
-                own = [np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint32)]
-            else:
-                own = [self.known[run] for run in runs]
-            sizes.append(sum(map(len, own)))
-            parts += own
-        return np.array(sizes), np.concatenate(parts)
+                others.append(self.whole.encode(word, add_special_tokens=False).ids)
+                codes.append(-len(others))
+                counts.append(1)
+                continue
+            counts.append(len(runs))
+            for run in runs:
+                row = known.get(run)
+                if row is None:
+                    row = known[run] = len(known)
+                    new.append(run)
+                codes.append(row)
+        self.offsets, self.values = _with(self.offsets, self.values, self._merged(new))
+        offsets, values = _with(self.offsets, self.values, others)
+        row = np.array(codes, np.int64)
+        row = np.where(row < 0, len(known) - 1 - row, row)
+        lengths = offsets[row + 1] - offsets[row]
+        ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(counts)]
+        return np.diff(ends, prepend=0), values[ranges(offsets[row], lengths)]
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.offsets, self.values = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def _split(self, word: str) -> list[str] | None:
+        if word.isascii():  # the most frequent forms first
+            if word.isalpha():
+                return [word.lower()]
+            if word[-1] in ".,;:!?" and word[:-1].isalpha():
+                return [word[:-1].lower(), word[-1]]
         if not self.plain(word) or "<|" in word:
             return None
         low = word.lower()
@@ -314,12 +332,18 @@ class Chunks:
             return [low[:-1], low[-1]]
         return self.runs(low)
 
-    def _merged(self, runs: list[str]) -> Iterator[tuple[str, np.ndarray]]:
+    def _merged(self, runs: list[str]) -> list[list[int]]:
         signs = [r if r.isascii() else r.encode().decode("latin-1").translate(self.byte_signs) for r in runs]
-        for k in range(0, len(runs), 256):
-            ids = np.array(self.merging.encode(" ".join(signs[k : k + 256]), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(self.ends_run[ids]) + 1
-            yield from zip(runs[k : k + 256], np.split(ids, ends[:-1]), strict=True)
+        return [[token.id for token in self.merging(sign)] for sign in signs]
+
+
+def _with(offsets: np.ndarray, values: np.ndarray, more: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values with those of some lists after them."""
+    if not more:
+        return offsets, values
+    sizes = np.fromiter(map(len, more), np.int64, len(more))
+    added = np.fromiter(chain.from_iterable(more), values.dtype, int(sizes.sum()))
+    return np.concatenate((offsets, offsets[-1] + np.cumsum(sizes))), np.concatenate((values, added))
 
 
 @lru_cache(maxsize=1)

@@ -396,3 +396,30 @@ def test_words_of_odd_bytes(spark):
     rows = [(1, f"{TEXT}\x0b\x0c\r\n\tgnu general gnu  general-public_license MIT\nlicense")]
     row = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).first()
     assert row.base_labels == "gpl,mit" and row.n_base == 2
+
+
+def test_new_words_cost_no_more_than_the_tokenizer():
+    """Ids are those of the whole tokenizer, for odd words and beyond what is remembered; plain new words take no more of the CPU."""
+    import time
+
+    from tokenizers import Tokenizer
+
+    from firmscope.llm import packing
+
+    chunks = packing.Chunks(packing.vocabulary_path())
+    whole = Tokenizer.from_file(chunks.path)
+    odd = "\u0130stanbul DON'T they'LL <|endoftext|> a<|b \u00adsoft na\u00efve \u00c0\u00c9\u00df. \u6f22\u5b57 \u00bd 1234 a1b2 ...!? e\u0301. 's _a_ \u017f x\x00y".split()
+    signs = np.array(list("abcdefghijklmnopqrstuvwxyz\u00e4\u00e9"))
+    rng = np.random.default_rng(1)
+    rounds = [odd + ["".join(signs[rng.integers(0, 28, 9)]) for _ in range(30_000)] for _ in range(5)]
+    ours, theirs = [], []
+    for words in rounds:
+        began = time.process_time()
+        sizes, ids = chunks._learn(words)
+        ours.append(time.process_time() - began)
+        began = time.process_time()
+        want = [whole.encode(" ".join(words[k : k + 256]), add_special_tokens=False).ids for k in range(0, len(words), 256)]
+        theirs.append(time.process_time() - began)
+        assert ids.tolist() == [i for part in want for i in part]
+        assert sizes[: len(odd)].tolist() == [len(whole.encode(w, add_special_tokens=False).ids) for w in odd]
+    assert min(ours) < 1.2 * min(theirs), (ours, theirs)
