@@ -5,37 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from firmscope.llm import mixing, packing, simhash, substring, toxicity
-from firmscope.shared import stored
+from firmscope.shared import small_batches, stored
 from firmscope.llm.ship import ship
 
 
+def _ready(spark: SparkSession) -> None:
+    ship(spark)
+    small_batches(spark)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from their labels, does not reject."""
-    ship(spark)
+    _ready(spark)
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near SimHash fingerprints."""
-    ship(spark)
+    _ready(spark)
     return simhash.deduplicated(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the words of passages that stand earlier."""
-    ship(spark)
+    _ready(spark)
     return substring.without_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix's documents: a row for each time that words of a document are taken."""
-    ship(spark)
+    _ready(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's pieces and their places in sequences."""
-    ship(spark)
+    _ready(spark)
     return packing.pack(docs)
 
 

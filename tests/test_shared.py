@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from firmscope.shared import new_folder, pin, shared_folder
+from firmscope.shared import BATCH_BYTES, new_folder, pin, shared_folder, small_batches
 
 
 class Context(SimpleNamespace):
@@ -56,3 +56,24 @@ def test_pinned_rows_do_not_split_anew(spark):
     pinned = pin(spark.range(10))
     assert "Range" not in pinned._jdf.queryExecution().executedPlan().toString()
     assert pinned.count() == 10
+
+
+def test_wide_rows_go_to_python_in_small_batches(spark):
+    """About as many bytes at once as asked for, also where a batch of rows would hold far more; a user's choice stays."""
+    import pyarrow as pa
+
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    other = spark.newSession()
+    corpus_pipeline._ready(other)
+    sizes = other.range(0, 400, 1, 1).selectExpr("repeat('x', 100000) text").mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"size": [batch.nbytes]}) for batch in batches), "size long"
+    )
+    found = [row.size for row in sizes.collect()]
+    assert sum(found) > 4e7
+    assert max(found) <= BATCH_BYTES + 200_000
+    chosen = spark.newSession()
+    chosen.conf.set(name, "1m")
+    small_batches(chosen)
+    assert chosen.conf.get(name) == "1m"
